@@ -29,7 +29,11 @@ from .common import map_texts, table, vocabulary
 MARK = "▁"
 #: Words of up to this many characters run side by side; longer ones use the heap.
 SIDE_BY_SIDE = 48
-REMEMBERED = 250_000
+#: Words that a worker remembers in each of two generations.
+REMEMBERED = 400_000
+
+#: A text is also cut between one of these letters and one of these marks, if no piece of the vocabulary has both in a row.
+LETTERS, POINTS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#*$%&|"
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -89,8 +93,9 @@ class PieceCodec:
         self.byte0 = pieces.index("<0x00>")
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("pieces cross words")
-        alone = not any("\n" in p for p in self.id)
-        self.words = re.compile(r" +[^ \n]*|[^ \n]+|\n" if alone else r" +[^ ]*|[^ ]+").findall
+        stop = "" if any("\n" in p for p in self.id) else "\n"
+        apart = not any(re.search(f"[{LETTERS}][{POINTS}]", p) for p in self.id)
+        self.words = re.compile((f" *[{LETTERS}]+(?=[{POINTS}])|" if apart else "") + f" +[^ {stop}]*|[^ {stop}]+" + (f"|{stop}" if stop else "")).findall
         self.size = len(pieces)
         self.score = np.array(scores, np.float32)
         self.text = pieces
@@ -103,12 +108,20 @@ class PieceCodec:
         self.pair = pair
         self.keys = np.array(sorted(pair), np.int64)
         self.made = np.array([pair[k] for k in self.keys.tolist()], np.int64)
+        self.char = -np.arange(0x110000, dtype=np.int64) - 1
+        for p, i in self.id.items():
+            if len(p) == 1:
+                self.char[ord(p)] = i
+        self.char[0x20] = self.char[ord(MARK)]
+        self.name = [str(i) for i in range(self.size)]
+        #: word: its ids joined, their number, its decoded text; of late, and of a while ago
         self.known: dict[str, tuple[str, int, str]] = {}
+        self.old: dict[str, tuple[str, int, str]] = {}
 
-    def _symbols(self, word: str) -> list[int]:
-        """Ids of the characters; minus the code point, less 1, where a character is no piece."""
-        get = self.id.get
-        return [x if (x := get(c)) is not None else -ord(c) - 1 for c in word]
+    def _symbols(self, words: list[str]) -> np.ndarray:
+        """Ids of the characters of words of one length; minus the code point, less 1, where a character is no piece."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        return self.char[points].reshape(len(words), -1)
 
     def _heap(self, sym: list[int]) -> list[int]:
         n, size, score, pair = len(sym), self.size, self.score, self.pair
@@ -143,9 +156,9 @@ class PieceCodec:
         m = np.where(hit, self.made[at], 0)
         return np.where(hit, self.score[m], -np.inf), m
 
-    def _side_by_side(self, many: list[list[int]]) -> list[list[int]]:
+    def _side_by_side(self, s: np.ndarray) -> list[list[int]]:
         """The agenda of many words of one length: in each round every word merges its best pair."""
-        s = np.array(many, np.int64)
+        s = s.copy()
         n, w = s.shape
         length = np.full(n, w)
         rows, live = np.arange(n), np.arange(n)
@@ -187,8 +200,11 @@ class PieceCodec:
         for i, w in enumerate(words):
             by_len.setdefault(len(w), []).append(i)
         for n, rows in by_len.items():
-            sym = [self._symbols(words[i].replace(" ", MARK)) for i in rows]
-            done = self._side_by_side(sym) if n <= SIDE_BY_SIDE else map(self._heap, sym)
+            sym = self._symbols([words[i] for i in rows])
+            if n <= SIDE_BY_SIDE:  # in parts that stay in a processor's cache
+                done = [s for k in range(0, len(rows), 2048) for s in self._side_by_side(sym[k : k + 2048])]
+            else:
+                done = map(self._heap, sym.tolist())
             for i, s in zip(rows, done):
                 out[i] = self._expand(s)
         return out
@@ -197,25 +213,35 @@ class PieceCodec:
         """Text of each word's ids: pieces with marks as blanks, runs of byte pieces as UTF-8."""
         b0, b1, text, out = self.byte0, self.byte0 + 256, self.text, []
         for ids in many:
-            if any(b0 <= i < b1 for i in ids):
+            if min(ids) < b1 and any(b0 <= i < b1 for i in ids):
                 out.append(b"".join(bytes([i - b0]) if b0 <= i < b1 else text[i].encode() for i in ids).decode("utf-8", "replace").replace(MARK, " "))
             else:
                 out.append("".join([text[i] for i in ids]).replace(MARK, " "))
         return out
 
+    def _check(self, words: list[str], ids: list[list[int]], back: list[str]) -> None:
+        """The same words in one text through the library, which puts a mark in front where the model says so."""
+        own = [i for w in ids for i in w]
+        text, decoded = "".join(words), "".join(back)
+        theirs = self.lib.encode(text[1:] if self.prefix else text, num_threads=1)
+        if own != theirs:
+            at = next((i for i, (a, b) in enumerate(zip(own, theirs)) if a != b), min(len(own), len(theirs)))
+            raise CodecMismatch(f"own ids {own[at:at + 20]}, library's {theirs[at:at + 20]}")
+        if (decoded[1:] if self.prefix else decoded) != self.lib.decode(theirs):
+            raise CodecMismatch("own text differs from the library's")
+
     def _learn(self, words: list[str]) -> None:
         ids = self.encode_words(words)
         back = self.decode_words(ids)
-        # The library puts a mark in front of every text, so a word with one is given without it.
-        mine = [(w, i, b) for w, i, b in zip(words, ids, back) if self.prefix and w[0] == " "]
-        theirs = self.lib.encode([w[1:] for w, _, _ in mine], num_threads=1)
-        for (w, i, b), t in zip(mine, theirs):
-            if i != t and not (w == " " and not t):
-                raise CodecMismatch(f"{w!r}: own ids {i[:20]}, library's {t[:20]}")
-        for (w, i, b), t in zip(mine, self.lib.decode(theirs) if theirs else []):
-            if b[1:] != t:
-                raise CodecMismatch(f"{w!r}: own text {b[:40]!r}, library's {t[:40]!r}")
-        self.known.update((w, (",".join(map(str, i)), len(i), b)) for w, i, b in zip(words, ids, back))
+        blank = [k for k, w in enumerate(words) if (w[0] == " " or not self.prefix) and w[-1] != " "]
+        for i in range(0, len(blank), 200):
+            part = blank[i : i + 200]
+            self._check([words[k] for k in part], [ids[k] for k in part], [back[k] for k in part])
+        for k, w in enumerate(words):  # runs of blanks would join what stands beside them
+            if w[-1] == " " and len(w) > 1:
+                self._check([w], [ids[k]], [back[k]])
+        name = self.name
+        self.known.update((w, (",".join([name[x] for x in i]), len(i), w if w == b else b)) for w, i, b in zip(words, ids, back))
 
     def split(self, text: str) -> list[str]:
         text = text.replace(MARK, " ")
@@ -228,8 +254,10 @@ class PieceCodec:
         """(ids, their hash, the decoded text's hash) of each text."""
         cut = [self.split(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if new := list({w for c in cut for w in c} - self.known.keys()):
+            self.old, self.known = self.known, {}
+        new = {w for c in cut for w in c} - self.known.keys()
+        self.known.update((w, self.old[w]) for w in new & self.old.keys())
+        if new := list(new - self.known.keys()):
             self._learn(new)
         out, get = [], self.known.__getitem__
         for c in cut:

@@ -21,9 +21,11 @@ from .common import map_texts, table, vocabulary
 
 #: Blank characters as the byte-level pre-tokenizer's pattern sees them.
 BLANKS = "\t-\r \x85\xa0  -     　"
-_PIECES = re.compile(f" ?[^{BLANKS}]+|\n(?=[^{BLANKS}])|[{BLANKS}]+[^{BLANKS}]*")
+#: Letters and marks between which the pattern always cuts; "<", "|" and ">" are left out, as special strings hold them.
+_LETTERS, _POINTS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#*$%&"
+_PIECES = re.compile(f" ?[{_LETTERS}]+(?=[{_POINTS}])| ?[^{BLANKS}]+|\n(?=[^{BLANKS}])|[{BLANKS}]+[^{BLANKS}]*")
 
-#: Distinct pieces whose lengths a worker remembers, and bytes of pieces sent to the library at once.
+#: Distinct pieces whose lengths a worker remembers in each of two generations, and bytes of pieces sent to the library at once.
 REMEMBERED = 400_000
 GROUP_BYTES = 256 << 10
 
@@ -34,6 +36,7 @@ class PieceCounter:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.known: dict[str, int] = {}
+        self.old: dict[str, int] = {}
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
@@ -82,8 +85,10 @@ class PieceCounter:
             return out + (self.lengths(group) if group else [])
         cut = [self.split(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn(list({p for c in cut for p in c} - self.known.keys()))
+            self.old, self.known = self.known, {}
+        new = {p for c in cut for p in c} - self.known.keys()
+        self.known.update((p, self.old[p]) for p in new & self.old.keys())
+        self._learn(list(new - self.known.keys()))
         get = self.known.__getitem__
         return [sum(map(get, c)) for c in cut]
 
