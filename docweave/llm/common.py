@@ -51,3 +51,14 @@ def map_texts(df: DataFrame, keep: str, column: str, make: Callable, schema: str
 
     names = [x.split(" ")[0] for x in schema.split(", ")]
     return df.select(F.col(keep), F.col(column)).mapInArrow(run, schema)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's shared checkpoint folder and read back: computed once, lineage cut, and
+    safe when executors are lost.  A folder of its own is set only where the session names none."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        import tempfile
+
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()

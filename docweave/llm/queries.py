@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from .decontaminate import op10_decontamination
+from . import pii, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_counts": op6_token_counts,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
 
 
 def queries():
