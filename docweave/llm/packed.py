@@ -53,8 +53,8 @@ def deal(place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def pack(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, place: np.ndarray, n: int, width: int) -> Iterator[tuple[int, bytes]]:
     """(place, payload) of the keys ``h`` of documents ``ids[doc]``; ``doc`` ascends within a place.
 
-    A payload holds the numbers of documents and keys, ids, keys a document, and the keys' lowest ``width``
-    bytes: the first four of every key together, then the rest.
+    A payload holds the numbers of documents and keys and columns, ids, keys a document, and the keys' lowest
+    ``width`` bytes: the first four of every key together, then the rest.  ``ids`` may have several columns.
     """
     order, begin = deal(place, n)
     h, doc = h[order], doc[order]
@@ -63,16 +63,16 @@ def pack(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, place: np.ndarray, n:
         heads = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
         counts = np.diff(np.concatenate([heads, [len(d)]])).astype(np.int32)
         raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
-        yield b, b"".join([np.array([len(heads), len(keys)], np.int32).tobytes(), ids[d[heads]].astype(np.int64).tobytes(), counts.tobytes(), np.ascontiguousarray(raw[:, :4]).tobytes(), np.ascontiguousarray(raw[:, 4:width]).tobytes()])
+        yield b, b"".join([np.array([len(heads), len(keys), ids[:1].size or 1], np.int32).tobytes(), ids[d[heads]].astype(np.int64).tobytes(), counts.tobytes(), np.ascontiguousarray(raw[:, :4]).tobytes(), np.ascontiguousarray(raw[:, 4:width]).tobytes()])
 
 
 def unpack(payload: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, keys a document, keys) of a payload; keys as 64-bit numbers of their lowest ``width`` bytes."""
-    m, n = np.frombuffer(payload, np.int32, 2).tolist()
-    at = 8
-    ids = np.frombuffer(payload, np.int64, m, at)
-    counts = np.frombuffer(payload, np.int32, m, at + 8 * m)
-    at += 12 * m
+    m, n, c = np.frombuffer(payload, np.int32, 3).tolist()
+    ids = np.frombuffer(payload, np.int64, m * c, 12)
+    ids = ids.reshape(m, c) if c > 1 else ids
+    counts = np.frombuffer(payload, np.int32, m, 12 + 8 * m * c)
+    at = 12 + 8 * m * c + 4 * m
     raw = np.zeros((n, 8), np.uint8)
     raw[:, :4] = np.frombuffer(payload, np.uint8, 4 * n, at).reshape(n, 4)
     if width > 4:

@@ -3,24 +3,35 @@
 from __future__ import annotations
 
 from .decontaminate import op10_decontamination
-from . import pii, quality_rules, substring_dedup
+from . import html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_licence_scan": licences.op2_licence_scan,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_counts": op6_token_counts,
+    "op7_html_extraction": html_extract.op7_html_extraction,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL}
+
+
+def pipeline(spark, sf_dir):
+    """All stages of corpus_pipeline, which stands beside the package."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries():
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": pipeline}
 
 
 def oracle_sql():
