@@ -1,0 +1 @@
+"""docweave: document analytics on Spark DataFrames."""
