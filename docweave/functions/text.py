@@ -113,7 +113,7 @@ def fold(t) -> Column:
 def tokenize(t) -> Column:
     """Words of Latin, Greek, Cyrillic and digits; character pairs of other scripts."""
     marked = F.regexp_replace(lower_each(expand_ligatures(t)), r"\p{Mn}", "")
-    runs = F.regexp_extract_all(marked, F.lit(rf"((?:[\p{{L}}&&[{_WORD_SCRIPTS}]]|\p{{Nd}})+|[\p{{L}}&&[^{_WORD_SCRIPTS}]]+)"), F.lit(1))
+    runs = F.regexp_extract_all(marked, F.lit(rf"[[\p{{L}}&&[{_WORD_SCRIPTS}]]\p{{Nd}}]+|[\p{{L}}&&[^{_WORD_SCRIPTS}]]+"), F.lit(0))
 
     def pairs(x: Column) -> Column:
         whole = (F.length(x) == 1) | x.rlike(rf"^[{_WORD_SCRIPTS}\p{{Nd}}]")
@@ -122,17 +122,20 @@ def tokenize(t) -> Column:
     return F.flatten(F.transform(runs, pairs))
 
 
+BROKEN_WORD = "[-­‐][ \\t]*\\r?\\n[ \\t]*"
+
+
 def dehyphenate(t) -> Column:
     """Words broken by a hyphen at a line end made whole."""
-    return F.regexp_replace(_col(t), "[-­‐][ \\t]*\\r?\\n[ \\t]*", "")
+    return F.regexp_replace(_col(t), BROKEN_WORD, "")
 
 
 def token_pairs(tokens) -> Column:
     """Neighbouring tokens as unordered pairs, in order."""
     tokens = _col(tokens)
-    at = lambda i: F.get(tokens, i)
-    pair = lambda i: F.concat_ws("\x1f", F.least(at(i - 1), at(i)), F.greatest(at(i - 1), at(i)))
-    return F.when(F.size(tokens) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(1))), pair)).otherwise(F.array().cast("array<string>"))
+    n = F.greatest(F.size(tokens) - 1, F.lit(0))
+    # Whole arrays side by side: inside a function of one element the tokens would be made anew each time.
+    return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.concat_ws("\x1f", F.least(a, b), F.greatest(a, b)))
 
 
 def join_fragments(parts) -> Column:

@@ -29,7 +29,7 @@ def title_score(work_title, ref_title, ref_raw):
 def lookup_doi(refs: DataFrame, works: DataFrame) -> DataFrame:
     """Status of references (job, i, title, raw, doi) with a DOI."""
     known = works.select(F.lower("doi").alias("doi"), F.col("doi").alias("matched_doi"), F.col("title").alias("matched_title")).dropDuplicates(["doi"])
-    got = refs.where("doi IS NOT NULL").join(known, "doi", "left").withColumn("similarity", title_score(F.col("matched_title"), F.col("title"), F.col("raw")))
+    got = refs.where("doi IS NOT NULL").join(known, "doi", "left").withColumn("similarity", F.when(F.col("matched_doi").isNotNull(), title_score(F.col("matched_title"), F.col("title"), F.col("raw"))))
     status = F.when(F.col("matched_doi").isNull(), "notFound").when(F.col("similarity") < scoring.TITLE_FROM, "mismatch").otherwise("verified")
     return got.select("job", "i", "doi", status.alias("status"), "similarity", "matched_doi", "matched_title")
 

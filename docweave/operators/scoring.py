@@ -22,9 +22,21 @@ def vocabulary(text) -> tuple[Column, Column]:
     return F.array_union(plain, whole), F.array_union(t.token_pairs(plain), t.token_pairs(whole))
 
 
+def with_vocabulary(df: DataFrame, column: str, tokens: str, pairs: str) -> DataFrame:
+    """Adds a text's tokens and pairs step by step, so that each text is tokenised once a variant."""
+    broken = F.col(column).rlike(t.BROKEN_WORD)
+    df = df.withColumns({"_plain": t.tokenize(column), "_whole": F.when(broken, t.tokenize(t.dehyphenate(column)))})
+    both = lambda f: F.when(F.col("_whole").isNull(), F.array_distinct(f("_plain"))).otherwise(F.array_union(f("_plain"), f("_whole")))
+    return df.withColumns({tokens: both(F.col), pairs: both(t.token_pairs)}).drop("_plain", "_whole")
+
+
 def coverage(value, tokens, pairs) -> Column:
     """Share of a value's distinct pairs that occur; one token counts by itself; NULL without tokens."""
-    own = t.tokenize(value)
+    return tokens_coverage(t.tokenize(value), tokens, pairs)
+
+
+def tokens_coverage(own, tokens, pairs) -> Column:
+    """The same for a value's tokens."""
     mine = F.array_distinct(t.token_pairs(own))
     return (
         F.when(F.size(own) == 0, F.lit(None).cast("double"))
@@ -52,11 +64,11 @@ def score_values(values: DataFrame, layers: DataFrame) -> DataFrame:
     The layer's vocabulary is computed once a document and joined; rows of documents without a layer keep a
     NULL score.
     """
-    tokens, pairs = vocabulary("text")
-    known = layers.select("job", t.fold("text").alias("_folded"), tokens.alias("_tokens"), pairs.alias("_pairs")).where("_folded <> ''")
-    short = short_score("value", F.col("_folded"), F.col("_tokens"), F.col("_pairs"))
-    score = F.when(F.col("_folded").isNull(), None).when(F.col("short"), short).otherwise(coverage("value", F.col("_tokens"), F.col("_pairs")))
-    return values.join(known, "job", "left").withColumn("score", score).drop("_folded", "_tokens", "_pairs")
+    known = with_vocabulary(layers.select("job", "text", t.fold("text").alias("_folded")).where("_folded <> ''"), "text", "_tokens", "_pairs").drop("text")
+    values = values.withColumns({"_own": t.tokenize("value"), "_needle": t.fold("value")})
+    covered = tokens_coverage(F.col("_own"), F.col("_tokens"), F.col("_pairs"))
+    score = F.when(F.col("_folded").isNull(), None).when(F.col("short") & contains(F.col("_folded"), F.col("_needle")), 1.0).otherwise(covered)
+    return values.join(known, "job", "left").withColumn("score", score).drop("_folded", "_tokens", "_pairs", "_own", "_needle")
 
 
 def pair_coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
@@ -64,10 +76,10 @@ def pair_coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
 
     Pairs are exploded and met by an equi-join with counts added up before and after the shuffle.
     """
-    own = values.select("value_id", F.array_distinct(t.token_pairs(t.tokenize("value"))).alias("p"))
+    own = values.withColumn("w", t.tokenize("value")).select("value_id", F.array_distinct(t.token_pairs("w")).alias("p"))
     sized = own.select("value_id", F.size("p").alias("pairs"))
     mine = own.select("value_id", F.explode("p").alias("pair"))
-    theirs = texts.select("text_id", F.explode(vocabulary("text")[1]).alias("pair"))
+    theirs = with_vocabulary(texts, "text", "_tokens", "_pairs").select("text_id", F.explode("_pairs").alias("pair"))
     hits = theirs.join(mine, "pair").groupBy("value_id", "text_id").agg(F.count(F.lit(1)).alias("hits"))
     return hits.join(sized, "value_id").withColumn("score", F.round(F.col("hits") / F.col("pairs"), 4))
 

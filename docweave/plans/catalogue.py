@@ -323,7 +323,7 @@ def catch_parse(spark, sf):
     return table(spark, sf, "events").withColumn("c", scalars.parse_catch(raw)).where("c IS NOT NULL").select("event_id", "c.error", "c.cause")
 
 
-@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '000Z' AS wire, epoch_ms(ts) AS ms, CAST(floor(least(500 * pow(2, event_id % 8), 20000)) AS BIGINT) AS cap, CASE WHEN event_id % 3 = 0 THEN 0.0 WHEN event_id % 3 = 1 THEN 1.0 / (event_id % 50 + 1) ELSE 0.0 END AS wait, CASE WHEN event_id % 4 = 0 THEN 150 ELSE CAST(event_id % 4 * 50 AS INT) END AS dpi FROM events""")
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '000Z' AS wire, epoch_us(ts) // 1000 AS ms, CAST(floor(least(500 * pow(2, event_id % 8), 20000)) AS BIGINT) AS cap, CASE WHEN event_id % 3 = 0 THEN 0.0 WHEN event_id % 3 = 1 THEN 1.0 / (event_id % 50 + 1) ELSE 0.0 END AS wait, CASE WHEN event_id % 4 = 0 THEN 150 ELSE CAST(event_id % 4 * 50 AS INT) END AS dpi FROM events""")
 def wire_values(spark, sf):
     i = F.col("event_id")
     limit = F.when(i % 3 == 0, "x").when(i % 3 == 1, (i % 50 + 1).cast("string")).otherwise("0")

@@ -84,19 +84,19 @@ def latest_status(stream: DataFrame) -> DataFrame:
     return stream.groupBy("job").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at"))
 
 
-_NEXT = {None: {"PROCESSING"}, "PROCESSING": {"COMPLETED", "REVIEW_PENDING", "FAILED"}, "FAILED": {"PROCESSING"}, "COMPLETED": set(), "REVIEW_PENDING": {"COMPLETED"}}
+_NEXT = {"": {"PROCESSING"}, "PROCESSING": {"COMPLETED", "REVIEW_PENDING", "FAILED"}, "FAILED": {"PROCESSING"}, "COMPLETED": set(), "REVIEW_PENDING": {"COMPLETED"}}
 
 
 def transitions(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     """State machine of one job: rows (at, status) in order of time, each accepted or refused from the state so far."""
-    now = state.get[0] if state.exists else None
+    now = state.get[0] if state.exists else ""
     out = []
     rows = pd.concat(list(frames)).sort_values(["at", "status"])
     for at, status in zip(rows["at"], rows["status"]):
         ok = status in _NEXT.get(now, set())
         out.append((key[0], at, now, status, ok))
         now = status if ok else now
-    if now is not None:
+    if now:
         state.update((now,))
     yield pd.DataFrame(out, columns=["job", "at", "before", "status", "accepted"])
 
