@@ -176,7 +176,8 @@ def extract_json(t) -> Column:
     unfenced = trim_space(F.regexp_replace(F.regexp_replace(s, r"^```[^\n]*\n?", ""), r"(?s)```(?!.*```).*$", ""))
     s = F.when(s.startswith("```"), unfenced).otherwise(s)
     cut = F.regexp_extract(s, r"(?s)(\{.*\}|\[.*\])", 1)
-    return F.when(F.try_parse_json(s).isNotNull(), s).when(cut != "", cut)
+    trailing = s.rlike(r"(?s)^[\[{].*[^\]}]\z")  # the parser stops at the end of the first value
+    return F.when(F.try_parse_json(s).isNotNull() & ~trailing, s).when(cut != "", cut)
 
 
 def paper_id(t) -> Column:

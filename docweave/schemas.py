@@ -1,14 +1,7 @@
-"""Record types as Spark schemas. NULL, empty and zero keep their own meanings throughout."""
+"""Record types as Spark schemas in DDL. NULL, empty and zero keep their own meanings throughout."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 SCHEMA_VERSION = "1.0"
 ROUTES = ("textract", "bedrock")
 STATUSES = ("PROCESSING", "COMPLETED", "REVIEW_PENDING", "FAILED")
@@ -25,21 +18,21 @@ COST = "STRUCT<textract_pages: INT, textract_features: ARRAY<STRING>, bedrock_mo
 PROVENANCE = f"STRUCT<route: STRING, extracted_at: TIMESTAMP, confidence: {CONFIDENCE}, cost: {COST}, duration_ms: BIGINT, warnings: ARRAY<STRING>>"
 SOURCE = "STRUCT<bucket: STRING, key: STRING, filename: STRING, sha256: STRING, language: STRING, page_count: INT, has_text_layer: BOOLEAN, uploaded_at: TIMESTAMP>"
 
-DOCUMENT = schema(
+DOCUMENT = (
     f"job_id STRING, schema_version STRING, source {SOURCE}, metadata {METADATA}, sections ARRAY<{SECTION}>, figures ARRAY<{FIGURE}>, "
     f"tables ARRAY<{TABLE}>, references ARRAY<{REFERENCE}>, provenance {PROVENANCE}"
 )
-BLOCKS = schema(
+BLOCKS = (
     "job STRING, ord INT, id STRING, block_type STRING, page INT, text STRING, confidence FLOAT, left FLOAT, top FLOAT, width FLOAT, height FLOAT, "
     "row_index INT, column_index INT, row_span INT, column_span INT, entity_types ARRAY<STRING>, selection_status STRING"
 )
-BLOCK_EDGES = schema("job STRING, parent STRING, child STRING, rel_type STRING, pos INT")
-PAGE_RESULTS = schema(
+BLOCK_EDGES = "job STRING, parent STRING, child STRING, rel_type STRING, pos INT"
+PAGE_RESULTS = (
     f"job STRING, page INT, arrival INT, title STRING, abstract STRING, authors ARRAY<{AUTHOR}>, keywords ARRAY<STRING>, "
     "sections ARRAY<STRUCT<level: INT, heading: STRING, text: STRING>>, figures ARRAY<STRUCT<label: STRING, caption: STRING>>, "
     "tables ARRAY<STRUCT<label: STRING, caption: STRING, header: ARRAY<ARRAY<STRING>>, rows: ARRAY<ARRAY<STRING>>>>, "
     f"references ARRAY<{REFERENCE}>, cont_section BOOLEAN, cont_reference BOOLEAN, model STRING, input_tokens INT, output_tokens INT, extracted_at TIMESTAMP, duration_ms BIGINT"
 )
-JOBS = schema("job STRING, status STRING, filename STRING, created_at TIMESTAMP, updated_at TIMESTAMP, error_reason STRING")
-WORKS = schema("doi STRING, title STRING")
-PAPERS = schema("arxiv_id STRING, version STRING, title STRING, categories ARRAY<STRING>, published TIMESTAMP, pages INT, references INT, has_source BOOLEAN, license STRING, license_kind STRING, file STRING, sha256 STRING, fetched_at TIMESTAMP")
+JOBS = "job STRING, status STRING, filename STRING, created_at TIMESTAMP, updated_at TIMESTAMP, error_reason STRING"
+WORKS = "doi STRING, title STRING"
+PAPERS = "arxiv_id STRING, version STRING, title STRING, categories ARRAY<STRING>, published TIMESTAMP, pages INT, references INT, has_source BOOLEAN, license STRING, license_kind STRING, file STRING, sha256 STRING, fetched_at TIMESTAMP"

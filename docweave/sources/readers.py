@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import checks
 from ..functions import scalars as s
@@ -34,15 +33,14 @@ def texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def json_records(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
+def json_records(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """One JSON value a file in a fixed schema; a malformed file raises, or leaves a NULL row if not strict."""
     return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST" if strict else "PERMISSIVE")
 
 
-def json_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def json_with_rejects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of JSON lines; rejects keep the line."""
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    raw = spark.read.text(path).select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"), "value")
+    raw = spark.read.text(path).select(F.from_json("value", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"), "value")
     bad = F.col("r._corrupt").isNotNull() | F.col("r").isNull()
     return raw.where(~bad).select("r.*").drop("_corrupt"), raw.where(bad).select(F.col("value").alias("raw"))
 
@@ -60,7 +58,7 @@ def text_layers(jobs: DataFrame, layers: DataFrame) -> DataFrame:
 
 def feed(spark: SparkSession, path: str) -> DataFrame:
     """Entries of an Atom feed: id, title, published, categories, primary."""
-    schema = T.StructType.fromDDL("id STRING, title STRING, published STRING, category ARRAY<STRUCT<_term: STRING, _VALUE: STRING>>, primary_category STRUCT<_term: STRING, _VALUE: STRING>")
+    schema = ("id STRING, title STRING, published STRING, category ARRAY<STRUCT<_term: STRING, _VALUE: STRING>>, primary_category STRUCT<_term: STRING, _VALUE: STRING>")
     x = spark.read.format("xml").option("rowTag", "entry").option("ignoreNamespace", "true").schema(schema).load(path)
     return x.select("id", "title", "published", F.transform("category", lambda c: c.getField("_term")).alias("categories"), F.col("primary_category._term").alias("primary"))
 
@@ -95,7 +93,7 @@ def paged(results: DataFrame, job: str = "job", seq: str = "seq", token: str = "
     return again.union(chain).union(blank)
 
 
-def manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A manifest's rows, or none where it does not exist yet."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
