@@ -273,13 +273,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
 def decontaminate(docs: DataFrame, items: DataFrame, max_words: int = 0, max_coverage: float = 0.5, window: int = WINDOW, key: str = "doc_id", column: str = "text") -> DataFrame:
     """``docs`` without contaminated passages: documents of which more than ``max_coverage`` of the words are
     hit are left out, and hit stretches of more than ``max_words`` words are cut out of the other texts.
-    Clean rows stay as they are; ``n_chars``, where present, follows the text."""
-    spans = contaminated_spans(docs.select(F.struct(*docs.columns).alias("row"), F.col(column).alias("text")), items, window, "row", "text")
+    Clean rows stay as they are; ``n_chars``, where present, follows a text that was cut."""
+    others = [c for c in docs.columns if c != column] or [F.lit(0).alias("_")]
+    spans = contaminated_spans(docs.select(F.struct(*others).alias("row"), F.col(column).alias("text")), items, window, "row", "text")
 
     def cut(batches):
         for batch in batches:
             texts, w, b = batch.column(1), batch.column(3), batch.column(4)
-            new, cover = texts.to_pylist(), np.zeros(len(batch))
+            new, cover, changed = texts.to_pylist(), np.zeros(len(batch)), np.zeros(len(batch), bool)
             for r in np.flatnonzero(np.diff(w.offsets.to_numpy())).tolist():
                 x, y = w[r].as_py(), b[r].as_py()
                 cover[r] = (sum(x[1::2]) - sum(x[::2])) / max(1, batch.column(2)[r].as_py())
@@ -288,13 +289,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_words: int = 0, max_cov
                     if x[k + 1] - x[k] > max_words:
                         out.append(raw[at : y[k]])
                         at = y[k + 1]
-                new[r] = b"".join([*out, raw[at:]]).decode()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(cover)], names=["row", "text", "cover"])
+                if out:
+                    new[r], changed[r] = b"".join([*out, raw[at:]]).decode(), True
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(cover), pa.array(changed)], names=["row", "text", "cover", "changed"])
 
     kind = dict(spans.dtypes)["row"]
-    out = spans.mapInArrow(cut, f"row {kind}, text string, cover double").where(F.col("cover") <= max_coverage)
-    fresh = {column: F.col("text"), "n_chars": F.length("text").cast("long")}
-    return out.select(*[fresh[c].alias(c) if c in fresh else F.col("row").getField(c).alias(c) for c in docs.columns])
+    out = spans.mapInArrow(cut, f"row {kind}, text string, cover double, changed boolean").where(F.col("cover") <= max_coverage)
+    kept = lambda c: F.col("row").getField(c)
+    chars = lambda c: F.when(F.col("changed"), F.length("text").cast("long")).otherwise(kept(c))
+    return out.select(*[F.col("text").alias(c) if c == column else (chars if c == "n_chars" else kept)(c).alias(c) for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

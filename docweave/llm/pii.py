@@ -251,7 +251,7 @@ def pii_spans(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Dat
 
 def redact(docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with every span of ``column`` replaced by its kind in brackets; overlapping spans become one,
-    named after the first. Null texts stay null; ``n_chars``, where present, follows the text."""
+    named after the first. Null texts stay null; ``n_chars``, where present, follows a text that changed."""
     df = all_spans(docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(column), F.lit("")).alias("t")), "t")
     named_as = lambda k: F.transform(f"s_{k}", lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end"), F.lit(k.upper()).alias("kind")))
     named = F.concat(*map(named_as, [*BASE, *PROPOSED]))
@@ -262,7 +262,9 @@ def redact(docs: DataFrame, column: str = "text") -> DataFrame:
     )
     folded = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step, lambda acc: F.concat(F.array_join(acc.getField("parts"), ""), F.substring("t", acc.getField("at") + 1, F.length("t"))))
     text = F.when(F.size("spans") > 0, folded).otherwise(F.col("row").getField(column))
-    fresh = {column: text, "n_chars": F.coalesce(F.length(text), F.lit(0)).cast("long")}
+    fresh = {column: text}
+    if "n_chars" in docs.columns:
+        fresh["n_chars"] = F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("row").getField("n_chars"))
     return df.select(*[fresh[c].alias(c) if c in fresh else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
