@@ -4,7 +4,8 @@ Every document gets its rule figures inside its own row, without a shuffle.  Hos
 rule failures are summed by host (map-side first, so a host with a third of all rows costs one row a task), the
 failure rates are shrunk with a beta prior fitted to the hosts' rates by their moments, and a host is bad when
 even the lower end of its shrunken rate, two posterior deviations below the mean, is above ``bad_rate``.  The
-verdict goes back to the host's documents by a join whose host side has one row a host.
+verdict goes back to the host's documents by a join whose host side has one row a host: broadcast when the
+hosts are counted and few enough, else dealt out over salts, so that no host's documents meet in one task.
 
 Defined results: a null text counts as empty and fails (under ten words); a null host is the host "";
 repeated rows are rows of their own; an empty table gives an empty table; only the three named columns are read.
@@ -21,6 +22,8 @@ BLANK = " \t\n\x0b\f\r"
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT = 10, 30
 BAD_RATE = 0.5
+#: Hosts whose verdicts may be broadcast (about 50 bytes each); beyond, the join is salted.
+BROADCAST_HOSTS, SALTS = 1 << 18, 32
 #: Bounds of the prior's weight in documents; the second holds when the hosts' rates do not differ.
 PRIOR_WEIGHT = (2.0, 200.0)
 
@@ -89,7 +92,12 @@ def host_verdicts(judged: DataFrame, bad_rate: float = BAD_RATE) -> DataFrame:
 def quality_rules(docs: DataFrame, key: str = "doc_id", column: str = "text", source: str = "source", bad_rate: float = BAD_RATE) -> DataFrame:
     """Rule figures, base_failed, the host's figures, and kept, of every row of ``docs``."""
     judged = durable(with_failures(rule_figures(docs, key, column, source)))
-    out = judged.join(host_verdicts(judged, bad_rate), "host")
+    verdicts = durable(host_verdicts(judged, bad_rate))
+    if verdicts.count() <= BROADCAST_HOSTS:
+        out = judged.join(F.broadcast(verdicts), "host")
+    else:  # a host's documents meet its verdict in several tasks
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        out = judged.withColumn("salt", F.pmod(F.xxhash64(key, "n_words", "word_chars"), F.lit(SALTS)).cast("int")).join(verdicts.withColumn("salt", salts), ["host", "salt"])
     return out.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.col("host_ok")).alias("kept"), "host_docs", F.round("host_rate", 6).alias("host_rate"))
 
 

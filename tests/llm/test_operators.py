@@ -65,7 +65,9 @@ def test_quality(spark):
         assert not (r.kept and r.base_failed)
 
 
-def test_bad_host(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_bad_host(spark, monkeypatch, few):
+    monkeypatch.setattr(quality_rules, "BROADCAST_HOSTS", 100 if few else 0)
     good = " ".join(f"w{i}" for i in range(50))
     rows = [(i, "bad" if i % 2 else good + str(i), "http://evil.org/x" if i % 2 else "fine.org") for i in range(400)] + [(1001, good, "http://evil.org/y")]
     got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
