@@ -132,10 +132,13 @@ def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.
         sd, sl = place[head] >> 36, place[head] & ((1 << 36) - 1)
         key = mix(mix(xor + np.uint64(1)) + mix((b[sd].astype(np.uint64) << np.uint64(36)) + sl.astype(np.uint64)))
         short = np.flatnonzero(here & (np.bincount(sd, minlength=len(n)) < want))
+        more, owner = [key], [sd]
         for d in short.tolist():  # too few slots are filled: empty ones follow, in one order for all
             empty = np.setdiff1d(np.arange(int(slots[d])), sl[sd == d])
-            key = np.concatenate([key, mix(np.uint64(0xE) * mix((np.uint64(int(b[d])) << np.uint64(36)) + empty.astype(np.uint64)))])
-            size, sd = np.concatenate([size, np.zeros(len(empty), np.int64)]), np.concatenate([sd, np.full(len(empty), d)])
+            more.append(mix(np.uint64(0xE) * mix((np.uint64(int(b[d])) << np.uint64(36)) + empty.astype(np.uint64))))
+            owner.append(np.full(len(empty), d))
+        size = np.concatenate([size, np.zeros(sum(map(len, more)) - len(key), np.int64)])
+        key, sd = np.concatenate(more), np.concatenate(owner)
         full = bucket_of(key, buckets).astype(np.uint64) << np.uint64(40) | low(key, KEY_BYTES)
         late = np.zeros(len(key), bool)
         if hot is not None and len(hot):

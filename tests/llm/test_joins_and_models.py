@@ -59,6 +59,15 @@ def test_join_of_near_copies(spark):
     assert classes(spark.createDataFrame(rows, "doc_id long, text string")) == brute.jaccard_components(rows)
 
 
+def test_join_of_many_short_texts(spark):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(150):
+        w = [f"w{rnd.randint(0, 30)}" for _ in range(rnd.randint(5, 11))]
+        rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join([*w, "z"])), (len(rows) + 2, " ".join(w[1:]))]
+    assert classes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == brute.jaccard_components(rows)
+
+
 def test_join_of_large_groups_and_shared_passages(spark, monkeypatch):
     """Groups beyond the pair limit, and texts that share a passage but are otherwise unlike."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 16)
