@@ -42,7 +42,9 @@ SHINGLE = 5
 #: Similarity at least NUM / DEN.
 NUM, DEN = 75, 100
 #: Documents with one slot of which all pairs are candidates.
-GROUP = 32
+GROUP = 12
+#: Candidate pairs that a task forms at once.
+PAIRS_AT_ONCE = 1 << 18
 #: Rows of ids or keys that may be broadcast (8 bytes each); beyond, the same data is joined.
 BROADCAST_ROWS = 1 << 20
 BLOCK = 1024
@@ -210,27 +212,32 @@ def _meet(group: int):
         keys, docs, sizes = keys[~again], docs[~again], sizes[~again]
         head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         size = np.diff(np.concatenate([head, [len(keys)]]))
-        a, b = [], []
+
+        def candidates(a, b):
+            good = _linkable(sizes[a], sizes[b])
+            a, b = docs[a[good]], docs[b[good]]
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+            return 0, a[new], b[new]
+
         for s in np.unique(size[(size > 1) & (size <= group)]).tolist():
             x, y = np.triu_indices(s, 1)
             at = head[size == s]
-            a.append((at[:, None] + x).ravel())
-            b.append((at[:, None] + y).ravel())
-        hot = np.zeros(0, np.int64)
+            step = max(1, PAIRS_AT_ONCE // len(x))
+            for k in range(0, len(at), step):
+                part = at[k : k + step, None]
+                yield candidates((part + x).ravel(), (part + y).ravel())
         if (size > group).any():
             large, count = head[size > group], size[size > group]
             hot = np.repeat(large - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
             first = np.repeat(large, count)
-            a += [first[hot > first], hot[hot > first] - 1]
-            b += [hot[hot > first], hot[hot > first]]
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
-            good = _linkable(sizes[a], sizes[b])
-            pairs = np.unique(np.stack([docs[a[good]], docs[b[good]]], 1), axis=0)
-            for k in range(0, len(pairs), 1 << 16):
-                yield 0, pairs[k : k + (1 << 16), 0], pairs[k : k + (1 << 16), 1]
-        if len(hot):
-            yield 1, (np.uint64(bucket << 40) | keys[hot]).astype(np.int64), docs[hot]
+            for k in range(0, len(hot), PAIRS_AT_ONCE):
+                h, f = hot[k : k + PAIRS_AT_ONCE], first[k : k + PAIRS_AT_ONCE]
+                h, f = h[h > f], f[h > f]
+                yield candidates(np.concatenate([f, h - 1]), np.concatenate([h, h]))
+                h = hot[k : k + PAIRS_AT_ONCE]
+                yield 1, (np.uint64(bucket << 40) | keys[h]).astype(np.int64), docs[h]
 
     def run(batches):
         def out(bucket, parts):
