@@ -30,7 +30,7 @@ MARK = "▁"
 #: Words of up to this many characters run side by side; longer ones use the heap.
 SIDE_BY_SIDE = 48
 #: Words that a worker remembers in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 #: A text is also cut between one of these letters and one of these marks, if no piece of the vocabulary has both in a row.
 LETTERS, POINTS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#*$%&|"
