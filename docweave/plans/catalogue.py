@@ -194,22 +194,47 @@ s AS (SELECT doc_id, v, CASE WHEN fv <> '' AND contains(ft, fv) THEN 1.0 WHEN le
 """
 
 
-def _scored(spark, sf):
-    v = table(spark, sf, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("job"), F.left("text", F.lit(40)).alias("value"))
-    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("job"), F.left("text", (5 + F.col("item_id")).cast("int")).alias("value"))
-    layers = table(spark, sf, "documents").select(F.col("doc_id").alias("job"), "text")
+def _scored(spark, sf, whole=False):
+    d, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    if whole:
+        v, b = d.select(F.col("doc_id").alias("job"), F.col("text").alias("value")), items.select(F.col("item_id").alias("job"), F.col("text").alias("value"))
+    else:
+        v = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("job"), F.left("text", F.lit(40)).alias("value"))
+        b = items.select(F.col("item_id").alias("job"), F.left("text", (5 + F.col("item_id")).cast("int")).alias("value"))
+    layers = d.select(F.col("doc_id").alias("job"), "text")
     return scoring.score_values(v.union(b).withColumn("short", F.lit(True)), layers)
 
 
+def _flags(scored):
+    return scored.where(scoring.is_hallucination(F.col("score"), F.col("short"))).select("job", "value", F.round("score", 4).alias("score"))
+
+
+def _reviews(scored):
+    s = scored.where("score IS NOT NULL").groupBy("job").agg(F.count(F.lit(1)).alias("items"), F.round(F.avg("score"), 4).alias("confidence"), F.bool_or(F.col("score") < scoring.HALLUCINATION_BELOW).alias("bad"))
+    return s.select("job", "items", "confidence", (F.col("bad") | F.coalesce(F.col("confidence") < scoring.REVIEW_BELOW, F.lit(False))).alias("needs_review"))
+
+
 @query(_SCORED + "SELECT doc_id AS job, v AS value, round(score, 4) AS score FROM s WHERE score < 0.5")
 def hallucination_flags(spark, sf):
-    return _scored(spark, sf).where(scoring.is_hallucination(F.col("score"), F.col("short"))).select("job", "value", F.round("score", 4).alias("score"))
+    return _flags(_scored(spark, sf))
+
+
+# The SQL of a query fixes its rows; names in _all are the same work over every row and the whole text.
+
+
+@query()
+def hallucination_flags_all(spark, sf):
+    return _flags(_scored(spark, sf, whole=True))
 
 
 @query(_SCORED + "SELECT doc_id AS job, CAST(count(*) AS BIGINT) AS items, round(avg(score), 4) AS confidence, bool_or(score < 0.5) OR coalesce(round(avg(score), 4) < 0.7, false) AS needs_review FROM s WHERE score IS NOT NULL GROUP BY doc_id")
 def review_flag(spark, sf):
-    s = _scored(spark, sf).where("score IS NOT NULL").groupBy("job").agg(F.count(F.lit(1)).alias("items"), F.round(F.avg("score"), 4).alias("confidence"), F.bool_or(F.col("score") < scoring.HALLUCINATION_BELOW).alias("bad"))
-    return s.select("job", "items", "confidence", (F.col("bad") | F.coalesce(F.col("confidence") < scoring.REVIEW_BELOW, F.lit(False))).alias("needs_review"))
+    return _reviews(_scored(spark, sf))
+
+
+@query()
+def review_flag_all(spark, sf):
+    return _reviews(_scored(spark, sf, whole=True))
 
 
 @query("""WITH a AS (SELECT source, lang, avg(quality) AS q, avg(CAST(toxic AS DOUBLE)) AS x FROM labels JOIN documents USING (doc_id) GROUP BY source, lang)
@@ -250,6 +275,23 @@ def _snapshot(spark, sf):
     return now, asked
 
 
+def _whole_snapshot(spark, sf):
+    """Every event sets and asks for its user's job; jobs only set or only asked for are added under ids of their own."""
+    e, user = table(spark, sf, "events"), F.col("user_id")
+    at, other = F.col("ts"), F.lit(None).cast("string")
+    last = jobs.latest(e, "user_id", [F.desc("ts"), F.desc("event_id")])
+    now = last.select(F.explode(F.array(2 * user, -1 - 2 * user)).alias("job"), F.expr(_STATUS).alias("status"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("filename"), at.alias("created_at"), at.alias("updated_at"), other.alias("error_reason"))
+    asked = e.select(F.explode(F.array(2 * user, 2 * user + 1)).alias("job"), F.concat(F.lit("g"), F.col("event_id").cast("string")).alias("filename"), at.alias("at"))
+    return now, asked
+
+
+def _updated(now, asked):
+    first = asked.groupBy("job").agg(F.min("at").alias("at"))
+    k = F.col("job") % 4
+    changes = first.select("job", F.when(k == 1, "COMPLETED").when(k == 2, "REVIEW_PENDING").when(k == 3, "FAILED").otherwise("NONSENSE").alias("status"), "at")
+    return jobs.update_status(now, changes)[0].select("job", "status", "updated_at")
+
+
 @query(_SNAPSHOT + """SELECT coalesce(j.user_id, r.user_id) AS job, CASE WHEN t THEN 'PROCESSING' ELSE status END AS status, CASE WHEN t THEN r.filename ELSE j.filename END AS filename, CASE WHEN t THEN r.at ELSE j.at END AS updated_at
 FROM j FULL JOIN r ON j.user_id = r.user_id, LATERAL (SELECT r.user_id IS NOT NULL AND (status IS NULL OR status = 'FAILED') AS t)""")
 def job_upsert(spark, sf):
@@ -265,11 +307,22 @@ def job_conflicts(spark, sf):
 
 @query(_SNAPSHOT + """SELECT j.user_id AS job, coalesce(CASE r.user_id % 4 WHEN 1 THEN 'COMPLETED' WHEN 2 THEN 'REVIEW_PENDING' END, status) AS status, CASE WHEN r.user_id % 4 IN (1, 2) THEN greatest(r.at) ELSE j.at END AS updated_at FROM j LEFT JOIN r ON j.user_id = r.user_id""")
 def job_status_updates(spark, sf):
-    now, asked = _snapshot(spark, sf)
-    first = asked.groupBy("job").agg(F.min("at").alias("at"))
-    k = F.col("job") % 4
-    changes = first.select("job", F.when(k == 1, "COMPLETED").when(k == 2, "REVIEW_PENDING").when(k == 3, "FAILED").otherwise("NONSENSE").alias("status"), "at")
-    return jobs.update_status(now, changes)[0].select("job", "status", "updated_at")
+    return _updated(*_snapshot(spark, sf))
+
+
+@query()
+def job_upsert_all(spark, sf):
+    return jobs.register(*_whole_snapshot(spark, sf))[0].select("job", "status", "filename", "updated_at")
+
+
+@query()
+def job_conflicts_all(spark, sf):
+    return jobs.register(*_whole_snapshot(spark, sf))[1].select("job", "status", "filename", F.col("decision.code").alias("code"))
+
+
+@query()
+def job_status_updates_all(spark, sf):
+    return _updated(*_whole_snapshot(spark, sf))
 
 
 @query("""SELECT doc_id, CASE WHEN n_chars * 30000 > 500000000 THEN 'TOO_LARGE' WHEN doc_id % 7 = 0 THEN 'NOT_PDF' WHEN doc_id % 13 = 0 THEN 'HASH_MISMATCH' WHEN doc_id % 11 = 0 THEN 'ENCRYPTED' WHEN n_chars // 40 < 1 THEN 'DAMAGED' WHEN n_chars // 40 > 200 THEN 'TOO_MANY_PAGES' END AS reason FROM documents""")
@@ -350,7 +403,16 @@ i AS (SELECT *, sum(st) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED
 
 @query(_TURNS + """SELECT conv_id, CAST(island AS BIGINT) AS island, arg_min(heading, turn) AS heading, CAST(count(*) AS BIGINT) AS parts, sha256(list_reduce(list(trim(text) ORDER BY turn), lambda a, b: CASE WHEN ascii(right(a, 1)) < 128 AND ascii(left(b, 1)) < 128 THEN a || ' ' || b ELSE a || b END)) AS h FROM i GROUP BY conv_id, island""")
 def turn_islands(spark, sf):
-    c = table(spark, sf, "conversations").where("turn % 4 <> 2").select("conv_id", F.col("turn").alias("page"), F.lit(0).alias("idx"), F.when(F.col("role") == "user", F.left("text", F.lit(8))).otherwise("").alias("heading"), F.when(F.col("turn") % 5 == 4, F.lit(False)).alias("cont"), "text")
+    return _islands(table(spark, sf, "conversations").where("turn % 4 <> 2"))
+
+
+@query()
+def turn_islands_all(spark, sf):
+    return _islands(table(spark, sf, "conversations"))
+
+
+def _islands(turns):
+    c = turns.select("conv_id", F.col("turn").alias("page"), F.lit(0).alias("idx"), F.when(F.col("role") == "user", F.left("text", F.lit(8))).otherwise("").alias("heading"), F.when(F.col("turn") % 5 == 4, F.lit(False)).alias("cont"), "text")
     p = merge.section_islands(c, "conv_id").groupBy("conv_id", "island").agg(F.array_sort(F.collect_list(F.struct("page", "heading", "text"))).alias("p"))
     return p.select("conv_id", "island", F.col("p")[0].heading.alias("heading"), F.size("p").cast("long").alias("parts"), sha(t.join_fragments(F.transform("p", lambda x: t.trim_space(x.getField("text"))))).alias("h"))
 
@@ -439,8 +501,8 @@ a AS (SELECT n, o, greatest(least(e.x0 + 0.2, t.x0 + 0.2) - greatest(e.x0, t.x0)
 """
 
 
-def _overlap_sides(spark, sf):
-    p, size = table(spark, sf, "part").where("p_partkey % 2 = 0"), F.col("p_size")
+def _overlap_sides(parts):
+    p, size = parts, F.col("p_size")
     box = lambda x, y: F.array(x, y, x + 0.2, y + 0.2)
     e = p.select(F.lit("j").alias("job"), (F.col("p_partkey") % 50).alias("page"), F.col("p_partkey").cast("int").alias("n"), F.lit("LAYOUT_TABLE").alias("type"), box(size / 100, size / 200).alias("bbox"))
     x = p.select(F.lit("j").alias("job"), (F.col("p_partkey") % 50).alias("page"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("table_id"), F.col("p_partkey").cast("int").alias("table_ord"), box(size / 90, size / 150).alias("bbox"))
@@ -449,14 +511,23 @@ def _overlap_sides(spark, sf):
 
 @query(_OVERLAPS + "SELECT CAST(n AS INT) AS n, 't' || arg_max(o, (round(area, 9), -o)) AS table_id, round(max(area), 6) AS area FROM a WHERE area > 0 GROUP BY n")
 def overlap_match(spark, sf):
-    e, x = _overlap_sides(spark, sf)
+    return _overlaps(table(spark, sf, "part").where("p_partkey % 2 = 0"))
+
+
+@query()
+def overlap_match_all(spark, sf):
+    return _overlaps(table(spark, sf, "part"))
+
+
+def _overlaps(parts):
+    e, x = _overlap_sides(parts)
     pairs = e.withColumnRenamed("bbox", "box").join(x, ["job", "page"]).withColumn("area", scalars.overlap_area("box", "bbox")).where("area > 0")
     return pairs.groupBy("n").agg(F.max_by(F.struct("table_id"), F.struct(F.round("area", 9), -F.col("table_ord"))).alias("b"), F.round(F.max("area"), 6).alias("area")).select("n", "b.table_id", "area")
 
 
 @query()
 def overlap_exclusive(spark, sf):
-    return layout.exclusive_overlaps(*_overlap_sides(spark, sf)).select("n", "table_id")
+    return layout.exclusive_overlaps(*_overlap_sides(table(spark, sf, "part"))).select("n", "table_id")
 
 
 _CELLS = """WITH l AS (SELECT l_orderkey AS o, l_linenumber AS r, l_suppkey % 4 + 1 AS c, max(l_returnflag || l_partkey) AS text, bool_or(l_linenumber <= 2 AND l_linestatus = 'F') AS h FROM lineitem GROUP BY 1, 2, 3),
@@ -516,8 +587,8 @@ def doi_lookup(spark, sf):
 
 @query()
 def title_match(spark, sf):
-    works = table(spark, sf, "documents").select(F.concat(F.lit("10.1/"), F.col("doc_id").cast("string")).alias("doi"), F.left("text", F.lit(60)).alias("title"))
-    refs = table(spark, sf, "benchmark").select(F.lit("j").alias("job"), F.col("item_id").cast("int").alias("i"), F.lit(None).cast("string").alias("doi"), F.left("text", F.lit(80)).alias("title"), F.lit("").alias("raw"))
+    works = table(spark, sf, "documents").select(F.concat(F.lit("10.1/"), F.col("doc_id").cast("string")).alias("doi"), F.col("text").alias("title"))
+    refs = table(spark, sf, "benchmark").select(F.lit("j").alias("job"), F.col("item_id").cast("int").alias("i"), F.lit(None).cast("string").alias("doi"), F.col("text").alias("title"), F.lit("").alias("raw"))
     return references.check_references(refs, works)
 
 
