@@ -1,7 +1,7 @@
 """References checked against a table of registered works.
 
 A DOI is looked up by an equi-join; without one the title, else the raw text, finds candidates that share
-rare-enough tokens, of which the best three are compared in order.  The works table stands for the external
+tokens, of which the best three by the sum of 1 / works with the token are compared in order.  The works table stands for the external
 service; jobs or DOIs that it could not answer are listed as unavailable.
 """
 
@@ -15,8 +15,9 @@ from ..functions import text as t
 from . import scoring
 
 MAX_LOOKUPS, BREAKER, CANDIDATES = 100, 3, 3
-#: A token that more works than this carry ranks candidates but does not propose them.
+#: Tokens that more works than this carry are joined last, and only where they can change the best candidates.
 COMMON_TOKEN = 10_000
+SALT = 32
 
 
 def title_score(work_title, ref_title, ref_raw):
@@ -34,14 +35,36 @@ def lookup_doi(refs: DataFrame, works: DataFrame) -> DataFrame:
     return got.select("job", "i", "doi", status.alias("status"), "similarity", "matched_doi", "matched_title")
 
 
-def search_titles(refs: DataFrame, works: DataFrame) -> DataFrame:
+def best_candidates(mine: DataFrame, works: DataFrame, common: int = COMMON_TOKEN) -> DataFrame:
+    """(job, i, doi, rank): the best works for the tokens (job, i, token) of each reference.
+
+    Works that share a rare token come first. What all common tokens of a reference add up to bounds what a work
+    gains by them: works out of its reach of the third best are left, and a reference whose third best is within
+    that reach is ranked over all its tokens, salted.
+    """
+    key, near = ["job", "i"], 1 - 1e-9
+    tokens = works.select("doi", F.explode(F.array_distinct(t.tokenize("title"))).alias("token")).join(mine.select("token").distinct(), "token", "left_semi")
+    known = mine.join(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
+    hot = known.where(F.col("n") > common)
+    # Rounded, so that sums of the same weights tie in whatever order they were added.
+    weight = F.round(F.sum(1 / F.col("n")), 12)
+    order = W.partitionBy(*key).orderBy(F.desc("weight"), "doi")
+    first = known.where(F.col("n") <= common).join(tokens, "token").groupBy(*key, "doi").agg(weight.alias("weight"))
+    third = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CANDIDATES).groupBy(*key).agg(F.when(F.count(F.lit(1)) == CANDIDATES, F.min("weight")).alias("floor"))
+    reach = known.groupBy(*key).agg(F.coalesce(F.sum(F.when(F.col("n") > common, 1 / F.col("n"))), F.lit(0.0)).alias("reach")).join(third, key, "left")
+    reach = reach.withColumn("open", (F.col("reach") > 0) & (F.col("reach") >= F.coalesce("floor", F.lit(0.0)) * near))
+    kept = first.join(reach.where(~F.col("open")), key).where(F.col("floor").isNull() | (F.col("weight") + F.col("reach") >= F.col("floor") * near)).select(*key, "doi", "weight")
+    more = kept.select(*key, "doi").join(hot, key).join(tokens, ["doi", "token"]).groupBy(*key, "doi").agg(F.sum(1 / F.col("n")).alias("more"))
+    kept = kept.join(more, [*key, "doi"], "left").select(*key, "doi", F.round(F.col("weight") + F.coalesce("more", F.lit(0.0)), 12).alias("weight"))
+    spread = known.join(reach.where("open").select(*key), key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    rest = spread.join(tokens.withColumn("salt", F.pmod(F.hash("doi"), F.lit(SALT))), ["token", "salt"]).groupBy(*key, "doi").agg(weight.alias("weight"))
+    return kept.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CANDIDATES)
+
+
+def search_titles(refs: DataFrame, works: DataFrame, common: int = COMMON_TOKEN) -> DataFrame:
     """Status of references without a DOI: the first of the best candidates that is similar enough, else the most similar."""
     asked = refs.where("doi IS NULL").withColumn("query", t.first_non_empty("title", "raw"))
-    tokens = works.select("doi", F.explode(F.array_distinct(t.tokenize("title"))).alias("token"))
-    rare = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= COMMON_TOKEN)
-    mine = asked.where("query <> ''").select("job", "i", F.explode(F.array_distinct(t.tokenize("query"))).alias("token"))
-    common = mine.join(tokens.join(rare, "token"), "token").groupBy("job", "i", "doi").agg(F.sum(1 / F.col("n")).alias("weight"))
-    best = common.withColumn("rank", F.row_number().over(W.partitionBy("job", "i").orderBy(F.desc("weight"), "doi"))).where(F.col("rank") <= CANDIDATES)
+    best = best_candidates(asked.where("query <> ''").select("job", "i", F.explode(F.array_distinct(t.tokenize("query"))).alias("token")), works, common)
     scored = best.join(works.select("doi", F.col("title").alias("matched_title")), "doi").join(asked.select("job", "i", "title", "raw"), ["job", "i"]).withColumn("score", title_score(F.col("matched_title"), F.col("title"), F.col("raw"))).where("score IS NOT NULL")
     hit = F.struct("score", F.col("doi").alias("matched_doi"), "matched_title")
     picked = scored.groupBy("job", "i").agg(F.min_by(hit, F.when(F.col("score") >= scoring.TITLE_FROM, F.col("rank"))).alias("first"), F.max_by(hit, F.struct("score", -F.col("rank"))).alias("most"))

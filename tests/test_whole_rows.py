@@ -1,8 +1,11 @@
 """Queries over every row and the whole text, against plain Python."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from docweave.operators import references
 from docweave.plans.catalogue import QUERIES
 
 
@@ -57,3 +60,28 @@ def test_title_is_matched_whole(spark, sf):
     # Item 1 agrees with document 1 on its first 60 characters only.
     got = {r.i: r for r in QUERIES["title_match"](spark, sf).collect()}
     assert got[1].matched_doi == got[2].matched_doi == "10.1/2" and got[1].matched_title.endswith("w39") and got[2].status == "verified"
+
+
+@pytest.mark.parametrize("common", [0, 2, 6, 10_000])
+def test_common_tokens_rank_and_propose(spark, common):
+    rnd = random.Random(5)
+    words = [f"a{i}" for i in range(6)] + [f"b{i}" for i in range(60)]
+    pick = lambda: " ".join(rnd.choice(words[:6] if rnd.random() < 0.6 else words) for _ in range(rnd.randint(1, 7)))
+    works = [(f"d{i:03}", pick()) for i in range(120)]
+    refs = [("j", i, None, pick() if i % 2 else works[i][1], "") for i in range(40)]
+    have = {d: set(x.split()) for d, x in works}
+    n = {w: sum(w in s for s in have.values()) for w in words}
+    want = {}
+    for _, i, _, title, _ in refs:
+        mine = set(title.split())
+        got = sorted((-round(sum(1 / n[w] for w in sorted(mine & s)), 12), d) for d, s in have.items() if mine & s)
+        want[i] = [d for _, d in got[:3]]
+    w = spark.createDataFrame(works, "doi string, title string")
+    r = spark.createDataFrame(refs, "job string, i int, doi string, title string, raw string")
+    mine = r.select("job", "i", F.explode(F.array_distinct(F.split("title", " "))).alias("token"))
+    got = {}
+    for x in references.best_candidates(mine, w, common).orderBy("i", "rank").collect():
+        got.setdefault(x.i, []).append(x.doi)
+    assert got == {i: d for i, d in want.items() if d}
+    found = {x.i: x for x in references.search_titles(r, w, common).collect()}
+    assert all(found[i].matched_doi is not None for i in range(0, 40, 2))
