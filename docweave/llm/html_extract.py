@@ -38,7 +38,9 @@ TRAIN_PAGES, EPOCHS, PAGES_AT_ONCE, SEED = 480, 8, 64, 3
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never shown as text.
-HIDDEN_TAGS = frozenset("script style template noscript svg math iframe object title head textarea canvas audio video".split())
+HIDDEN_TAGS = frozenset("script style template noscript svg annotation annotation-xml iframe object title head textarea canvas audio video".split())
+#: Start tags that leave an open head open.
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe".split())
 #: A start tag ends open elements of these kinds, up to the nearest of the second group.
 CLOSES = {
@@ -54,10 +56,23 @@ CLOSES = {
 _CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd", "button", "label", "legend", "summary"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDES = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z0-9]+")
 
 
+def _hides(attrs: str) -> bool:
+    """Whether an attribute of a start tag, not a word in some value, hides the element."""
+    if not _MAY_HIDE.search(attrs):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), "".join(values).strip().lower()
+        if name == "hidden" and not value.startswith("until") or name == "aria-hidden" and value == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 class Block:
     __slots__ = ("path", "text", "links", "linked")
 
@@ -133,6 +148,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
+        if stack[-1][0] == "head" and tag not in HEAD_TAGS:
+            pop(len(stack) - 1)
         kinds, bounds = CLOSES.get(tag, ({"p"}, CLOSES["p"][1]) if tag in _CLOSES_P else ((), ()))
         for k in range(len(stack) - 1, 0, -1) if kinds else ():
             if stack[k][0] in kinds:
@@ -152,7 +169,7 @@ def blocks(page: str) -> list[Block]:
             anchors += 1
         if tag in BLOCK_TAGS or names:
             path = (*path, tag, *names) if tag in BLOCK_TAGS else (*path, *names)
-        stack.append((tag, path, hidden or tag in HIDDEN_TAGS or bool(attrs) and bool(_HIDES.search(attrs))))
+        stack.append((tag, path, hidden or tag in HIDDEN_TAGS or _hides(attrs)))
     pop(1)
     end()
     return out
