@@ -147,6 +147,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: s
     fm = FactorisationMachine()
     y = np.array([r["y"] for r in got])
     if len(set(y.tolist())) < 2:
+        fm.v[:] = 0
         return fm
     return fm.fit([(np.frombuffer(r["b"], np.int32), np.frombuffer(r["v"], np.float32)) for r in got], np.stack([np.frombuffer(r["s"]) for r in got]), (y > 0).astype(float))
 

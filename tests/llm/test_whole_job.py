@@ -1,6 +1,6 @@
 """Cases in which an operator once did less than its whole job."""
 
-from docweave.llm import html_extract
+from docweave.llm import html_extract, quality_classifier
 
 
 def test_hidden_is_an_attribute_not_a_word():
@@ -10,3 +10,11 @@ def test_hidden_is_an_attribute_not_a_word():
     assert texts("<html><head><title>t</title><meta charset=utf-8><style>p{}</style><body><p>One</p>") == ["One"]
     assert texts("<head><title>t</title><p>One</p>") == ["One"] and texts("<head><template><p>no</p></template></head><p>One</p>") == ["One"]
     assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p>") == ["Let x=1 be."]
+
+
+def test_unfitted_classifier_keeps_everything(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for labels in ([], [(k, 1) for k in range(1, 200)]):
+        model = quality_classifier.fit_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert {r.score for r in quality_classifier.quality_scores(docs, model).collect()} == {0.5}
+        assert quality_classifier.rejected_removed(docs, model).count() == docs.count()
