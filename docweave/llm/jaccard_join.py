@@ -110,6 +110,19 @@ def _prints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
 
 
+def _full(key: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket_of(key, buckets).astype(np.uint64) << np.uint64(40) | low(key, KEY_BYTES)
+
+
+def _among(x: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """Which of x are in the sorted array."""
+    if known is None or not len(known):
+        return np.zeros(len(x), bool)
+    at = np.searchsorted(known, x)
+    at[at == len(known)] = 0
+    return known[at] == x
+
+
 def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.ndarray | None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Keys that the documents send, and each key's document. n: sizes of the sets."""
     keys, docs = [], []
@@ -133,20 +146,17 @@ def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.
         size = np.diff(np.concatenate([head, [len(place)]]))
         sd, sl = place[head] >> 36, place[head] & ((1 << 36) - 1)
         key = mix(mix(xor + np.uint64(1)) + mix((b[sd].astype(np.uint64) << np.uint64(36)) + sl.astype(np.uint64)))
-        short = np.flatnonzero(here & (np.bincount(sd, minlength=len(n)) < want))
-        more, owner = [key], [sd]
-        for d in short.tolist():  # too few slots are filled: empty ones follow, in one order for all
-            empty = np.setdiff1d(np.arange(int(slots[d])), sl[sd == d])
-            more.append(mix(np.uint64(0xE) * mix((np.uint64(int(b[d])) << np.uint64(36)) + empty.astype(np.uint64))))
-            owner.append(np.full(len(empty), d))
-        size = np.concatenate([size, np.zeros(sum(map(len, more)) - len(key), np.int64)])
-        key, sd = np.concatenate(more), np.concatenate(owner)
-        full = bucket_of(key, buckets).astype(np.uint64) << np.uint64(40) | low(key, KEY_BYTES)
-        late = np.zeros(len(key), bool)
-        if hot is not None and len(hot):
-            at = np.searchsorted(hot, full)
-            at[at == len(hot)] = 0
-            late = hot[at] == full
+        cold = ~_among(_full(key, buckets), hot)
+        short = np.flatnonzero(here & ((np.bincount(sd[cold], minlength=len(n)) < want) | every))
+        # Too few slots are filled and not hot: empty ones come before the hot ones, in one order for all.
+        owner = np.repeat(short, slots[short])
+        empty = np.arange(len(owner)) - np.repeat(np.cumsum(slots[short]) - slots[short], slots[short])
+        free = ~_among(owner << 36 | empty, place[head])
+        owner, empty = owner[free], empty[free]
+        more = mix(np.uint64(0xE) * mix((b[owner].astype(np.uint64) << np.uint64(36)) + empty.astype(np.uint64)))
+        size = np.concatenate([size, np.zeros(len(more), np.int64)])
+        key, sd = np.concatenate([key, more]), np.concatenate([sd, owner])
+        late = _among(_full(key, buckets), hot)
         order = np.lexsort((key, -size, late, sd))
         sd, key = sd[order], key[order]
         rank = np.arange(len(sd)) - np.searchsorted(sd, sd)

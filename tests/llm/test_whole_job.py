@@ -1,6 +1,26 @@
 """Cases in which an operator once did less than its whole job."""
 
-from docweave.llm import html_extract, quality_classifier
+import random
+
+from docweave.llm import html_extract, jaccard_join, quality_classifier
+
+from . import brute
+
+
+def test_one_word_extensions_of_short_texts(spark, monkeypatch):
+    """More than GROUP texts that share a hot slot with a text that fills few slots itself."""
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(60):
+        base = [f"w{rnd.randint(0, 10**6)}" for _ in range(7)]
+        # The text itself is neither first nor last, so that the group's star and chain do not lead all to it.
+        rows += [(len(rows) + k, " ".join(base + [f"x{rnd.randint(0, 10**6)}"] * (k != 7))) for k in range(jaccard_join.GROUP + 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    want = brute.jaccard_components(rows)
+    run = lambda: {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicate_classes(df).collect()}
+    assert run() == want
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    assert run() == want
 
 
 def test_hidden_is_an_attribute_not_a_word():
