@@ -6,8 +6,6 @@ Every stage works on all that the one before kept; all but the last return the c
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +16,7 @@ from docweave.llm.jaccard_join import near_duplicates_removed
 from docweave.llm.pii import redact
 from docweave.llm.piece_codec import piece_digests
 from docweave.llm.quality_classifier import fit_quality, rejected_removed
-from docweave.workers import reachable
+from docweave.workers import reachable, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
+    reachable(spark)
     return redact(docs)
 
 
@@ -65,9 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
-    base = spark.sparkContext._jsc.sc().getCheckpointDir()
-    root = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    folder = os.path.join(root, f"pipeline-{uuid.uuid4().hex}")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -9,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,7 +41,7 @@ def row_slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def map_texts(df: DataFrame, keep: str, column: str, make: Callable, schema: str) -> DataFrame:
+def map_texts(df: DataFrame, keep: str, column: str, make: Callable, schema: str, own: str = "") -> DataFrame:
     """Run ``make(texts) -> columns`` over Arrow batches of (keep, column); null text is the empty text.
 
     Only the two named columns are read, so other columns, whatever their names, play no part.
@@ -50,15 +54,37 @@ def map_texts(df: DataFrame, keep: str, column: str, make: Callable, schema: str
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *make(texts[i:j])], names=names)
 
     names = [x.split(" ")[0] for x in schema.split(", ")]
-    return df.select(F.col(keep), F.col(column)).mapInArrow(run, schema)
+    return df.select(F.col(keep), F.col(column)).mapInArrow(tidy(run, own), schema)
 
 
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the session's shared checkpoint folder and read back: computed once, lineage cut, and
-    safe when executors are lost.  A folder of its own is set only where the session names none."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    safe when executors are lost."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+#: What a worker remembers between batches, by operator, and how to forget it.
+REMEMBERS: dict[str, Callable[[], None]] = {}
+
+
+def tidy(run: Callable, own: str = "") -> Callable:
+    """``run`` for mapInArrow in a worker that outlives it: what other operators remembered there is forgotten
+    first, and freed memory goes back to the system at the end of the task."""
+
+    def tidied(batches):
+        for name, forget in REMEMBERS.items():
+            if name != own:
+                forget()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return tidied
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

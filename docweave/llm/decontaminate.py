@@ -6,9 +6,9 @@ whole shorter item, hits the words it covers.  Matches of two words are looked u
 numpy first, so that only stretches in which every adjacent word pair occurs in some item, and which are long
 enough to hold a window, go through the automaton word by word.
 
-The items are the stated query set.  They are taken in blocks of at most ``block_bytes`` of text, each block
-one automaton that is broadcast; documents pass the blocks one after another, so no broadcast grows with the
-item table.
+The items are the stated query set.  Distinct ones are taken in blocks of about ``block_bytes`` of text, each block
+one automaton that is broadcast; a long item is cut into pieces that share a window less one word.  Documents pass
+the blocks one after another, so no broadcast grows with the item table.
 
 Defined results: null and empty texts have no words and no hits; items without words never occur; repeated
 items count once per ``item_id``, a null ``item_id`` as the empty string; repeated rows give repeated rows;
@@ -19,14 +19,14 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, table
+from .common import durable, table, tidy
 from .textnum import ALNUM_LOWER, Words, text_slices
 
 WINDOW = 10
@@ -179,11 +179,35 @@ class ItemAutomaton:
         return spans, items
 
 
-def _blocks(items: DataFrame, item_key: str, column: str, block_bytes: int) -> list[DataFrame]:
-    rows = items.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(column).cast("string"), F.lit("")).alias("text"))
+def _pieces(window: int, limit: int):
+    """(item, piece) of items: a long text in pieces of about ``limit`` bytes that share window - 1 words, so that
+    every window of the item is one of some piece, and no piece of a long item is shorter than a window."""
+
+    def run(batches):
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw, cuts = text.encode(), [(0, None)]
+                if len(raw) > limit:
+                    words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM_LOWER)
+                    size = max(window, int(len(words) * limit / len(raw)))
+                    cuts = [(k, k + size + window - 1) for k in range(0, max(1, len(words) - window + 1), size)]
+                out = [text] if len(cuts) == 1 else [raw[words.start[a] : words.end[min(b, len(words)) - 1]].decode() for a, b in cuts]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(out), pa.string()), pa.array(out, pa.string())], names=["item", "text"])
+
+    return run
+
+
+def _blocks(items: DataFrame, item_key: str, column: str, block_bytes: int, window: int) -> list[DataFrame]:
+    """The distinct items in blocks of about half of ``block_bytes``, dealt by hash: repeats count once and a long
+    item is cut, so no block outgrows what is collected and broadcast."""
+    rows = items.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(column).cast("string"), F.lit("")).alias("text")).distinct()
+    rows = rows.mapInArrow(tidy(_pieces(window, max(1, block_bytes // 16))), "item string, text string")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, math.ceil(size / block_bytes))
-    return [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
+    if size <= block_bytes:
+        return [rows]
+    n = math.ceil(size / (block_bytes / 2))
+    rows = durable(rows)
+    return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -196,29 +220,28 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", column: str = "text", item_key: str = "item_id", item_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, text, n_words, word_spans, byte_spans, items) of every row.
-
-    Spans are flat lists of (from, to) pairs: of word numbers, and of UTF-8 byte positions in the text.
-    """
+def _scan(docs: DataFrame, items: DataFrame, window: int, key: str, column: str, item_key: str, item_column: str, block_bytes: int, finish: Callable | None, schema: str) -> DataFrame:
+    """One pass of all texts for each block of items. ``finish`` turns what the last one found, slice by slice, into
+    rows of ``schema``: it gets the keys, the texts, the words of each, and lists of word spans, byte spans and items."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[key]
-    schema = f"{key} {kind}, text string, n_words long, word_spans array<int>, byte_spans array<long>, items array<string>"
+    spans = f"`{key}` {kind}, text string, n_words long, word_spans array<int>, byte_spans array<long>, items array<string>"
     names = [key, "text", "n_words", "word_spans", "byte_spans", "items"]
     out = docs.select(F.col(key), F.col(column).cast("string").alias("text"))
-    done = False
-    for turn, block in enumerate(_blocks(items, item_key, item_column, block_bytes)):
+    blocks = _blocks(items, item_key, item_column, block_bytes, window)
+    for turn, block in enumerate(blocks):
         if turn and turn % BLOCKS_AT_ONCE == 0:
             out = durable(out)
         automaton = spark.sparkContext.broadcast(ItemAutomaton([(r["item"], r["text"]) for r in block.collect()], window))
+        last = turn == len(blocks) - 1
 
-        def run(batches, automaton=automaton, again=done):
+        def run(batches, automaton=automaton, again=turn > 0, end=finish if last else None):
             for batch in batches:
                 found = automaton.value
                 texts = batch.column(1)
                 for i, j, data, bounds in text_slices(texts):
                     words = Words(data, bounds, ALNUM_LOWER)
-                    spans, got = found.hits(words)
+                    hit, got = found.hits(words)
                     w: list[list] = [[] for _ in range(j - i)]
                     b: list[list] = [[] for _ in range(j - i)]
                     k: list[list] = [[] for _ in range(j - i)]
@@ -228,7 +251,7 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                     for first, x in got.items():
                         d = int(np.searchsorted(words.first, first, side="right")) - 1
                         k[d] = sorted({*k[d], *x})
-                    for a, e in spans:
+                    for a, e in hit:
                         d = int(np.searchsorted(words.first, a, side="right")) - 1
                         base = int(words.first[d])
                         w[d].append((a - base, e - base))
@@ -238,63 +261,61 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                             base, at = int(words.first[d]), int(bounds[d])
                             b[d] = [x for a, e in w[d] for x in (int(words.start[base + a]) - at, int(words.end[base + e - 1]) - at)]
                             w[d] = [x for p in w[d] for x in p]
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(i, j - i), texts.slice(i, j - i), pa.array(words.counts, pa.int64()), pa.array(w, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int64())), pa.array(k, pa.list_(pa.string()))],
-                        names=names,
-                    )
+                    keys, own = batch.column(0).slice(i, j - i), texts.slice(i, j - i)
+                    if end is not None:
+                        yield end(keys, own, words.counts, w, b, k)
+                    else:
+                        yield pa.RecordBatch.from_arrays([keys, own, pa.array(words.counts, pa.int64()), pa.array(w, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int64())), pa.array(k, pa.list_(pa.string()))], names=names)
 
-        out, done = out.mapInArrow(run, schema), True
+        out = out.mapInArrow(tidy(run), schema if last and finish else spans)
     return out
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", **names) -> DataFrame:
+def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", column: str = "text", item_key: str = "item_id", item_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, text, n_words, word_spans, byte_spans, items) of every row.
+
+    Spans are flat lists of (from, to) pairs: of word numbers, and of UTF-8 byte positions in the text.
+    """
+    return _scan(docs, items, window, key, column, item_key, item_column, block_bytes, None, "")
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", column: str = "text", item_key: str = "item_id", item_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_words, n_hit, n_items, items_sha256, contaminated) of every row."""
-    spans = contaminated_spans(docs, items, window, key, **names)
-    kind = dict(spans.dtypes)[key]
     clean = hashlib.sha256(b"").hexdigest()
 
-    def run(batches):
-        for batch in batches:
-            flat = batch.column(2)
-            hit = np.zeros(len(batch), np.int64)
-            n = np.zeros(len(batch), np.int64)
-            sha = [clean] * len(batch)
-            counts = np.diff(flat.offsets.to_numpy())
-            for r in np.flatnonzero(counts).tolist():
-                x = flat[r].as_py()
-                hit[r] = sum(x[1::2]) - sum(x[::2])
-                ids = sorted(batch.column(3)[r].as_py())
-                n[r], sha[r] = len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hit), pa.array(n), pa.array(sha, pa.string()), pa.array(hit > 0)], names=[key, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-    return spans.select(key, "n_words", "word_spans", "items").mapInArrow(run, f"{key} {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, max_words: int = 0, max_coverage: float = 0.5, window: int = WINDOW, key: str = "doc_id", column: str = "text") -> DataFrame:
+    def digest(keys, _, n_words, w, __, k):
+        hit = np.array([sum(x[1::2]) - sum(x[::2]) for x in w], np.int64)
+        sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() if x else clean for x in k]
+        return pa.RecordBatch.from_arrays([keys, pa.array(n_words, pa.int64()), pa.array(hit), pa.array([len(x) for x in k], pa.int64()), pa.array(sha, pa.string()), pa.array(hit > 0)], names=[key, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+    return _scan(docs, items, window, key, column, item_key, item_column, block_bytes, digest, f"`{key}` {dict(docs.dtypes)[key]}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, max_words: int = 0, max_coverage: float = 0.5, window: int = WINDOW, column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without contaminated passages: documents of which more than ``max_coverage`` of the words are
     hit are left out, and hit stretches of more than ``max_words`` words are cut out of the other texts.
     Clean rows stay as they are; ``n_chars``, where present, follows a text that was cut."""
-    others = [c for c in docs.columns if c != column] or [F.lit(0).alias("_")]
-    spans = contaminated_spans(docs.select(F.struct(*others).alias("row"), F.col(column).alias("text")), items, window, "row", "text")
-
-    def cut(batches):
-        for batch in batches:
-            texts, w, b = batch.column(1), batch.column(3), batch.column(4)
-            new, cover, changed = texts.to_pylist(), np.zeros(len(batch)), np.zeros(len(batch), bool)
-            for r in np.flatnonzero(np.diff(w.offsets.to_numpy())).tolist():
-                x, y = w[r].as_py(), b[r].as_py()
-                cover[r] = (sum(x[1::2]) - sum(x[::2])) / max(1, batch.column(2)[r].as_py())
-                raw, out, at = new[r].encode(), [], 0
-                for k in range(0, len(x), 2):
-                    if x[k + 1] - x[k] > max_words:
-                        out.append(raw[at : y[k]])
-                        at = y[k + 1]
-                if out:
-                    new[r], changed[r] = b"".join([*out, raw[at:]]).decode(), True
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(cover), pa.array(changed)], names=["row", "text", "cover", "changed"])
-
-    kind = dict(spans.dtypes)["row"]
-    out = spans.mapInArrow(cut, f"row {kind}, text string, cover double, changed boolean").where(F.col("cover") <= max_coverage)
+    others = [F.col(c) for c in docs.columns if c != column] or [F.lit(0).alias("_")]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(column).cast("string").alias("text"))
+
+    def cut(keys, texts, n_words, w, b, _):
+        keep, changed, new = np.ones(len(texts), bool), np.zeros(len(texts), bool), {}
+        for r in [r for r, x in enumerate(w) if x]:
+            x, y = w[r], b[r]
+            keep[r] = sum(x[1::2]) - sum(x[::2]) <= max_coverage * n_words[r]
+            raw, out, at = texts[r].as_py().encode(), [], 0
+            for k in range(0, len(x), 2):
+                if x[k + 1] - x[k] > max_words:
+                    out.append(raw[at : y[k]])
+                    at = y[k + 1]
+            if out:
+                new[r], changed[r] = b"".join([*out, raw[at:]]).decode(), True
+        if new:
+            texts = pa.array([new.get(r, t) for r, t in enumerate(texts.to_pylist())], pa.string())
+        return pa.RecordBatch.from_arrays([keys, texts, pa.array(changed)], names=["row", "text", "changed"]).filter(pa.array(keep))
+
+    kind = dict(rows.dtypes)["row"]
+    out = _scan(rows, items, window, "row", "text", "item_id", "text", block_bytes, cut, f"row {kind}, text string, changed boolean")
     kept = lambda c: F.col("row").getField(c)
     chars = lambda c: F.when(F.col("changed"), F.length("text").cast("long")).otherwise(kept(c))
     return out.select(*[F.col("text").alias(c) if c == column else (chars if c == "n_chars" else kept)(c).alias(c) for c in docs.columns])

@@ -3,7 +3,8 @@
 A document's set of word shingles is dealt by hash to K slots, and each slot keeps the XOR of its shingles'
 hashes.  A shingle in only one of two documents changes one slot, so the number of differing slots is at most
 the symmetric difference, and the same holds for the differing bits of a one-bit-a-shingle parity sketch.
-Sets of n and m shingles with similarity 3/4 or more differ in at most (n+m)/7 shingles.
+Sets of n and m shingles with similarity 3/4 or more differ in at most (n+m)/7 shingles.  A sketch has two to four
+bits a shingle, a power of two: the longer one of a pair folds onto the shorter, and the bound still holds.
 
 1. Documents with equal sets are one class; the smallest doc_id stands for it.
 2. Size bands: a band's documents use the same K; those within a quarter of the next band are guests there, so
@@ -12,13 +13,14 @@ Sets of n and m shingles with similarity 3/4 or more differ in at most (n+m)/7 s
    (slots with many shingles first); linkable pairs have one of them in common.
 4. Groups of up to ``GROUP`` documents with one slot give all their pairs as candidates.  A larger group gives
    a star and a chain, and its slot is "hot": its documents send slots again with hot slots last in the order.
-5. Candidates are verified in full: first one for each document, then those whose ends are not yet connected,
-   after comparing their parity sketches.
+5. Candidates whose parity sketches differ in more bits than linked sets can are dropped; the others are verified
+   in full on 64-bit shingle hashes: first one for each document, then those whose ends are not yet connected.
 6. Groups that are still large hold documents made of hot slots, mostly connected by now.  Their remaining
    pairs, those between different components, are compared by parity sketch block by block and verified.
 
 So every link between different texts is found or lies inside an already connected component, and no group of
-copies is expanded into its pairs.  The final components are exact.
+copies is expanded into its pairs.  The components are exact up to collisions of 64-bit hashes, of which 10^10
+different shingles hold three pairs or so; a slot key of 40 bits only ever proposes a pair too many.
 
 Defined results: null and empty texts have an empty set and link with nothing; rows that share a ``doc_id``
 are one node; rows without ``doc_id`` get no component; an empty table gives an empty table; other columns are
@@ -32,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, table
+from .common import durable, table, tidy
 from .components import components
-from .packed import bucket_count, bucket_of, low, pack, unpack
+from .packed import Packer, bucket_count, bucket_of, low, unpack
 from .substring_dedup import _rows, _unique
 from .textnum import SPACED_LOWER, Words, mix, text_slices
 
@@ -49,7 +51,6 @@ PAIRS_AT_ONCE = 1 << 18
 BROADCAST_ROWS = 1 << 20
 BLOCK = 1024
 KEY_BYTES = 5
-SKETCH_BITS = 1024
 
 
 def _band_starts() -> np.ndarray:
@@ -84,12 +85,34 @@ def _sequence(h: np.ndarray) -> np.uint64:
     return out[0]
 
 
-def parity_sketch(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """One row of SKETCH_BITS bits a document: each shingle flips one."""
-    out = np.zeros((len(begin) - 1, SKETCH_BITS // 64), np.uint64)
-    bit = (mix(h + np.uint64(77)) >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
-    doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    np.bitwise_xor.at(out, (doc, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+def parity_sketches(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Each document's parity sketch: a shingle flips one of its bits, of which a power of two, 2 to 4 a shingle."""
+    n = np.diff(begin)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    doc = np.repeat(np.arange(len(n)), n)
+    at = first[doc] + (mix(h + np.uint64(77)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    raw = np.packbits((np.bincount(at, minlength=int(first[-1])) & 1).astype(np.uint8), bitorder="little")
+    return [raw[a:b].tobytes() for a, b in zip((first[:-1] // 8).tolist(), (first[1:] // 8).tolist())]
+
+
+def _folded(s: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one a row) of fewer bits: halves are laid over each other."""
+    while s.shape[1] > words:
+        half = s.shape[1] // 2
+        s = s[:, :half] ^ s[:, half:]
+    return s
+
+
+def bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Bits in which the sketches of each pair differ, at the shorter one's length."""
+    size = np.array([(len(a), len(b)) for a, b in zip(left, right)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(left), np.int64)
+    for la, lb in np.unique(size, axis=0).tolist():
+        rows = np.flatnonzero((size == (la, lb)).all(1))
+        a, b = (np.frombuffer(b"".join([x[r] for r in rows.tolist()]), np.uint64).reshape(len(rows), -1) for x in (left, right))
+        words = min(la, lb) // 8
+        out[rows] = np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum(1)
     return out
 
 
@@ -107,7 +130,7 @@ def _prints(docs: DataFrame) -> DataFrame:
                     sums.append((total[begin[1:]] - total[begin[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(begin)), *map(pa.array, sums)], names=["doc_id", "n", "s1", "s2"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, s1 long, s2 long")
 
 
 def _full(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -174,6 +197,7 @@ def _send(buckets: int, hot=None, per_doc: bool = False):
     """Packed slots of documents. hot: a broadcast of hot keys; per_doc: a third column has each document's."""
 
     def run(batches):
+        out = Packer(buckets, KEY_BYTES)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, data, bounds in text_slices(batch.column(1)):
@@ -183,9 +207,8 @@ def _send(buckets: int, hot=None, per_doc: bool = False):
                 if per_doc:
                     late = np.unique(np.array([x for row in batch.column(2).slice(i, j - i).to_pylist() for x in row or ()], np.int64).astype(np.uint64))
                 key, doc = _slots(h, doc, n, buckets, late)
-                rows = list(pack(key, doc, np.stack([ids[i:j], n], 1).astype(np.int64), bucket_of(key, buckets), buckets, KEY_BYTES))
-                b, p = zip(*rows) if rows else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array([0] * len(b), pa.int32()), pa.array(p, pa.binary())], names=["bucket", "kind", "payload"])
+                yield from out.add(0, key, doc, np.stack([ids[i:j], n], 1), bucket_of(key, buckets))
+        yield from out.flush()
 
     return run
 
@@ -275,25 +298,20 @@ def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, sketch: bool) -> DataFrame:
-    """(doc_id, n, s): the sorted set in five bytes a shingle, or the parity sketch."""
+    """(doc_id, n, s): the sorted set in eight bytes a shingle, or the parity sketch."""
 
     def run(batches):
         for batch in batches:
             for i, j, data, bounds in text_slices(batch.column(1)):
-                h, doc, begin = shingle_sets(data, bounds)
-                if sketch:
-                    s = [x.tobytes() for x in parity_sketch(h, begin)]
-                else:
-                    raw = mix(h)[np.lexsort((low(mix(h), 5), doc))].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                    s = [raw[begin[k] : begin[k + 1]].tobytes() for k in range(j - i)]
+                h, _, begin = shingle_sets(data, bounds)
+                s = parity_sketches(h, begin) if sketch else [h[begin[k] : begin[k + 1]].tobytes() for k in range(j - i)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(begin)), pa.array(s, pa.binary())], names=["doc_id", "n", "s"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, s binary")
 
 
 def _with(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs with both ends' (n, s); a class of one id is one row, so neither side multiplies."""
-    sets = sets.dropDuplicates(["doc_id"])
+    """Pairs with both ends' (n, s), of which there is one row a doc_id."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
@@ -302,8 +320,7 @@ def _with(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _near_enough(batches):
     """Pairs whose parity sketches differ in no more bits than linked sets can."""
     for batch in batches:
-        s = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(len(batch), -1) for k in (4, 5)]
-        apart = np.bitwise_count(s[0] ^ s[1]).sum(1)
+        apart = bits_apart(batch.column(4).to_pylist(), batch.column(5).to_pylist())
         total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
         keep = apart * (DEN + NUM) <= total * (DEN - NUM)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
@@ -311,21 +328,24 @@ def _near_enough(batches):
 
 def _linked(batches):
     """Pairs whose sets are similar enough."""
-    wide = lambda s: np.pad(np.frombuffer(s, np.uint8).reshape(-1, 5), ((0, 0), (0, 3))).view("<u8").ravel()
     for batch in batches:
         n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
         keep = _linkable(n, m)
         for r in np.flatnonzero(keep).tolist():
-            same = len(np.intersect1d(wide(batch.column(4)[r].as_py()), wide(batch.column(5)[r].as_py()), assume_unique=True))
+            a, b = (np.frombuffer(batch.column(k)[r].as_py(), np.uint64) for k in (4, 5))
+            same = int(_among(a, b).sum())
             keep[r] = DEN * same >= NUM * (n[r] + m[r] - same)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The links among candidate pairs: by sketch, then in full."""
-    ends = lambda p: durable(p.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    pairs = durable(_with(pairs, _sets(_only(docs, ends(pairs), "left_semi"), True)).mapInArrow(_near_enough, "a long, b long"))
-    return durable(_with(pairs, _sets(_only(docs, ends(pairs), "left_semi"), False)).mapInArrow(_linked, "a long, b long"))
+    near = durable(_with(pairs, sketches).mapInArrow(tidy(_near_enough), "a long, b long"))
+    return durable(_with(near, _sets(_only(docs, _ends(near), "left_semi"), False).dropDuplicates(["doc_id"])).mapInArrow(tidy(_linked), "a long, b long"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return durable(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -337,7 +357,9 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def _compare_blocks(left: pa.Table) -> pa.Table:
     """Candidates of two blocks of one hot group: different components, linkable sizes, near sketches."""
     doc, label, n = (left.column(c).to_numpy() for c in ("doc_id", "component", "n"))
-    s = np.frombuffer(b"".join(left.column("s").to_pylist()), np.uint64).reshape(len(doc), -1)
+    raw = [np.frombuffer(x, np.uint64)[None] for x in left.column("s").to_pylist()]
+    words = min(x.size for x in raw)
+    s = np.concatenate([_folded(x, words) for x in raw])
     values, counts = np.unique(label, return_counts=True)
     a, b = [], []
     for i in np.flatnonzero(label != values[counts.argmax()]).tolist():
@@ -350,13 +372,14 @@ def _compare_blocks(left: pa.Table) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _rest(hot: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest(hot: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Candidates between components of the groups (key, doc_id) that stayed large."""
     hot = hot.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = hot.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    hot = durable(hot.join(mixed, "key"))
-    sets = _sets(_only(docs, durable(hot.select("doc_id").distinct()), "left_semi"), True).dropDuplicates(["doc_id"])
-    blocks = hot.join(sets, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    mixed = hot.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    mixed = durable(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    # Counted, so that the members of a hot key need not meet in one task to learn its size.
+    hot = durable(hot.join(F.broadcast(mixed) if mixed.count() <= BROADCAST_ROWS else mixed, "key"))
+    blocks = hot.join(sketches, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc_id", "component", "n", "s")
     return met.groupBy("key", "x", "y").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
@@ -374,10 +397,10 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", column: str = "
     single = _only(filled, copies.select("doc_id"), "left_anti")
 
     def met(sent: DataFrame) -> DataFrame:
-        return durable(sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet(GROUP), "kind int, a long, b long"))
+        return durable(sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_meet(GROUP)), "kind int, a long, b long"))
 
     packed = "bucket int, kind int, payload binary"
-    first = met(single.mapInArrow(_send(buckets), packed))
+    first = met(single.mapInArrow(tidy(_send(buckets)), packed))
     found, hot = first.where("kind = 0").select("a", "b"), first.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
     hot_keys = durable(hot.select("key").distinct())
     rest = None
@@ -385,20 +408,24 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", column: str = "
         again = _only(single, durable(hot.select("doc_id").distinct()), "left_semi").select("doc_id", "text")
         if n_hot <= BROADCAST_ROWS:
             keys = np.sort(np.array([r["key"] for r in hot_keys.collect()], np.int64).astype(np.uint64))
-            sent = again.mapInArrow(_send(buckets, docs.sparkSession.sparkContext.broadcast(keys)), packed)
+            sent = again.mapInArrow(tidy(_send(buckets, docs.sparkSession.sparkContext.broadcast(keys))), packed)
         else:
-            own = again.mapInArrow(_all_keys(buckets), "key long, doc_id long").join(hot_keys, "key", "left_semi").groupBy("doc_id").agg(F.collect_list("key").alias("late"))
-            sent = again.join(own, "doc_id", "left").select("doc_id", "text", "late").mapInArrow(_send(buckets, per_doc=True), packed)
+            own = again.mapInArrow(tidy(_all_keys(buckets)), "key long, doc_id long").join(hot_keys, "key", "left_semi").groupBy("doc_id").agg(F.collect_list("key").alias("late"))
+            sent = again.join(own, "doc_id", "left").select("doc_id", "text", "late").mapInArrow(tidy(_send(buckets, per_doc=True)), packed)
         second = met(sent)
         found = found.union(second.where("kind = 0").select("a", "b"))
         rest = second.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
     found = durable(found.distinct())
-    links = _verified(durable(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), filled)
+    met_ids = _ends(found)
+    if rest is not None:
+        met_ids = durable(met_ids.union(rest.select("doc_id")).distinct())
+    sketches = durable(_sets(_only(filled, met_ids, "left_semi"), True).dropDuplicates(["doc_id"]))
+    links = _verified(durable(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), filled, sketches)
     labels = durable(components(links))
-    links = links.union(_verified(durable(_labelled(found, labels)), filled))
+    links = links.union(_verified(durable(_labelled(found, labels)), filled, sketches))
     if rest is not None and not rest.isEmpty():
         labels = durable(components(links))
-        links = links.union(_verified(durable(_labelled(_rest(rest, labels, filled), labels)), filled))
+        links = links.union(_verified(durable(_labelled(_rest(rest, labels, sketches), labels)), filled, sketches))
     every = links.union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     labels = components(every)
     out = prints.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -1,7 +1,7 @@
 """Exchange of hash keys between documents in packed form.
 
 Operators that look for equal word windows send one key a word.  As rows that is one object a key; here the
-keys of an Arrow slice are dealt to buckets by their upper bits and sent as one binary value a bucket, so a
+keys of many Arrow slices are dealt to buckets by their upper bits and sent as one binary value a bucket, so a
 shuffle moves little more than the keys.  Buckets follow the hash, so a frequent key adds at most one entry a
 document to one bucket.  Answers go back in the same form, dealt by document.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +67,36 @@ def pack(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, place: np.ndarray, n:
         yield b, b"".join([np.array([len(heads), len(keys), ids[:1].size or 1], np.int32).tobytes(), ids[d[heads]].astype(np.int64).tobytes(), counts.tobytes(), np.ascontiguousarray(raw[:, :4]).tobytes(), np.ascontiguousarray(raw[:, 4:width]).tobytes()])
 
 
+class Packer:
+    """Gathers keys of kinds over the slices of a task and gives packed rows (bucket, kind, payload), once there are
+    ``limit`` keys: so a row holds many keys even where buckets are far more than a slice has keys."""
+
+    def __init__(self, n: int, width: int, limit: int = 1 << 20):
+        self.n, self.width, self.limit, self.size = n, width, limit, 0
+        self.parts: dict[int, list[tuple]] = {}
+
+    def add(self, kind: int, h: np.ndarray, doc: np.ndarray, ids: np.ndarray, place: np.ndarray):
+        """The keys ``h`` of documents ``ids[doc]``, ``doc`` ascending, for the buckets ``place``."""
+        self.parts.setdefault(kind, []).append((h, doc, ids, place.astype(np.int32)))
+        self.size += len(h)
+        return self.flush() if self.size >= self.limit else ()
+
+    def flush(self):
+        rows = []
+        for kind, parts in self.parts.items():
+            h, doc, ids, place = zip(*parts)
+            base = np.cumsum([0, *map(len, ids)])
+            doc = np.concatenate([d + b for d, b in zip(doc, base)])
+            rows += [(b, kind, p) for b, p in pack(np.concatenate(h), doc, np.concatenate(ids), np.concatenate(place), self.n, self.width)]
+        self.parts, self.size = {}, 0
+        return (batch_of(rows),) if rows else ()
+
+
+def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    b, k, p = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(p, pa.binary())], names=["bucket", "kind", "payload"])
+
+
 def unpack(payload: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, keys a document, keys) of a payload; keys as 64-bit numbers of their lowest ``width`` bytes."""
     m, n, c = np.frombuffer(payload, np.int32, 3).tolist()

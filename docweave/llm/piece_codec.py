@@ -24,13 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_texts, table, vocabulary
+from .common import REMEMBERS, map_texts, table, vocabulary
 
 MARK = "▁"
 #: Words of up to this many characters run side by side; longer ones use the heap.
 SIDE_BY_SIDE = 48
 #: Words that a worker remembers in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 
 #: A text is also cut between one of these letters and one of these marks, if no piece of the vocabulary has both in a row.
 LETTERS, POINTS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#*$%&|"
@@ -272,6 +272,7 @@ class PieceCodec:
 
 
 _codecs: dict[str, PieceCodec] = {}
+REMEMBERS["piece_codec"] = _codecs.clear
 
 
 def codec(path: str) -> PieceCodec:
@@ -287,7 +288,7 @@ def encode_pieces(docs: DataFrame, path: str, key: str = "doc_id", column: str =
         c = codec(path)
         return [pa.array([c.encode(t) for t in texts], pa.list_(pa.int32()))]
 
-    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, ids array<int>")
+    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, ids array<int>", "piece_codec")
 
 
 def decode_pieces(coded: DataFrame, path: str, key: str = "doc_id", column: str = "ids") -> DataFrame:
@@ -312,7 +313,7 @@ def piece_digests(docs: DataFrame, path: str, key: str = "doc_id", column: str =
         n, ids, back = zip(*codec(path).digest(texts)) if texts else ((), (), ())
         return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
 
-    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string", "piece_codec")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ products of low-rank factors for every pair of features, which the identity
 takes in time linear in the words.  It is fitted on at most ``sample`` labelled rows, those with the smallest
 hash of their id, never on held-out ones; labels, lang, source and doc_id are never features.
 
-Defined results: null and empty texts are scored from their statistics alone; rows without a label in the
-sample's classes leave the score at 0.5; repeated rows give repeated rows; an empty table gives an empty table.
+Defined results: null and empty texts are scored from their statistics alone; without labels of two classes every
+score is 0.5; of labelled rows that share an id one is learnt; repeated rows give repeated rows; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tidy
 from .textnum import SPACED_LOWER, Words, text_slices
 
 SAMPLE = 4000
@@ -115,9 +115,13 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 3 == 1
 
 
-def _read(docs: DataFrame, key: str, column: str) -> DataFrame:
+def _stated_of(docs: DataFrame, column: str) -> Column:
     stated = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.length(column).cast("double")
-    return docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(column), F.lit("")).alias("text"), F.greatest(F.coalesce(stated, F.lit(0.0)), F.lit(0.0)).alias("stated"))
+    return F.greatest(F.coalesce(stated, F.lit(0.0)), F.lit(0.0))
+
+
+def _read(docs: DataFrame, key: str, column: str) -> DataFrame:
+    return docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(column), F.lit("")).alias("text"), _stated_of(docs, column).alias("stated"))
 
 
 def _stated(batch: pa.RecordBatch) -> np.ndarray:
@@ -141,9 +145,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: s
                 )
 
     kind = dict(docs.dtypes)[key]
-    # The sample's size is bounded by the parameter, so it may be broadcast.
-    rows = _read(docs, key, column).join(F.broadcast(pick), "doc_id").select("doc_id", "text", "stated", F.col("quality").cast("double").alias("y"))
-    got = sorted(rows.mapInArrow(run, f"y double, b binary, v binary, s binary, doc_id {kind}").collect(), key=lambda r: (r["doc_id"], r["s"]))[: 2 * sample]
+    # The sample's size is bounded by the parameter, so it may be broadcast. Of rows that share an id the least text counts.
+    rows = _read(docs, key, column).join(F.broadcast(pick), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "stated")).alias("r"), F.max("quality").cast("double").alias("y"))
+    rows = rows.select("doc_id", "r.text", "r.stated", "y")
+    got = sorted(rows.mapInArrow(tidy(run), f"y double, b binary, v binary, s binary, doc_id {kind}").collect(), key=lambda r: (r["doc_id"], r["s"]))
     fm = FactorisationMachine()
     y = np.array([r["y"] for r in got])
     if len(set(y.tolist())) < 2:
@@ -163,24 +168,24 @@ def quality_scores(docs: DataFrame, model: FactorisationMachine, key: str = "doc
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(p)], names=[key, "score"])
 
     kind = dict(docs.dtypes)[key]
-    out = _read(docs, key, column).mapInArrow(run, f"{key} {kind}, score double")
+    out = _read(docs, key, column).mapInArrow(tidy(run), f"{key} {kind}, score double")
     return out.select(key, F.coalesce(held_out(F.col(key)), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def rejected_removed(docs: DataFrame, model: FactorisationMachine, column: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the documents that score below ``threshold``."""
     fm = docs.sparkSession.sparkContext.broadcast(model)
-    row = docs.select(F.struct(*docs.columns).alias("row"), *([F.col("n_chars")] if "n_chars" in docs.columns else []), F.col(column).alias("text"))
+    others = [F.col(c) for c in docs.columns if c != column] or [F.lit(0).alias("_")]
+    row = docs.select(F.struct(*others).alias("row"), F.col(column).cast("string").alias("text"), _stated_of(docs, column).alias("stated"))
 
     def run(batches):
         for batch in batches:
             for i, j, data, bounds in text_slices(batch.column(1)):
-                p = fm.value.score(*features(data, bounds, _stated(batch)[i:j])) if j > i else np.zeros(0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(p)], names=["row", "score"])
+                p = fm.value.score(*features(data, bounds, _stated(batch)[i:j]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["row", "text"]).slice(i, j - i).filter(pa.array(p >= threshold))
 
-    read = _read(row, "row", "text")
-    out = read.mapInArrow(run, f"row {dict(read.dtypes)['doc_id']}, score double")
-    return out.where(F.col("score") >= threshold).select("row.*")
+    out = row.mapInArrow(tidy(run), f"row {dict(row.dtypes)['row']}, text string")
+    return out.select(*[F.col("text").cast(kind).alias(c) if c == column else F.col("row").getField(c).alias(c) for c, kind in docs.dtypes])
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .packed import bucket_count, bucket_of, deal, home, homes, low, member, pack, unpack
+from .packed import Packer, batch_of, bucket_count, bucket_of, home, homes, low, member, pack, unpack
 from .textnum import SPACED, Words, text_slices
 
 WINDOW = 13
@@ -37,11 +37,6 @@ PACKED = "bucket int, kind int, payload binary"
 PROBE_BYTES, WINDOW_BYTES, ANSWER_BYTES = 4, 8, 5
 
 
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    b, k, p = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(p, pa.binary())], names=["bucket", "kind", "payload"])
-
-
 def _unique(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, key) pairs, by document."""
     order = np.lexsort((h, doc))
@@ -54,6 +49,7 @@ def _anchors(n: int, size: int):
     """Blocks (kind 0) and probes (kind 1) of documents."""
 
     def run(batches):
+        out = Packer(n, PROBE_BYTES)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, data, bounds in text_slices(batch.column(1)):
@@ -61,10 +57,10 @@ def _anchors(n: int, size: int):
                 h, at = words.windows(size)
                 doc = np.searchsorted(words.first, at, side="right") - 1
                 block = (at - words.first[doc]) % size == 0
-                rows = [(b, 0, p) for b, p in pack(h[block], doc[block], ids[i:j], bucket_of(h[block], n), n, PROBE_BYTES)]
+                yield from out.add(0, h[block], doc[block], ids[i:j], bucket_of(h[block], n))
                 h, doc = _unique(h, doc)
-                rows += [(b, 1, p) for b, p in pack(h, doc, ids[i:j], bucket_of(h, n), n, PROBE_BYTES)]
-                yield _batch(rows)
+                yield from out.add(1, h, doc, ids[i:j], bucket_of(h, n))
+        yield from out.flush()
 
     return run
 
@@ -90,7 +86,7 @@ class _Answers:
                 u, doc = np.unique(ids[order], return_inverse=True)
                 rows += [(b, kind, p) for b, p in pack(keys[order], doc, u, homes(u, self.n)[doc], self.n, self.width)]
         self.parts, self.size = {}, 0
-        return (_batch(rows),) if rows else ()
+        return (batch_of(rows),) if rows else ()
 
 
 def _rows(batches):
@@ -197,7 +193,7 @@ def _windows(n: int, size: int, window: int, key: str):
                 doc = np.searchsorted(words.first, at, side="right") - 1
                 h, doc = _unique(h, doc)
                 rows += [(b, 0, p) for b, p in pack(h, doc, u[place[i:j]], bucket_of(h, n), n, WINDOW_BYTES)]
-        return pa.Table.from_batches([_batch(rows)])
+        return pa.Table.from_batches([batch_of(rows)])
 
     return run
 

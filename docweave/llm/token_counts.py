@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_texts, table, vocabulary
+from .common import REMEMBERS, map_texts, table, vocabulary
 
 #: Blank characters as the byte-level pre-tokenizer's pattern sees them.
 BLANKS = "\t-\r \x85\xa0  -     　"
@@ -65,7 +65,7 @@ class PieceCounter:
         group, size = [], 0
         for p in pieces:
             group.append(p)
-            size += len(p)
+            size += len(p.encode())
             if size >= GROUP_BYTES:
                 self.known.update(zip(group, self.lengths(group)))
                 group, size = [], 0
@@ -78,7 +78,7 @@ class PieceCounter:
             group, size = [], 0
             for t in texts:
                 group.append(t)
-                size += len(t)
+                size += len(t.encode())
                 if size >= GROUP_BYTES:
                     out += self.lengths(group)
                     group, size = [], 0
@@ -94,6 +94,7 @@ class PieceCounter:
 
 
 _counters: dict[str, PieceCounter] = {}
+REMEMBERS["token_counts"] = _counters.clear
 
 
 def counter(path: str) -> PieceCounter:
@@ -109,7 +110,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
         n = counter(path).counts(texts)
         return [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())]
 
-    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_texts(docs, key, column, make, f"{key} {dict(docs.dtypes)[key]}, n_bytes long, n_tokens long, over_limit boolean", "token_counts")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ..functions import checks, scalars
 from ..functions import text as t
 from ..operators import compare, corpus, grid, jobs, layout, merge, references, scoring
 from ..sources import readers, writers
+from ..workers import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -635,13 +637,7 @@ def paging_chain(spark, sf):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    import os
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext._jsc.sc().getCheckpointDir()
-    root = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="flows-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _event_stream(spark, sf):

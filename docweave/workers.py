@@ -1,17 +1,43 @@
-"""Makes this package importable in Python workers that share the driver's files."""
+"""What Python workers and folders need before operators run."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
+#: Rows and bytes of an Arrow batch, where the application names none: texts are long, and a worker holds a batch whole.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Adds the package's folder to the workers' path. On a cluster, ship the package with ``--py-files``."""
+    """Adds the package's folder to the workers' path, and keeps Arrow batches small. On a cluster, ship the package
+    with ``--py-files``."""
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH")) if x)
+    named = spark.sparkContext.getConf()
+    for key, value in BATCH.items():
+        if not named.contains(key):
+            spark.conf.set(key, value)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and every executor see: the one of ``spark.checkpoint.dir``.
+
+    Where it is unset, a folder of this machine is taken if all runs on it; on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    if (base := sc._jsc.sc().getCheckpointDir()).isDefined():
+        return base.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+    sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()

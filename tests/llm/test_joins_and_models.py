@@ -96,8 +96,12 @@ def test_slot_bound():
     rnd = np.random.default_rng(0)
     a = np.unique(rnd.integers(0, 1 << 63, 300).astype(np.uint64))
     b = np.unique(np.concatenate([a[:270], rnd.integers(0, 1 << 63, 20).astype(np.uint64)]))
-    s = [jaccard_join.parity_sketch(x, np.array([0, len(x)]))[0] for x in (a, b)]
-    assert np.bitwise_count(s[0] ^ s[1]).sum() <= len(np.setxor1d(a, b))
+    c = np.unique(np.concatenate([b, rnd.integers(0, 1 << 63, 400).astype(np.uint64)]))  # of another length
+    s = [jaccard_join.parity_sketches(x, np.array([0, len(x)]))[0] for x in (a, b, c)]
+    assert len(s[0]) < len(s[2])
+    for x, y, left, right in ((a, b, s[0], s[1]), (a, c, s[0], s[2]), (b, c, s[1], s[2])):
+        assert jaccard_join.bits_apart([left], [right])[0] <= len(np.setxor1d(x, y))
+    assert jaccard_join.bits_apart(s, s).tolist() == [0, 0, 0]
 
 
 def test_quality_classifier(spark):

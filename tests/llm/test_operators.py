@@ -114,6 +114,22 @@ def test_contamination_in_blocks(spark):
     assert sorted(tuple(r) for r in decontaminate.contamination(d, items, block_bytes=900).collect()) == sorted(want)
 
 
+def test_contamination_by_long_and_repeated_items(spark):
+    """A long item is cut into pieces, repeated ones are taken once: blocks stay small and nothing is lost."""
+    rnd = random.Random(9)
+    long = [f"w{rnd.randint(0, 500)}" for _ in range(3000)]
+    items = [(1, " ".join(long)), (2, "Of the")] + [(3, " ".join(f"v{i}" for i in range(20)))] * 50
+    rows = [(k, " ".join(f"u{k}" for _ in range(5)) + " " + " ".join(long[a : a + n])) for k, (a, n) in enumerate((rnd.randint(0, 2990), rnd.randint(5, 60)) for _ in range(80))]
+    rows += [(900, items[-1][1] + " of the"), (901, None)]
+    its = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontaminate._blocks(its, "item_id", "text", 4000, decontaminate.WINDOW)
+    assert len(blocks) > 3 and max(sum(len(r.text) for r in b.collect()) for b in blocks) <= 6000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(docs, its, block_bytes=16_000).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute.contamination(rows, items))
+    assert decontaminate.contamination(docs.limit(0), its).count() == 0
+
+
 def test_decontaminate_cuts(spark):
     item = " ".join(f"w{i}" for i in range(12))
     rows = [(1, "a b c d e f g h i j k l m n " + item + " tail end", 0), (2, item, 0), (3, "clean", 5), (4, None, 0)]
