@@ -12,11 +12,14 @@ bits a shingle, a power of two: the longer one of a pair folds onto the shorter,
 3. Pigeonhole: at most D slots of a pair differ.  Every document sends its first D+1 slots in one global order
    (slots with many shingles first); linkable pairs have one of them in common.
 4. Groups of up to ``GROUP`` documents with one slot give all their pairs as candidates.  A larger group gives
-   a star and a chain, and its slot is "hot": its documents send slots again with hot slots last in the order.
+   a star and a chain, and its slot is "hot": its documents send slots again with hot slots last in the order,
+   the rarer ones of them first.
 5. Candidates whose parity sketches differ in more bits than linked sets can are dropped; the others are verified
    in full on 64-bit shingle hashes: first one for each document, then those whose ends are not yet connected.
-6. Groups that are still large hold documents made of hot slots, mostly connected by now.  Their remaining
-   pairs, those between different components, are compared by parity sketch block by block and verified.
+6. Groups that are still large hold documents made of hot slots, mostly connected by now.  Groups with the same
+   smallest document are taken together, so that a pair that shares many slots is compared once; documents outside
+   the group's largest component are compared with all its documents by parity sketch, block by block, and verified.
+   A group costs its size times the documents outside that component, the one part that is not linear.
 
 So every link between different texts is found or lies inside an already connected component, and no group of
 copies is expanded into its pairs.  The components are exact up to collisions of 64-bit hashes, of which 10^10
@@ -146,7 +149,22 @@ def _among(x: np.ndarray, known: np.ndarray | None) -> np.ndarray:
     return known[at] == x
 
 
-def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.ndarray | None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+Hot = tuple[np.ndarray, np.ndarray]
+
+
+def _lateness(x: np.ndarray, hot: Hot | None) -> np.ndarray:
+    """How late keys come in the order: 0 where they are not hot, else by the number of documents that have them.
+    hot: sorted keys, and the class of each one's number."""
+    late = np.zeros(len(x), np.int64)
+    if hot is not None and len(hot[0]):
+        at = np.searchsorted(hot[0], x)
+        at[at == len(hot[0])] = 0
+        is_hot = hot[0][at] == x
+        late[is_hot] = hot[1][at[is_hot]]
+    return late
+
+
+def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: Hot | None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Keys that the documents send, and each key's document. n: sizes of the sets."""
     keys, docs = [], []
     band = np.searchsorted(BANDS, n, side="right") - 1
@@ -169,7 +187,7 @@ def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.
         size = np.diff(np.concatenate([head, [len(place)]]))
         sd, sl = place[head] >> 36, place[head] & ((1 << 36) - 1)
         key = mix(mix(xor + np.uint64(1)) + mix((b[sd].astype(np.uint64) << np.uint64(36)) + sl.astype(np.uint64)))
-        cold = ~_among(_full(key, buckets), hot)
+        cold = _lateness(_full(key, buckets), hot) == 0
         short = np.flatnonzero(here & ((np.bincount(sd[cold], minlength=len(n)) < want) | every))
         # Too few slots are filled and not hot: empty ones come before the hot ones, in one order for all.
         owner = np.repeat(short, slots[short])
@@ -179,7 +197,7 @@ def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.
         more = mix(np.uint64(0xE) * mix((b[owner].astype(np.uint64) << np.uint64(36)) + empty.astype(np.uint64)))
         size = np.concatenate([size, np.zeros(len(more), np.int64)])
         key, sd = np.concatenate([key, more]), np.concatenate([sd, owner])
-        late = _among(_full(key, buckets), hot)
+        late = _lateness(_full(key, buckets), hot)
         order = np.lexsort((key, -size, late, sd))
         sd, key = sd[order], key[order]
         rank = np.arange(len(sd)) - np.searchsorted(sd, sd)
@@ -193,8 +211,15 @@ def _slots(h: np.ndarray, doc: np.ndarray, n: np.ndarray, buckets: int, hot: np.
     return key[order], doc[order]
 
 
+def _sorted_hot(rows: list[tuple[int, int]]) -> Hot:
+    a = np.array(rows, np.int64).reshape(-1, 2)
+    keys, first = np.unique(a[:, 0], return_index=True)
+    return keys.astype(np.uint64), a[first, 1]
+
+
 def _send(buckets: int, hot=None, per_doc: bool = False):
-    """Packed slots of documents. hot: a broadcast of hot keys; per_doc: a third column has each document's."""
+    """Packed slots of documents. hot: a broadcast of hot keys with their classes; per_doc: a third column has each
+    document's, as (key, class)."""
 
     def run(batches):
         out = Packer(buckets, KEY_BYTES)
@@ -205,7 +230,7 @@ def _send(buckets: int, hot=None, per_doc: bool = False):
                 n = np.diff(begin)
                 late = hot.value if hot is not None else None
                 if per_doc:
-                    late = np.unique(np.array([x for row in batch.column(2).slice(i, j - i).to_pylist() for x in row or ()], np.int64).astype(np.uint64))
+                    late = _sorted_hot([(x["key"], x["class"]) for row in batch.column(2).slice(i, j - i).to_pylist() for x in row or ()])
                 key, doc = _slots(h, doc, n, buckets, late)
                 yield from out.add(0, key, doc, np.stack([ids[i:j], n], 1), bucket_of(key, buckets))
         yield from out.flush()
@@ -289,12 +314,13 @@ def _meet(group: int):
     return run
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` with (left_semi) or without (left_anti) a doc_id in ``ids``; broadcast if few enough."""
+def _only(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` with (left_semi) or without (left_anti) a key in ``ids``; broadcast if few enough."""
     n = ids.count()
     if n == 0:
         return docs if how == "left_anti" else docs.limit(0)
-    return docs.join(F.broadcast(ids) if n <= BROADCAST_ROWS else ids, "doc_id", how)
+    ids = ids.select(F.col("doc_id").alias(key))
+    return docs.join(F.broadcast(ids) if n <= BROADCAST_ROWS else ids, key, how)
 
 
 def _sets(docs: DataFrame, sketch: bool) -> DataFrame:
@@ -354,17 +380,18 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _compare_blocks(left: pa.Table) -> pa.Table:
-    """Candidates of two blocks of one hot group: different components, linkable sizes, near sketches."""
-    doc, label, n = (left.column(c).to_numpy() for c in ("doc_id", "component", "n"))
-    raw = [np.frombuffer(x, np.uint64)[None] for x in left.column("s").to_pylist()]
+def _compare_blocks(block: pa.Table) -> pa.Table:
+    """Candidates of a block of a hot group's odd documents and a block of all its documents: different components,
+    linkable sizes, near sketches."""
+    doc, label, n, asks = (block.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "n", "asks"))
+    raw = [np.frombuffer(x, np.uint64)[None] for x in block.column("s").to_pylist()]
     words = min(x.size for x in raw)
     s = np.concatenate([_folded(x, words) for x in raw])
-    values, counts = np.unique(label, return_counts=True)
+    told = np.flatnonzero(~asks)
     a, b = [], []
-    for i in np.flatnonzero(label != values[counts.argmax()]).tolist():
-        near = (label != label[i]) & _linkable(n, n[i])
-        near[near] = np.bitwise_count(s[near] ^ s[i]).sum(1) * (DEN + NUM) <= (n[near] + n[i]) * (DEN - NUM)
+    for i in np.flatnonzero(asks).tolist():
+        near = told[(label[told] != label[i]) & _linkable(n[told], n[i])]
+        near = near[np.bitwise_count(s[near] ^ s[i]).sum(1) * (DEN + NUM) <= (n[near] + n[i]) * (DEN - NUM)]
         other = doc[near]
         a.append(np.minimum(other, doc[i]))
         b.append(np.maximum(other, doc[i]))
@@ -374,14 +401,20 @@ def _compare_blocks(left: pa.Table) -> pa.Table:
 
 def _rest(hot: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Candidates between components of the groups (key, doc_id) that stayed large."""
-    hot = hot.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = hot.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
-    mixed = durable(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    # Counted, so that the members of a hot key need not meet in one task to learn its size.
-    hot = durable(hot.join(F.broadcast(mixed) if mixed.count() <= BROADCAST_ROWS else mixed, "key"))
-    blocks = hot.join(sketches, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc_id", "component", "n", "s")
-    return met.groupBy("key", "x", "y").applyInArrow(_compare_blocks, "a long, b long").distinct()
+    hot = durable(hot.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")))
+    mixed = durable(hot.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("doc_id").alias("pivot")).where("lo < hi").select("key", "pivot"))
+    # Counted, so that the members of a hot key need not meet in one task to learn its group.
+    group = durable(hot.join(F.broadcast(mixed) if mixed.count() <= BROADCAST_ROWS else mixed, "key").select("pivot", "doc_id", "component").distinct())
+    parts = group.groupBy("pivot", "component").count().groupBy("pivot").agg(F.max_by("component", "count").alias("most"), F.sum("count").alias("size"), F.max("count").alias("largest"))
+    in_blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    parts = durable(parts.select("pivot", "most", in_blocks(F.col("size")).alias("blocks"), in_blocks(F.col("size") - F.col("largest")).alias("odd_blocks")))
+    group = group.join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, "pivot").join(sketches, "doc_id")
+    block = lambda c: F.pmod(F.xxhash64("doc_id"), F.col(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    row = ["doc_id", "component", "n", "s"]
+    asking = group.where("component <> most").select("pivot", block("odd_blocks").alias("x"), every("blocks").alias("y"), F.lit(True).alias("asks"), *row)
+    asked = group.select("pivot", every("odd_blocks").alias("x"), block("blocks").alias("y"), F.lit(False).alias("asks"), *row)
+    return asking.union(asked).groupBy("pivot", "x", "y").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -402,15 +435,15 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", column: str = "
     packed = "bucket int, kind int, payload binary"
     first = met(single.mapInArrow(tidy(_send(buckets)), packed))
     found, hot = first.where("kind = 0").select("a", "b"), first.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
-    hot_keys = durable(hot.select("key").distinct())
+    hot_keys = durable(hot.groupBy("key").count().select("key", F.floor(F.log2("count")).cast("long").alias("class")))
     rest = None
     if n_hot := hot_keys.count():
         again = _only(single, durable(hot.select("doc_id").distinct()), "left_semi").select("doc_id", "text")
         if n_hot <= BROADCAST_ROWS:
-            keys = np.sort(np.array([r["key"] for r in hot_keys.collect()], np.int64).astype(np.uint64))
+            keys = _sorted_hot([(r["key"], r["class"]) for r in hot_keys.collect()])
             sent = again.mapInArrow(tidy(_send(buckets, docs.sparkSession.sparkContext.broadcast(keys))), packed)
         else:
-            own = again.mapInArrow(tidy(_all_keys(buckets)), "key long, doc_id long").join(hot_keys, "key", "left_semi").groupBy("doc_id").agg(F.collect_list("key").alias("late"))
+            own = again.mapInArrow(tidy(_all_keys(buckets)), "key long, doc_id long").join(hot_keys, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "class")).alias("late"))
             sent = again.join(own, "doc_id", "left").select("doc_id", "text", "late").mapInArrow(tidy(_send(buckets, per_doc=True)), packed)
         second = met(sent)
         found = found.union(second.where("kind = 0").select("a", "b"))
@@ -436,7 +469,7 @@ def near_duplicates_removed(docs: DataFrame, key: str = "doc_id", column: str =
     """``docs`` with one document of each class: the one with the smallest key."""
     classes = near_duplicate_classes(docs, key, column).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("doc_id")).distinct()
     gone = durable(classes)
-    return _only(docs.withColumnRenamed(key, "doc_id"), gone, "left_anti").withColumnRenamed("doc_id", key).select(*docs.columns)
+    return _only(docs, gone, "left_anti", key).select(*docs.columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
