@@ -15,7 +15,9 @@ LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ"
 #: Prefixes that DOIs are written with.
 DOI_PREFIX = r"^(?:(?:https?://(?:dx\.)?doi\.org/|doi\.org/|doi:)\s*)+"
 DOI_FORM = r"^10\.\d{4,9}/\S+\z"
+#: How numbered headings and numbered references begin.
 HEADING_NUMBER = r"^(?:\d{1,2}|[A-Z]|[IVX]+)(?:\.\d{1,2})*\.?(?:\s|$)"
+REFERENCE_NUMBER = r"(?m)^\s*\[(\d+)\]"
 MAX_HEADING_LEVEL = 4
 #: Share of Japanese letters from which a text is Japanese, and letters that a decision needs.
 JAPANESE_SHARE, LETTERS_NEEDED = 0.10, 100
@@ -259,7 +261,7 @@ def has_text_layer(chars, pages, least: int = MIN_CHARS_PER_PAGE) -> Column:
 
 def count_references(t) -> Column:
     """The largest number in brackets at a line's start, below 10,000; 0 if none."""
-    found = F.regexp_extract_all(_col(t), F.lit(r"(?m)^\s*\[(\d+)\]"), F.lit(1))
+    found = F.regexp_extract_all(_col(t), F.lit(REFERENCE_NUMBER), F.lit(1))
     return F.coalesce(F.array_max(F.filter(F.transform(found, lambda x: x.try_cast("int")), lambda x: x < MAX_REFERENCE_NUMBER)), F.lit(0))
 
 

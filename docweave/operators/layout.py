@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..functions import text as t
+from ..workers import written
 
 #: Boxes wider than this say nothing about columns; a gutter is at least this wide, with its middle in these bounds.
 MAX_COLUMN_WIDTH, MIN_GUTTER, GUTTER_FROM, GUTTER_TO = 0.55, 0.02, 0.3, 0.7
 LAYOUT_TYPES = ("LAYOUT_TITLE", "LAYOUT_HEADER", "LAYOUT_FOOTER", "LAYOUT_SECTION_HEADER", "LAYOUT_PAGE_NUMBER", "LAYOUT_LIST", "LAYOUT_FIGURE", "LAYOUT_TABLE", "LAYOUT_KEY_VALUE", "LAYOUT_TEXT")
-MAX_DEPTH = 12
 
 
 def column_splits(elements: DataFrame) -> DataFrame:
@@ -64,24 +64,32 @@ def sequence_ids(df: DataFrame, prefix: str, order: str, out: str = "id") -> Dat
     return df.withColumn(out, F.concat(F.lit(f"{prefix}-"), F.row_number().over(W.partitionBy("job").orderBy(order)).cast("string")))
 
 
-def block_texts(blocks: DataFrame, edges: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """(job, id, full_text): a block's own text, or its children's texts in order, joined by blanks.
+def block_texts(blocks: DataFrame, edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(job, id, full_text): a block's own text, or its descendants' texts in order, joined by blanks.
 
-    One join a level; a block with text of its own ends the descent, and a cycle ends at the depth bound.
+    A block counts once under one root, where a descent in order meets it first: at the smallest path of child
+    positions.  Each level is written out and only blocks met on a smaller path than before go on, so shared
+    children and cycles end the descent and depth has no bound.  roots: (job, id) of the blocks asked for; all
+    without it.
     """
     own = F.when(F.coalesce("text", F.lit("")) != "", F.col("text")).when(F.col("block_type") == "SELECTION_ELEMENT", F.coalesce("selection_status", F.lit("")))
-    nodes = blocks.select("job", "id", own.alias("own")).dropDuplicates(["job", "id"])
-    child = edges.where("rel_type = 'CHILD'").select("job", F.col("parent").alias("at"), F.col("child"), "pos")
-    open_ = nodes.where("own IS NULL").select("job", F.col("id").alias("root"), F.col("id").alias("at"), F.array().cast("array<int>").alias("path"), F.array("id").alias("seen"))
-    found = nodes.where("own IS NOT NULL").select("job", F.col("id").alias("root"), F.array().cast("array<int>").alias("path"), "own")
-    for _ in range(depth):
-        step = open_.join(child, ["job", "at"]).where(~F.array_contains("seen", F.col("child"))).join(nodes.withColumnRenamed("id", "child"), ["job", "child"])
-        step = step.select("job", "root", F.col("child").alias("at"), F.concat("path", F.array("pos")).alias("path"), F.concat("seen", F.array("child")).alias("seen"), "own")
-        found = found.union(step.where("own IS NOT NULL").select("job", "root", "path", "own"))
-        open_ = step.where("own IS NULL").drop("own")
-    texts = found.groupBy("job", F.col("root").alias("id")).agg(F.array_sort(F.collect_list(F.struct("path", "own"))).alias("p"))
-    joined = F.array_join(F.filter(F.transform("p", lambda x: x.getField("own")), lambda x: x != ""), " ")
-    return nodes.select("job", "id").join(texts, ["job", "id"], "left").select("job", "id", F.coalesce(joined, F.lit("")).alias("full_text"))
+    nodes = blocks.select("job", "id", own.alias("own")).groupBy("job", "id").agg(F.first("own").alias("own"))
+    asked = nodes if roots is None else nodes.join(roots.select("job", "id").distinct(), ["job", "id"])
+    child = edges.where("rel_type = 'CHILD'").groupBy("job", F.col("parent").alias("at"), "child").agg(F.min("pos").alias("pos"))
+    child = child.join(nodes.withColumnRenamed("id", "child"), ["job", "child"])
+    fresh = written(asked.select("job", F.col("id").alias("root"), F.col("id").alias("at"), F.array().cast("array<int>").alias("path"), "own"))
+    best = fresh
+    while True:
+        step = fresh.where("own IS NULL").drop("own").join(child, ["job", "at"]).select("job", "root", F.col("child").alias("at"), F.concat("path", F.array("pos")).alias("path"), "own")
+        step = step.groupBy("job", "root", "at").agg(F.min("path").alias("path"), F.first("own", True).alias("own"))
+        before = best.select("job", "root", "at", F.col("path").alias("_before"))
+        fresh = written(step.join(before, ["job", "root", "at"], "left").where(F.col("_before").isNull() | (F.col("path") < F.col("_before"))).drop("_before"))
+        if fresh.isEmpty():
+            break
+        best = written(best.unionByName(fresh).groupBy("job", "root", "at").agg(F.min("path").alias("path"), F.first("own", True).alias("own")))
+    texts = best.where("own <> ''").groupBy("job", F.col("root").alias("id")).agg(F.array_sort(F.collect_list(F.struct("path", "own"))).alias("p"))
+    joined = F.array_join(F.transform("p", lambda x: x.getField("own")), " ")
+    return asked.select("job", "id").join(texts, ["job", "id"], "left").select("job", "id", F.coalesce(joined, F.lit("")).alias("full_text"))
 
 
 def elements_of(blocks: DataFrame, edges: DataFrame) -> DataFrame:
@@ -96,7 +104,8 @@ def elements_of(blocks: DataFrame, edges: DataFrame) -> DataFrame:
     wrappers = layout.where("block_type = 'LAYOUT_LIST'").join(parts.select("job", F.col("parent").alias("id")), ["job", "id"], "left_semi")
     kept = layout.join(wrappers.select("job", "id"), ["job", "id"], "left_anti")
     lines = b.where("block_type = 'LINE'").join(kept.select("job", "page").distinct(), ["job", "page"], "left_anti")
-    both = kept.unionByName(lines).join(block_texts(blocks, edges), ["job", "id"], "left")
+    both = kept.unionByName(lines)
+    both = both.join(block_texts(blocks, edges, both), ["job", "id"], "left")
     return both.select("job", "ord", "id", F.col("block_type").alias("type"), "page", F.coalesce("full_text", F.lit("")).alias("text"), s.bbox("left", "top", "width", "height").alias("bbox"), s.confidence("confidence").alias("confidence"))
 
 

@@ -18,6 +18,7 @@ MAX_LOOKUPS, BREAKER, CANDIDATES = 100, 3, 3
 #: Tokens that more works than this carry are joined last, and only where they can change the best candidates.
 COMMON_TOKEN = 10_000
 SALT = 32
+MATCHED = ("similarity", "matched_doi", "matched_title")
 
 
 def title_score(work_title, ref_title, ref_raw):
@@ -29,7 +30,8 @@ def title_score(work_title, ref_title, ref_raw):
 
 def lookup_doi(refs: DataFrame, works: DataFrame) -> DataFrame:
     """Status of references (job, i, title, raw, doi) with a DOI."""
-    known = works.select(F.lower("doi").alias("doi"), F.col("doi").alias("matched_doi"), F.col("title").alias("matched_title")).dropDuplicates(["doi"])
+    first = F.min(F.struct(F.col("doi").alias("matched_doi"), F.col("title").alias("matched_title"))).alias("w")
+    known = works.groupBy(F.lower("doi").alias("key")).agg(first).select(F.col("key").alias("doi"), "w.*")
     got = refs.where("doi IS NOT NULL").join(known, "doi", "left").withColumn("similarity", F.when(F.col("matched_doi").isNotNull(), title_score(F.col("matched_title"), F.col("title"), F.col("raw"))))
     status = F.when(F.col("matched_doi").isNull(), "notFound").when(F.col("similarity") < scoring.TITLE_FROM, "mismatch").otherwise("verified")
     return got.select("job", "i", "doi", status.alias("status"), "similarity", "matched_doi", "matched_title")
@@ -75,13 +77,16 @@ def search_titles(refs: DataFrame, works: DataFrame, common: int = COMMON_TOKEN)
 
 def circuit_breaker(checks: DataFrame, key: str = "job", order: str = "i", limit: int = MAX_LOOKUPS, breaker: int = BREAKER) -> DataFrame:
     """Statuses after the breaker: once ``breaker`` rows in a row are unavailable (skipped ones do not count),
-    every later row below ``limit`` is unavailable; rows from ``limit`` on are skipped."""
-    c = checks.withColumn("status", F.when(F.col(order) >= limit, "skipped").otherwise(F.col("status")))
+    every later row below ``limit`` is unavailable; rows from ``limit`` on are skipped. Rows whose status changes
+    were never looked up, so they lose what was matched."""
+    c = checks.withColumn("_was", F.col("status")).withColumn("status", F.when(F.col(order) >= limit, "skipped").otherwise(F.col("status")))
     down = (F.col("status") == "unavailable").cast("int")
     run = F.sum(down).over(W.partitionBy(key, F.col("status") == "skipped").orderBy(order).rowsBetween(1 - breaker, 0))
     c = c.withColumn("_at", F.when((F.col("status") != "skipped") & (run == breaker), F.col(order)))
     c = c.withColumn("_cut", F.min("_at").over(W.partitionBy(key)))
-    return c.withColumn("status", F.when((F.col(order) > F.col("_cut")) & (F.col(order) < limit), "unavailable").otherwise(F.col("status"))).drop("_at", "_cut")
+    c = c.withColumn("status", F.when((F.col(order) > F.col("_cut")) & (F.col(order) < limit), "unavailable").otherwise(F.col("status")))
+    same = F.col("status") == F.col("_was")
+    return c.withColumns({m: F.when(same, F.col(m)) for m in MATCHED if m in c.columns}).drop("_at", "_cut", "_was")
 
 
 def check_references(refs: DataFrame, works: DataFrame | None, unavailable: DataFrame | None = None) -> DataFrame:
@@ -92,7 +97,7 @@ def check_references(refs: DataFrame, works: DataFrame | None, unavailable: Data
     if unavailable is not None:
         found = found.join(unavailable.select("doi", F.lit(True).alias("_down")).dropDuplicates(["doi"]), "doi", "left")
         gone = F.coalesce("_down", F.lit(False))
-        found = found.withColumns({"status": F.when(gone, "unavailable").otherwise(F.col("status")), **{c: F.when(~gone, F.col(c)) for c in ("similarity", "matched_doi", "matched_title")}}).drop("_down")
+        found = found.withColumns({"status": F.when(gone, "unavailable").otherwise(F.col("status")), **{c: F.when(~gone, F.col(c)) for c in MATCHED}}).drop("_down")
     return circuit_breaker(found)
 
 

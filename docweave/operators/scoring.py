@@ -8,12 +8,16 @@ and counted with a left semi join, which shuffles pairs and never a document's t
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..workers import written
 
 HALLUCINATION_BELOW, REVIEW_BELOW, TITLE_FROM = 0.5, 0.7, 0.7
+#: Characters of the values that one automaton looks for.
+NEEDLE_CHARS = 1 << 20
 
 
 def vocabulary(text) -> tuple[Column, Column]:
@@ -84,16 +88,53 @@ def pair_coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
     return hits.join(sized, "value_id").withColumn("score", F.round(F.col("hits") / F.col("pairs"), 4))
 
 
-def substring_matches(needles: DataFrame, texts: DataFrame) -> DataFrame:
+def _needle_blocks(folded: DataFrame, limit: int) -> list[DataFrame]:
+    """The needles dealt by hash to so many blocks that one holds ``limit`` characters or a single needle."""
+    n = max(1, -(-2 * (folded.agg(F.sum(F.length("needle"))).first()[0] or 0) // limit))
+    while True:
+        dealt = folded.withColumn("block", F.pmod(F.xxhash64("needle", "value_id"), F.lit(n)))
+        sizes = dealt.groupBy("block").agg(F.sum(F.length("needle")).alias("size"), F.count(F.lit(1)).alias("rows"))
+        if sizes.where((F.col("size") > limit) & (F.col("rows") > 1)).isEmpty() or n > 1 << 20:
+            return [dealt.where(F.col("block") == b).drop("block") for b in range(n)]
+        n *= 2
+
+
+def substring_matches(needles: DataFrame, texts: DataFrame, limit: int = NEEDLE_CHARS) -> DataFrame:
     """(value_id, text_id) where the folded text holds the folded value.
 
-    A value is looked up by the pairs of its own tokens first: any text that holds it whole, at word
-    boundaries or not, must be tested, so the needles (a stated query set) are carried to every text as one
-    array when they are few, and by blocks otherwise.
+    The needles, a stated query set, become automata of at most ``limit`` characters each; every text runs once
+    through each automaton, in Arrow batches, and finds all values it holds in time linear in its length.
     """
-    block = 2000
-    folded = needles.select("value_id", t.fold("value").alias("needle")).where("needle <> ''")
-    blocks = folded.withColumn("block", F.floor(F.monotonically_increasing_id() / block)).groupBy("block").agg(F.collect_list(F.struct("value_id", "needle")).alias("needles"))
+    folded = written(needles.select("value_id", t.fold("value").alias("needle")).where("needle <> ''").distinct())
     hay = texts.select("text_id", t.fold("text").alias("hay"))
-    found = hay.join(F.broadcast(blocks)).select("text_id", F.explode(F.filter("needles", lambda n: F.contains(F.col("hay"), n.getField("needle")))).alias("n"))
-    return found.select(F.col("n.value_id").alias("value_id"), "text_id")
+    kinds = f"value_id {dict(needles.dtypes)['value_id']}, text_id {dict(texts.dtypes)['text_id']}"
+    out = None
+    for block in _needle_blocks(folded, limit):
+        by_needle: dict[str, list] = {}
+        for r in block.collect():  # bounded by ``limit``
+            by_needle.setdefault(r["needle"], []).append(r["value_id"])
+        found = hay.mapInArrow(_holding(by_needle), kinds) if by_needle else None
+        out = found if out is None else out if found is None else out.unionByName(found)
+    return out if out is not None else hay.sparkSession.createDataFrame([], kinds)
+
+
+def _holding(by_needle: dict[str, list]):
+    values = pa.array([v for ids in by_needle.values() for v in ids])  # in the needles' own type
+
+    def run(batches):
+        import ahocorasick
+
+        automaton, at = ahocorasick.Automaton(), 0
+        for needle, ids in by_needle.items():
+            automaton.add_word(needle, range(at, at + len(ids)))
+            at += len(ids)
+        automaton.make_automaton()
+        for batch in batches:
+            rows, found = [], []
+            for i, hay in enumerate(batch.column(1).to_pylist()):
+                here = {v for _, ids in automaton.iter(hay) for v in ids} if hay else ()
+                found += here
+                rows += [i] * len(here)
+            yield pa.RecordBatch.from_arrays([values.take(pa.array(found, pa.int64())), batch.column(0).take(pa.array(rows, pa.int64()))], names=["value_id", "text_id"])
+
+    return run

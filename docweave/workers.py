@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -41,3 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="checkpoints-")
     sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, lineage cut, safe when executors are lost."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweave import schemas
-from docweave.operators import compare, corpus, grid, jobs, layout, merge, normalize, references, verify
+from docweave.operators import compare, corpus, grid, jobs, layout, merge, normalize, references, scoring, verify
 from docweave.plans import finalize
 from docweave.sources import readers, writers
 
@@ -39,6 +39,18 @@ def test_blocks_to_elements(spark):
     assert layout.page_counts(b).first().page_count == 2
 
 
+def test_block_texts_of_shared_children_and_depth(spark):
+    """A block that two parents share counts once, where a descent meets it first; depth has no bound."""
+    text = {"hello": "hello", "deep": "down"}
+    chain = [f"c{i}" for i in range(20)]
+    ids = ["root", "a", "b", "hello", *chain, "deep"]
+    b = spark.createDataFrame([("j", i, "WORD" if i in text else "LAYOUT_TEXT", text.get(i)) for i in ids], "job string, id string, block_type string, text string").withColumn("selection_status", F.lit(None).cast("string"))
+    edges = [("root", "b", 1), ("root", "a", 0), ("a", "hello", 0), ("b", "hello", 0), ("root", "c0", 2), *[(x, y, 0) for x, y in zip(chain, chain[1:])], (chain[-1], "deep", 0), (chain[-1], "root", 1), ("b", "deep", 1)]
+    e = spark.createDataFrame([("j", p, c, "CHILD", n) for p, c, n in edges], "job string, parent string, child string, rel_type string, pos int")
+    got = {r.id: r.full_text for r in layout.block_texts(b, e).collect()}
+    assert got["root"] == "hello down" and got["b"] == "hello down" and got["c5"] == "down hello" and got["hello"] == "hello"
+
+
 def test_captions_and_text(spark):
     e = spark.createDataFrame([("j", 1, 0, "LAYOUT_FIGURE", "", None), ("j", 1, 1, "LAYOUT_TEXT", "Fig. 1: x", None), ("j", 1, 2, "LAYOUT_TABLE", "cells", "table-1"), ("j", 2, 3, "LAYOUT_TEXT", "end", None)], "job string, page int, n int, type string, text string, table_id string")
     assert [r.c for r in e.withColumn("c", layout.caption_near(["figure", "fig."])).orderBy("n").collect()] == ["Fig. 1: x", "", "Fig. 1: x", ""]
@@ -151,6 +163,21 @@ def test_circuit_breaker(spark):
     assert got == ["verified", "unavailable", "unavailable", "skipped", "unavailable", "unavailable", "unavailable", "skipped"]
 
 
+def test_breaker_takes_matches_along(spark):
+    df = spark.createDataFrame([("j", i, s, 0.2, "d") for i, s in enumerate(["verified", "unavailable", "unavailable", "unavailable", "verified", "mismatch", "verified"])], "job string, i int, status string, similarity double, matched_doi string")
+    got = references.circuit_breaker(df, limit=6).orderBy("i").collect()
+    assert [r.similarity for r in got] == [0.2, 0.2, 0.2, 0.2, None, None, None] and got[4].matched_doi is None and got[6].status == "skipped"
+
+
+def test_substrings_by_blocks(spark):
+    needles = spark.createDataFrame([(1, "ab cd"), (2, "cde"), (3, "Ab"), (4, "..."), (5, "cde")], "value_id long, value string")
+    texts = spark.createDataFrame([("x", "zabcdé"), ("y", "AB c-d e"), ("z", None), ("e", "")], "text_id string, text string")
+    want = {(1, "x"), (3, "x"), (1, "y"), (2, "y"), (3, "y"), (5, "y")}
+    for limit in (1 << 20, 4):
+        assert {tuple(r) for r in scoring.substring_matches(needles, texts, limit).collect()} == want
+    assert scoring.substring_matches(needles.where("value_id = 4"), texts).count() == 0
+
+
 def test_jobs(spark):
     at = lambda n: T0 + dt.timedelta(hours=n)
     none = spark.createDataFrame([], schemas.JOBS)
