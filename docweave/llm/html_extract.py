@@ -1,17 +1,21 @@
 """Main text of web pages by a recurrent block labeller (operator 7).
 
 A page becomes its sequence of leaf blocks: runs of text between block-level tags.  Each block is a vector of
-hashed tag-path parts (tags, class and id words of its ancestors), hashed words, and statistics of its text
-and links.  A bidirectional LSTM in numpy reads the whole sequence, so every label draws on the document on
-both sides, and a logistic output labels every block as main text or not.  It is trained when first needed,
-on ``TRAIN_PAGES`` pages built by rule with a fixed seed.
+hashed tag-path parts (tags, class and id words of all its ancestors), all its words, hashed, and statistics of
+its text and links.  A bidirectional LSTM in numpy reads the whole sequence, so every label draws on the document
+on both sides, and a logistic output on its states alone labels every block as main text or not.  It is trained
+when first needed, on ``TRAIN_PAGES`` pages built by rule with a fixed seed, a third of them flat: there only the
+blocks around a paragraph tell whether it is the article's or a comment's.
+
+Pages are read in time linear in their length, whatever is left open: what a tag closes is looked up by name, and
+a path is a chain of ancestors whose vectors are added up once.
 
 Scripts, styles, templates, comments and the head have no blocks.  Character references are decoded, white
 space inside a block (line breaks by tag included) becomes one blank, blocks are trimmed, and kept blocks are
 joined in page order by two line feeds.
 
 Defined results: a null or empty page, or one without main text, gives the empty text; unclosed tags and
-comments end with the page; repeated rows give repeated rows; an empty table gives an empty table; columns
+comments end with the page, a tag with an unclosed quote at its first ">"; repeated rows give repeated rows; an empty table gives an empty table; columns
 other than ``page_id``, ``url`` and ``html`` are not read.
 """
 
@@ -22,7 +26,8 @@ import math
 import random
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-PATH, WORDS, STATS, HIDDEN = 96, 48, 18, 20
+PATH, WORDS, STATS, HIDDEN = 96, 64, 16, 24
 INPUT = PATH + WORDS + STATS
-TRAIN_PAGES, EPOCHS, PAGES_AT_ONCE, SEED = 480, 8, 64, 3
+TRAIN_PAGES, FLAT, EPOCHS, PAGES_AT_ONCE, SEED = 2000, 0.33, 16, 64, 3
 
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +47,7 @@ HIDDEN_TAGS = frozenset("script style template noscript svg annotation annotatio
 #: Start tags that leave an open head open.
 HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe".split())
+_RAW_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 #: A start tag ends open elements of these kinds, up to the nearest of the second group.
 CLOSES = {
     "p": ({"p"}, {"div", "article", "section", "td", "th", "li", "body", "main", "aside", "blockquote", "form", "footer", "header", "nav"}),
@@ -54,7 +60,8 @@ CLOSES = {
     "dd": ({"dt", "dd"}, {"dl"}),
 }
 _CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd", "button", "label", "legend", "summary"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARKS = re.compile("[>\"']")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -73,71 +80,157 @@ def _hides(attrs: str) -> bool:
     return False
 
 
+class Node:
+    """An open element: its tag, its own path parts, and the node around it."""
+
+    __slots__ = ("tag", "parts", "above", "depth", "hidden", "own", "_sums", "_near")
+
+    def __init__(self, tag: str, parts: tuple[str, ...], above: Node | None, hidden: bool):
+        self.tag, self.parts, self.above, self.hidden = tag, parts, above, hidden
+        self.depth = len(parts) + (above.depth if above else 0)
+        self.own = tag if tag in BLOCK_TAGS or above is None else above.own
+        self._sums = self._near = None
+
+    def path(self) -> Iterator[str]:
+        """Path parts from the inside out: tags and, as ".word", class and id words."""
+        node: Node | None = self
+        while node is not None:
+            yield from reversed(node.parts)
+            node = node.above
+
+    def sums(self) -> np.ndarray:
+        """How often each hashed part is on the path."""
+        todo, node = [], self
+        while node is not None and node._sums is None:
+            todo.append(node)
+            node = node.above
+        for n in reversed(todo):
+            total = np.zeros(PATH, np.int32) if n.above is None else n.above._sums
+            if n.parts:
+                total = total.copy()
+                for part in n.parts:
+                    total[_part[part]] += 1
+            n._sums = total
+        return self._sums
+
+    def vector(self) -> np.ndarray:
+        """The path's vector: all parts, the nearest ones more."""
+        if self._near is None:
+            near = np.zeros(PATH, np.float32)
+            for part in islice(self.path(), 6):
+                near[_part[part]] += 0.4
+            self._near = np.minimum(near + 0.6 * self.sums(), 2)
+        return self._near
+
+
 class Block:
-    __slots__ = ("path", "text", "links", "linked")
+    __slots__ = ("node", "text", "links", "linked")
+
+    def __init__(self, node: Node, text: str, links: int, linked: int):
+        self.node, self.text, self.links, self.linked = node, text, links, linked
+
 
-    def __init__(self, path: tuple[str, ...], text: str, links: int, linked: int):
-        self.path, self.text, self.links, self.linked = path, text, links, linked
+class _Quotes:
+    """Ends of tags. A quote that nothing closes is an ordinary character, and is looked for once a page."""
+
+    def __init__(self, page: str):
+        self.page, self.open = page, set()
+
+    def end_of_tag(self, at: int) -> int:
+        """Where the tag whose attributes begin at ``at`` ends: behind its ">", or the page's end."""
+        page = self.page
+        while m := _MARKS.search(page, at):
+            at = m.end()
+            mark = m[0]
+            if mark == ">":
+                return at
+            if mark not in self.open and _after_equals(page, m.start()):
+                stop = page.find(mark, at)
+                if stop < 0:
+                    self.open.add(mark)
+                else:
+                    at = stop + 1
+        return len(page)
+
+
+def _after_equals(page: str, at: int) -> bool:
+    while at > 0 and page[at - 1] in " \t\r\n\f":
+        at -= 1
+    return at > 0 and page[at - 1] == "="
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's leaf blocks in order; a path holds tags and, as ".word", class and id words."""
+    """The page's leaf blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = [("", (), False)]
+    root = Node("", (), None, False)
+    stack = [root]
+    where: dict[str, list[int]] = {}  # places of the open elements of each tag in the stack
+    outer = [0]  # places of the open block elements
     text: list[str] = []
-    links = linked = anchors = 0
-    size = len(page)
+    links = linked = 0
+    size, quotes = len(page), _Quotes(page)
 
     def end() -> None:
         nonlocal text, links, linked
         if text:
             t = " ".join(html.unescape("".join(text)).split())
             if t:
-                out.append(Block(stack[-1][1], t, links, linked))
+                out.append(Block(stack[-1], t, links, linked))
             text = []
         links = linked = 0
 
     def say(part: str) -> None:
         nonlocal linked
-        if part and not stack[-1][2]:
+        if part and not stack[-1].hidden:
             text.append(part)
-            if anchors:
+            if where.get("a"):
                 linked += len(part)
 
     def pop(to: int) -> None:
-        nonlocal anchors
         while len(stack) > to:
-            tag = stack[-1][0]
+            tag = stack[-1].tag
             if tag in BLOCK_TAGS:
                 end()
-            if tag == "a":
-                anchors -= 1
+                outer.pop()
+            where[tag].pop()
             stack.pop()
 
+    def last(tags: Iterable[str]) -> int:
+        return max((at[-1] for t in tags if (at := where.get(t))), default=0)
+
     at = 0
     while at < size:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        say(page[at:start])
+        if page.startswith("<!--", start) or page.startswith("<![CDATA[", start):
+            close = "-->" if page[start + 2] == "-" else "]]>"
+            stop = page.find(close, start + 4)
+            at = stop + 3 if stop >= 0 else size
+            continue
+        if page[start + 1 : start + 2] in ("!", "?"):
+            stop = page.find(">", start)
+            at = stop + 1 if stop >= 0 else size
             continue
+        m = _TAG.match(page, start)
+        if m is None:
+            say("<")
+            at = start + 1
+            continue
+        at = quotes.end_of_tag(m.end())
+        attrs = page[m.end() : at - 1] if page[at - 1] == ">" else page[m.end() : at]
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
-                if tag not in BLOCK_TAGS and stack[k][0] in BLOCK_TAGS:
-                    break
-            else:
-                if tag in BLOCK_TAGS:
-                    end()
+            place = last((tag,))
+            if place > (0 if tag in BLOCK_TAGS else outer[-1]):
+                pop(place)
+            elif tag in BLOCK_TAGS:
+                end()
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
+            stop = _RAW_ENDS[tag].search(page, at)
             at = stop.end() if stop else size
             continue
         if tag in ("br", "hr", "wbr"):
@@ -148,63 +241,57 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        if stack[-1][0] == "head" and tag not in HEAD_TAGS:
+        if stack[-1].tag == "head" and tag not in HEAD_TAGS:
             pop(len(stack) - 1)
         kinds, bounds = CLOSES.get(tag, ({"p"}, CLOSES["p"][1]) if tag in _CLOSES_P else ((), ()))
-        for k in range(len(stack) - 1, 0, -1) if kinds else ():
-            if stack[k][0] in kinds:
-                pop(k)
-                break
-            if stack[k][0] in bounds:
-                break
+        if kinds and (place := last(kinds)) > last(bounds):
+            pop(place)
         if tag in BLOCK_TAGS:
             end()
-        attrs = m[3]
-        if attrs.endswith("/") and tag not in BLOCK_TAGS:
+        if attrs.endswith("/") and tag not in BLOCK_TAGS and (len(attrs) == 1 or attrs[-2] in " \t\r\n\"'"):
             continue
-        _, path, hidden = stack[-1]
         names = tuple("." + w for x in _NAMES.findall(attrs) for w in _PARTS.findall("".join(x).lower())) if "=" in attrs else ()
         if tag == "a":
             links += 1
-            anchors += 1
-        if tag in BLOCK_TAGS or names:
-            path = (*path, tag, *names) if tag in BLOCK_TAGS else (*path, *names)
-        stack.append((tag, path, hidden or tag in HIDDEN_TAGS or _hides(attrs)))
+        where.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK_TAGS:
+            outer.append(len(stack))
+        above = stack[-1]
+        stack.append(Node(tag, (tag, *names) if tag in BLOCK_TAGS else names, above, above.hidden or tag in HIDDEN_TAGS or _hides(attrs)))
     pop(1)
     end()
     return out
 
 
-_hashed: dict[str, int] = {}
+class _Buckets(dict):
+    """Hash buckets of words, remembered up to a limit."""
 
+    def __init__(self, n: int):
+        super().__init__()
+        self.n = n
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        x = self[word] = zlib.crc32(word.strip(".,:;!?()").encode("utf-8", "surrogatepass")) % self.n
+        return x
 
-def _bucket(word: str, n: int) -> int:
-    key = f"{n}{word}"
-    if (x := _hashed.get(key)) is None:
-        if len(_hashed) > 200_000:
-            _hashed.clear()
-        x = _hashed[key] = zlib.crc32(key.encode()) % n
-    return x
+
+_part, _word = _Buckets(PATH), _Buckets(WORDS)
 
 
 def vectors(found: list[Block]) -> np.ndarray:
     """One row of INPUT numbers a block."""
     x = np.zeros((len(found), INPUT), np.float32)
     n = max(1, len(found) - 1)
-    paths: dict[tuple[str, ...], np.ndarray] = {}
     for i, b in enumerate(found):
-        if (p := paths.get(b.path)) is None:
-            p = np.zeros(PATH, np.float32)
-            for k, part in enumerate(reversed(b.path)):
-                p[_bucket(part, PATH)] += 1.0 if k < 6 else 0.6
-            p = paths[b.path] = np.minimum(p, 2)
-        x[i, :PATH] = p
-        words = b.text.split()
-        for w in words[:12] + words[-4:]:  # words that name furniture stand at its ends; length and marks cover all
-            x[i, PATH + _bucket(w.lower().strip(".,:;!?"), WORDS)] += 0.25
+        x[i, :PATH] = b.node.vector()
+        words = b.text.lower().split()
+        # Every word counts, less so in a long block.
+        x[i, PATH : PATH + WORDS] = np.minimum(np.bincount([_word[w] for w in words], minlength=WORDS) / math.sqrt(len(words)), 1.5)
         size = len(b.text)
         marks = sum(map(b.text.count, ".,;:"))
-        own = next((t for t in reversed(b.path) if t[0] != "."), "")
+        own = b.node.own
         x[i, PATH + WORDS :] = (
             math.log1p(size) / 6,
             math.log1p(len(words)) / 5,
@@ -213,16 +300,14 @@ def vectors(found: list[Block]) -> np.ndarray:
             min(1, 8 * marks / max(1, size)),
             b.text[-1] in ".!?…\"»”",
             b.text[:1].isupper(),
-            sum(map(str.isdigit, b.text[:200])) / min(size, 200),
+            sum(map(b.text.count, "0123456789")) / size,
             own == "p",
             own in ("h1", "h2", "h3", "h4", "h5", "h6"),
             own == "li",
             own in ("td", "th", "dd", "dt", "pre", "blockquote"),
             i / n,
-            len(b.path) / 12,
+            min(b.node.depth, 48) / 12,
             "©" in b.text or "copyright" in b.text.lower(),
-            "article" in b.path or "main" in b.path,
-            any(t in b.path for t in ("nav", "footer", "aside", "form", "header", "button")),
             own == "div",
         )
     return x
@@ -233,7 +318,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class BlockLabeller:
-    """Bidirectional LSTM over block vectors with a logistic output for each block."""
+    """Bidirectional LSTM over block vectors with a logistic output on the states for each block."""
 
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -243,7 +328,7 @@ class BlockLabeller:
             self.p[f"wx{d}"] = rng.normal(0, 1 / math.sqrt(INPUT), (INPUT, 4 * h))
             self.p[f"wh{d}"] = rng.normal(0, 1 / math.sqrt(h), (h, 4 * h))
             self.p[f"b{d}"] = np.concatenate([np.zeros(h), np.ones(h), np.zeros(2 * h)])
-        self.p |= {"wo": rng.normal(0, 0.1, 2 * h), "ws": np.zeros(INPUT), "bo": np.zeros(1)}
+        self.p |= {"wo": rng.normal(0, 0.1, 2 * h), "bo": np.zeros(1)}
 
     def _pass(self, d: str, x: np.ndarray, mask: np.ndarray, keep: list | None) -> np.ndarray:
         """Hidden states (pages, blocks, HIDDEN) of one direction; keep: gets what the way back needs."""
@@ -270,7 +355,7 @@ class BlockLabeller:
         both = np.concatenate(states, 2)
         if keep is not None:
             keep["both"] = both
-        return both @ self.p["wo"] + x @ self.p["ws"] + self.p["bo"][0]
+        return both @ self.p["wo"] + self.p["bo"][0]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         keep: dict = {}
@@ -281,7 +366,7 @@ class BlockLabeller:
         e = mask * (p - y) / total
         n, t, _ = x.shape
         h = HIDDEN
-        g = {"wo": np.einsum("nt,nth->h", e, keep["both"]), "ws": np.einsum("nt,nti->i", e, x), "bo": np.array([e.sum()])}
+        g = {"wo": np.einsum("nt,nth->h", e, keep["both"]), "bo": np.array([e.sum()])}
         for d, part in (("f", slice(0, h)), ("b", slice(h, 2 * h))):
             wh, wo = self.p[f"wh{d}"], self.p["wo"][part]
             du, dwh = np.zeros((n, t, 4 * h)), np.zeros_like(wh)
@@ -302,19 +387,20 @@ class BlockLabeller:
         """Adam on the mean logistic loss of pages given as (vectors, labels)."""
         rng = np.random.default_rng(SEED)
         m1, m2 = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
-        step = 0
+        step, steps = 0, epochs * -(-len(pages) // batch)
         for _ in range(epochs):
             by_size = sorted(rng.permutation(len(pages)).tolist(), key=lambda i: len(pages[i][1]) // 8)
             parts = [by_size[k : k + batch] for k in range(0, len(by_size), batch)]
             rng.shuffle(parts)
             for part in parts:
                 x, mask, y = _padded([pages[i][0] for i in part], [pages[i][1] for i in part])
+                x[..., PATH : PATH + WORDS] *= rng.random((*x.shape[:2], 1)) > 0.4  # so that no label hangs on words alone
                 step += 1
                 for k, v in self.gradients(x, mask, y)[1].items():
                     v = np.clip(v, -1, 1)
                     m1[k] = 0.9 * m1[k] + 0.1 * v
                     m2[k] = 0.99 * m2[k] + 0.01 * v * v
-                    self.p[k] = self.p[k] - rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-8)
+                    self.p[k] = self.p[k] - rate * (1 - 0.95 * step / steps) * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-8)
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
         return self
 
@@ -349,12 +435,14 @@ def _padded(xs: list[np.ndarray], ys: list[np.ndarray] | None) -> tuple[np.ndarr
 KEEP, DROP = "\x02", "\x03"
 
 
-def example_page(rnd: random.Random) -> str:
-    """A page built by rule whose texts begin with KEEP or DROP."""
+def example_page(rnd: random.Random, flat: bool = False) -> str:
+    """A page built by rule whose texts begin with KEEP or DROP. A flat one has no element or name that tells what
+    a paragraph is: its article lies between a heading and another that announces comments or further reading."""
     word = lambda: "".join(rnd.choice(["an", "be", "ci", "do", "er", "fa", "gu", "ho", "in", "ka", "lo", "mi", "nu", "or", "pe", "ra", "su", "ti", "é", "ß", "ñ"]) for _ in range(rnd.randint(1, 5))) + rnd.choice([""] * 30 + ["###", "$$$", "***", "!!"])
     said = lambda a, b: " ".join(word() for _ in range(rnd.randint(a, b)))
     sentence = lambda: (said(1, 16).capitalize() + rnd.choice([".", ".", ".", "", "?", ", "]))
-    prose = lambda: " ".join(sentence() for _ in range(rnd.choice([1, 1, 2, 4, 8])))
+    odd = lambda: rnd.choice([lambda: " | ".join(said(1, 1).capitalize() for _ in range(rnd.randint(2, 20))), lambda: " ".join([word()] * rnd.randint(4, 40)), lambda: " ".join(str(rnd.randint(0, 99999)) for _ in range(rnd.randint(1, 12)))])()
+    prose = lambda: odd() if rnd.random() < 0.2 else " ".join(sentence() for _ in range(rnd.choice([1, 1, 2, 4, 8])))
     link = lambda t: f'<a href="/{word()}">{t}</a>'
     body = lambda t, mark: f"<{t}>{mark}{prose()}" + rnd.choice([f"</{t}>"] * 4 + ["<br>"])
     name = lambda *x: f' class="{rnd.choice(x)}"'
@@ -380,6 +468,20 @@ def example_page(rnd: random.Random) -> str:
         each = "".join(f"<{t}{name('comment', 'reply', 'comment-body')}><b>{DROP}{said(1, 2)}</b>{body('p', DROP)}</{t}>" for t in [rnd.choice(["div", "li", "article"])] for _ in range(rnd.randint(1, 5)))
         return f"<{(t := rnd.choice(['div', 'section', 'ol']))}{rnd.choice([name('comments', 'comment-list', 'discussion', 'responses'), ' id=comments'])}><h3>{DROP}{rnd.choice(['Comments', 'Reader comments', said(1, 2)])}</h3>{each}</{t}>"
 
+    if flat:
+        t, plain = rnd.choice(["p", "p", "div"]), rnd.choice(["", "", "<div>", '<div class="row">', "<section>"])
+        para = lambda mark: f"<{t}>{mark}{prose()}</{t}>"
+        shut = f"</{plain[1:].split(' ')[0].rstrip('>')}>" if plain else ""
+        lead = "".join(f"<{t}>{link(DROP + said(1, 3))}</{t}>" for _ in range(rnd.randint(0, 6)))
+        lead += rnd.choice(["", "", f"<{t}>{DROP}We use cookies {prose()}</{t}>", para(DROP) + f"<{t}>{DROP}Advertisement</{t}>"])
+        inside = "".join(para(KEEP) if rnd.random() < 0.85 else f"<h2>{KEEP}{said(1, 6)}</h2>" for _ in range(rnd.randint(1, 12)))
+        tail = ""
+        for said_by in rnd.sample(["Comments", "Reader comments", "Leave a reply", "Related articles", "Read more", "Subscribe"], rnd.choice([0, 1, 1, 2])):
+            level = rnd.choice(["h2", "h3", t])
+            tail += f"<{level}>{DROP}{said_by}{rnd.choice(['', '', ' (' + str(rnd.randint(1, 90)) + ')'])}</{level}>" + "".join(para(DROP) for _ in range(rnd.randint(1, 6)))
+        tail += rnd.choice(["", f"<{t}>{DROP}© {said(1, 5)}</{t}>"])
+        return f"<html><body>{plain}{lead}<h1>{KEEP}{said(1, 10)}</h1>{inside}{tail}{shut}</body></html>"
+
     main: list[str] = []
     for _ in range(rnd.randint(1, 14)):
         kind = rnd.random()
@@ -395,6 +497,8 @@ def example_page(rnd: random.Random) -> str:
             main.append("<table>" + "".join(f"<tr><td>{KEEP}{said(1, 4)}</td><td>{KEEP}{said(1, 4)}</td></tr>" for _ in range(rnd.randint(1, 4))) + "</table>")
         elif kind < 0.97:
             main.append(f"<p>{KEEP}{prose()} {link(said(1, 3))} {prose()}</p>")
+        elif kind < 0.98:
+            main.append(f"<p>{KEEP}{prose()}</p>" * rnd.randint(5, 40))
         else:
             main.append(furniture())
     title = f"<h1>{KEEP}{said(1, 12)}</h1>"
@@ -418,9 +522,9 @@ def example_page(rnd: random.Random) -> str:
     return f"<html><head><title>{said(2, 6)}</title></head><body>{''.join(before)}{content}{''.join(after)}</body></html>"
 
 
-def example(rnd: random.Random) -> tuple[list[Block], np.ndarray]:
+def example(rnd: random.Random, flat: bool = False) -> tuple[list[Block], np.ndarray]:
     """A built page's blocks, without their marks, and their labels."""
-    found = [b for b in blocks(example_page(rnd))]
+    found = blocks(example_page(rnd, flat))
     y = np.array([b.text[0] == KEEP for b in found], np.float32)
     for b in found:
         b.text = re.sub(f"[{KEEP}{DROP}]", "", b.text).strip() or "."
@@ -436,7 +540,7 @@ def labeller() -> BlockLabeller:
         rnd = random.Random(SEED)
         pages = []
         for _ in range(TRAIN_PAGES):
-            found, y = example(rnd)
+            found, y = example(rnd, rnd.random() < FLAT)
             pages.append((vectors(found), y))
         _trained.append(BlockLabeller().fit(pages))
     return _trained[0]
