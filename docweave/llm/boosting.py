@@ -53,11 +53,12 @@ def predict(model: tuple[float, list], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-(model[0] + sum(predict_tree(t, x) for t in model[1]))))
 
 
-def threshold_for(scores: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Least score from which on the share of true rows is at least ``precision`` on held-out rows."""
-    order = np.argsort(-scores, kind="stable")
-    share = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(share >= precision)
+def threshold_for(scores: np.ndarray, y: np.ndarray, precision: float, odds: float = 1.0) -> float:
+    """Least score of a true row from which on the share of true rows is at least ``precision`` on held-out rows,
+    where false rows count ``odds`` times; 1 if there is none."""
+    order = np.lexsort((y, -scores))  # of equal scores false rows first
+    true, false = np.cumsum(y[order]), np.cumsum(1 - y[order])
+    good = np.flatnonzero((true >= precision * (true + odds * false)) & (y[order] > 0))
     return float(scores[order][good[-1]]) if len(good) else 1.0
 
 

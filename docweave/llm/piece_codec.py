@@ -6,8 +6,8 @@ holds a word mark after another character, a text falls into independent words i
 around line breaks, when no piece holds one).  The agenda therefore runs over the distinct words of an Arrow
 batch: short words side by side in numpy arrays, one merge per word and round; long ones on a heap.
 
-Every word new to a worker is also encoded and decoded by the sentencepiece library in the same Arrow batch;
-a difference raises ``CodecMismatch`` rather than returning ids the library would not give.
+Every word new to a worker is also encoded and decoded by the sentencepiece library in the same Arrow batch,
+behind what it may follow in a text: a blank, a letter where it begins with a mark, or a line's end; a difference raises ``CodecMismatch`` rather than returning ids the library would not give.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; repeated rows give repeated
 rows; an empty table gives an empty table; columns other than ``doc_id`` and ``text`` are not read.
@@ -93,7 +93,7 @@ class PieceCodec:
         self.byte0 = pieces.index("<0x00>")
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("pieces cross words")
-        stop = "" if any("\n" in p for p in self.id) else "\n"
+        self.stop = stop = "" if any("\n" in p for p in self.id) else "\n"
         apart = not any(re.search(f"[{LETTERS}][{POINTS}]", p) for p in self.id)
         self.words = re.compile((f" *[{LETTERS}]+(?=[{POINTS}])|" if apart else "") + f" +[^ {stop}]*|[^ {stop}]+" + (f"|{stop}" if stop else "")).findall
         self.size = len(pieces)
@@ -230,6 +230,18 @@ class PieceCodec:
         if (decoded[1:] if self.prefix else decoded) != self.lib.decode(theirs):
             raise CodecMismatch("own text differs from the library's")
 
+    def _check_behind(self, lead: list[str], before: str, words: list[str], ids: list[list[int]], back: list[str], which: list[int]) -> None:
+        """Checks words, each behind ``before``, in texts that begin with ``lead``."""
+        carry = [*lead, before] if before else lead
+        own_ids = self.encode_words(carry)
+        own_back = self.decode_words(own_ids)
+        for i in range(0, len(which), 200):
+            seq = [(w, x, b) for w, x, b in zip(lead, own_ids, own_back)]
+            for k in which[i : i + 200]:
+                seq += [(before, own_ids[-1], own_back[-1])] if before else []
+                seq.append((words[k], ids[k], back[k]))
+            self._check(*map(list, zip(*seq)))
+
     def _learn(self, words: list[str]) -> None:
         ids = self.encode_words(words)
         back = self.decode_words(ids)
@@ -240,6 +252,10 @@ class PieceCodec:
         for k, w in enumerate(words):  # runs of blanks would join what stands beside them
             if w[-1] == " " and len(w) > 1:
                 self._check([w], [ids[k]], [back[k]])
+        inner = [k for k, w in enumerate(words) if self.prefix and w[0] != " "]
+        marked = [k for k in inner if words[k][0] in POINTS]
+        self._check_behind([" ", self.stop] if self.stop else [" "], self.stop, words, ids, back, sorted(set(inner) - set(marked)))
+        self._check_behind([], " a", words, ids, back, marked)
         name = self.name
         self.known.update((w, (",".join([name[x] for x in i]), len(i), w if w == b else b)) for w, i, b in zip(words, ids, back))
 

@@ -49,11 +49,52 @@ def test_pii_random_strings(spark):
         assert got[k].base_sha256 == h, (t, base, got[k].spans)
 
 
+def test_pii_of_dense_text(spark):
+    """Work grows with the spans, not with their square."""
+    import time
+
+    text = " ".join(f"user{i}@host{i}.example.org" for i in range(20_000))
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    at = time.time()
+    assert pii.pii_spans(d).first().n_email == 20_000
+    assert pii.redact(d).first().text == " ".join(["[EMAIL]"] * 20_000)
+    assert time.time() - at < 60
+
+
+def planted(seed, n):
+    """Sentences with data that no base format covers, and with look-alikes; built apart from the trees' examples."""
+    rnd = random.Random(seed)
+    dig = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    hexa = lambda k: "".join(rnd.choice("0123456789abcdef") for _ in range(k - 1)) + dig(1)
+    name = lambda: rnd.choice(["anna", "piotr", "luis", "mei", "omar"])
+    private = [lambda: ("secret", "The api_key=", hexa(40)), lambda: ("secret", "Set password: ", hexa(24)), lambda: ("number", "Her SSN is SSN ", f"{dig(3)}-{dig(2)}-{dig(4)}"), lambda: ("number", "Please call ", f"{dig(3)}-{dig(3)}-{dig(4)}"), lambda: ("obscured_email", "You may contact ", f"{name()}.{name()} (at) mailhost (dot) org")]
+    other = [lambda: ("", "It is on page ", f"{dig(4)}-{dig(4)}"), lambda: ("", "The ISBN ", dig(7)), lambda: ("", "They met at ", f"the station at Rome.{name().capitalize()}"), lambda: ("", "See ", "the-long-road-to-the-north-" + dig(2))]
+    return [(i, *rnd.choice(private if i % 2 else other)()) for i in range(n)]
+
+
+def test_pii_proposals(spark):
+    """Recall of proposals on planted rows, by kind, look-alikes left alone; and thresholds that decide."""
+    rows = planted(5, 600)
+    d = spark.createDataFrame([(i, f"{lead}{x} before noon on Monday.") for i, _, lead, x in rows], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_spans(d).collect()}
+    for kind in pii.PROPOSED:
+        mine = [(i, lead, x) for i, k, lead, x in rows if k == kind]
+        spans = {i: [(int(a), int(b)) for k, a, b in (s.split(":") for s in got[i].split(",") if s) if k == kind] for i, *_ in mine}
+        found = [any(a <= len(lead) and b >= len(lead) + len(x) for a, b in spans[i]) for i, lead, x in mine]
+        assert sum(found) >= 0.9 * len(mine), (kind, sum(found), len(mine))
+    alone = [not got[i] for i, k, *_ in rows if not k]
+    assert sum(alone) >= 0.97 * len(alone)
+    assert all(cut != 0 for _, cut in pii.model(spark).values())
+
+
 def test_redaction(spark):
     rows = [(1, 'mail bob@x.org now, token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end', 5), (2, "clean text here", 15), (3, None, 0)]
     out = {r.doc_id: r for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
     assert out[1].text == 'mail [EMAIL] now, token = "[SECRET]" end' and out[1].n_chars == len(out[1].text)
     assert out[2].text == "clean text here" and out[3].text is None
+    odd = [(1, "é😀 +1 234 567 8901@x.org and 1.2.3.4, 5.6.7.8", "s", "m"), (2, "", None, None)]
+    got = pii.redact(spark.createDataFrame(odd, "doc_id long, text string, _spans string, masked string")).collect()
+    assert {r.doc_id: r.text for r in got} == {1: "é😀 [PHONE] and [IP], [IP]", 2: ""} and got[0]._spans == "s"
 
 
 def test_quality(spark):
@@ -95,6 +136,20 @@ def test_substrings_random(spark):
         assert len(cut[k].split()) == n - gone
 
 
+def test_every_word_is_checked():
+    c = codec(vocabulary("piece_bpe_32k.model"))
+    seen, check = [], c._check
+    c.known.clear()
+    c.old.clear()
+    c._check = lambda words, ids, back: (seen.extend(words), check(words, ids, back))
+    try:
+        text = "Hello, world!\nnext (line)\n\n:end  two"
+        c.digest([text])
+        assert set(c.split(text)) <= set(seen)
+    finally:
+        c._check = check
+
+
 def test_contamination(spark):
     d = documents(spark)
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
