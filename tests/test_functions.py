@@ -16,8 +16,8 @@ def column(spark, fn, values, kind="string"):
 
 
 CASES = [
-    (t.fold, ["long-\ncontext", "“a” — b", "–—!", "ﬁne ﬂow", "ΟΔΟΣ"], ["longcontext", "ab", "", "fineflow", "οδοσ"]),
-    (t.tokenize, ["Sparse Attention-Routing 2K", "注意機構", "表", "", "注意 a表"], [["sparse", "attention", "routing", "2k"], ["注意", "意機", "機構"], ["表"], [], ["注意", "a", "表"]]),
+    (t.fold, ["rain-\nfall", "“c” — d", "–—!", "ﬁsh ﬂag", "ΛΟΓΟΣ"], ["rainfall", "cd", "", "fishflag", "λογοσ"]),
+    (t.tokenize, ["Warm Harbour-Lights 9B", "天気予報", "川", "", "天気 a川"], [["warm", "harbour", "lights", "9b"], ["天気", "気予", "予報"], ["川"], [], ["天気", "a", "川"]]),
     (t.collapse_space, ["  a \n b ", "漢字\nかな", "a\r\nb", "a　b", "漢\nb"], ["a b", "漢字かな", "a b", "a b", "漢 b"]),
     (t.normalize_text, ["a \r\nb\rc  ", "  a  b \n  c"], ["a\nb\nc", "a  b\n  c"]),
     (t.reference_title, ["A title.", "A title .", "And so on...", ".", "none"], ["A title", "A title", "And so on...", "", "none"]),
@@ -27,7 +27,7 @@ CASES = [
     (t.japanese_letters, ["論文 PDF の構造化", "ーー。"], [6, 0]),
     (t.latin_letters, ["論文 PDF の構造化", "12"], [3, 0]),
     (t.count_references, ["[1] a\n [12] b\nx [99]\n[10000] c", "none"], [12, 0]),
-    (t.dehyphenate, ["long-\ncontext", "soft­\n hyphen"], ["longcontext", "softhyphen"]),
+    (t.dehyphenate, ["rain-\nfall", "snow­\n drift"], ["rainfall", "snowdrift"]),
     (t.extract_json, ['```json\n{"a": 1}\n```', 'x {"a": [1]} y', "no", "[1,2] z"], ['{"a": 1}', '{"a": [1]}', None, "[1,2]"]),
     (t.record_name, ["https://api.x.org/works/10.1?a=b c", "x"], ["works_10.1_a_b_c.json", "x.json"]),
     (t.paper_id, ["arXiv:2309.17453v2", " 2309.1745 ", "cs/0101"], [("2309.17453", "v2"), ("2309.1745", ""), None]),
@@ -54,7 +54,7 @@ def test_cases(spark, case):
 
 
 def test_heading_levels(spark):
-    cases = [("3.1 Routing Function", 1, 2), ("1. Introduction", 3, 1), ("2.3.1. Details", 1, 3), ("A.2 Proofs", 1, 2), ("A Additional Results", 2, 1), ("II.3 Setup", 1, 2), ("IV. Experiments", 2, 1), ("2019 Shared Task Overview", 2, 2), ("3D Reconstruction", 2, 2), ("1.Introduction", 2, 2), ("Introduction", 0, 1), ("Related Work", 9, 4), ("1.2.3.4.5 Deep", 1, 4)]
+    cases = [("5.2 Tide Tables", 1, 2), ("7. Harbours", 3, 1), ("4.1.6. Ropes", 1, 3), ("B.3 Charts", 1, 2), ("C Further Maps", 2, 1), ("III.2 Crew", 1, 2), ("VI. Storms", 2, 1), ("1987 Winter Log", 2, 2), ("2D Drawings", 2, 2), ("8.Anchors", 2, 2), ("Harbours", 0, 1), ("Older Charts", 9, 4), ("6.5.4.3.2 Deep Water", 1, 4)]
     df = spark.createDataFrame(cases, "h string, l int, want int")
     assert [r.y for r in df.select(t.clamp_level(t.heading_level("h", "l")).alias("y")).collect()] == [c[2] for c in cases]
 
@@ -77,8 +77,8 @@ def test_equality(spark):
 
 
 def test_coverage(spark):
-    layer = "A sparse routing head selects key value pairs. Attention mechanism routing is used."
-    cases = [("sparse routing head selects key value pairs", 1.0), ("mechanism routing", 1.0), ("attention", 1.0), ("unknown", 0.0), ("—", None)]
+    layer = "A quiet harbour light guides fishing boats home. Storm warning flags are raised."
+    cases = [("quiet harbour light guides fishing boats home", 1.0), ("warning storm", 1.0), ("flags", 1.0), ("desert", 0.0), ("—", None)]
     df = spark.createDataFrame([("j", v) for v, _ in cases], "job string, value string").withColumn("short", F.lit(False))
     got = {r.value: r.score for r in scoring.score_values(df, spark.createDataFrame([("j", layer)], "job string, text string")).collect()}
     assert got == dict(cases)
