@@ -49,7 +49,7 @@ NUM, DEN = 75, 100
 #: Documents with one slot of which all pairs are candidates.
 GROUP = 12
 #: Candidate pairs that a task forms at once.
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 17
 #: Rows of ids or keys that may be broadcast (8 bytes each); beyond, the same data is joined.
 BROADCAST_ROWS = 1 << 20
 BLOCK = 1024

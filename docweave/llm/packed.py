@@ -71,7 +71,7 @@ class Packer:
     """Gathers keys of kinds over the slices of a task and gives packed rows (bucket, kind, payload), once there are
     ``limit`` keys: so a row holds many keys even where buckets are far more than a slice has keys."""
 
-    def __init__(self, n: int, width: int, limit: int = 1 << 20):
+    def __init__(self, n: int, width: int, limit: int = 1 << 19):
         self.n, self.width, self.limit, self.size = n, width, limit, 0
         self.parts: dict[int, list[tuple]] = {}
 

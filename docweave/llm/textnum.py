@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: UTF-8 bytes of text handled at once; a longer document is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
