@@ -84,6 +84,15 @@ def decoded(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return jobs, r.where(~good).drop("_c", "_u")
 
 
+def respond(answers: DataFrame, waiting: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(answers that resume their task, late ones) of answers (token, error) by the tokens that still wait. A token that
+    timed out, was answered or never was is gone alike: its answer is late, is reported and does no harm."""
+    known = waiting.select("token").distinct().withColumn("_waits", F.lit(True))
+    a = answers.join(known, "token", "left")
+    resumed = a.where("_waits").withColumn("outcome", F.when(F.col("error").isNull(), "resumed").otherwise("failed")).drop("_waits")
+    return resumed, a.where("_waits IS NULL").withColumn("outcome", F.lit("gone")).drop("_waits")
+
+
 def executions(runs: DataFrame, part: str | None = None, last: int = 5, within: int = 20) -> DataFrame:
     """The last executions (name, input, started), or among the last ``within`` those whose input holds ``part``."""
     recent = runs.orderBy(F.desc("started"), "name").limit(within if part else last)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import checks, scalars
 from ..functions import text as t
-from ..operators import compare, grid, layout, merge, normalize, references, verify
+from ..operators import compare, grid, jobs, layout, merge, normalize, references, verify
 from ..schemas import BLOCK_EDGES, BLOCKS, CONFIDENCE, CONFIDENCE_FIELDS, DOCUMENT, PAGE_RESULTS
+from ..sources import readers, writers
 from . import finalize
 from .catalogue import ORACLES, QUERIES, query, sha, table  # noqa: F401  the catalogue with these queries
 
@@ -356,3 +357,51 @@ def value_matrix(spark, sf):
         scalars.completion_notice(F.concat(pick(3, '{"JobId": "J', '{"JobId": "", "x": "', '{"Status": "'), n, F.lit('"}'))).getField("JobId").alias("notice"), scalars.is_notice_event(records).alias("records"), response.getField("text").alias("text"), response.getField("tool_input").alias("tool"), response.getField("problem").alias("problem"),
         answer.getField("problem").alias("answer"), answer.getField("value").getField("a").alias("got"), info.getField("pages").alias("pdf_pages"), info.getField("encrypted").alias("locked"), info.getField("problem").alias("pdf_problem"), checks.looks_like_pdf(body).alias("mark"), checks.starts_like_pdf(body).alias("head"), ref.getField("doi").alias("doi"),
     )
+
+
+# --- recorded and paged answers -------------------------------------------------------------------------------
+
+_ANSWERS = "WITH c AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS job, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS seq, count(*) OVER (PARTITION BY conv_id) AS n, text FROM conversations)"
+
+
+def _answers(spark, sf):
+    """Turns as pages of an answer: (conv_id, job, seq, n, text)."""
+    w = W.partitionBy("conv_id")
+    return table(spark, sf, "conversations").select("conv_id", F.col("conv_id").cast("string").alias("job"), F.row_number().over(w.orderBy("turn")).alias("seq"), F.count(F.lit(1)).over(w).alias("n"), "text")
+
+
+@query(_ANSWERS + """ SELECT job, seq, text, '' AS problem FROM c WHERE conv_id % 7 <> 0 AND NOT (conv_id % 5 = 0 AND n > 2)
+UNION ALL SELECT job, 0, '', 'repeated_token' FROM c WHERE seq = 1 AND conv_id % 5 = 0 AND n > 2 UNION ALL SELECT job, 0, '', 'not_succeeded' FROM c WHERE seq = 1 AND conv_id % 7 = 0""")
+def paged_answers(spark, sf):
+    """Pages of whole answers, and the problem of each other job."""
+    token = F.when(F.col("seq") < F.col("n"), F.when(F.col("conv_id") % 5 == 0, "t").otherwise(F.concat(F.lit("t"), F.col("seq").cast("string"))))
+    status = F.when((F.col("conv_id") % 7 == 0) == (F.col("seq") == 1), "FAILED").otherwise("SUCCEEDED")
+    pages, problems = readers.whole_answers(_answers(spark, sf).withColumns({"next_token": token, "status": status}))
+    return pages.select("job", "seq", "text", F.lit("").alias("problem")).union(problems.select("job", F.lit(0), F.lit(""), "problem"))
+
+
+@query(_ANSWERS + """ SELECT job, CASE WHEN seq = 1 THEN '' ELSE 't' || (seq - 1) END AS token, text FROM c UNION ALL SELECT job, 'zz', NULL FROM c WHERE seq = 1 AND conv_id % 3 = 0""")
+def token_replay(spark, sf):
+    """Recorded pages by the token that asks for them; one token that no page gave."""
+    p = _answers(spark, sf)
+    asked = p.select("job", F.when(F.col("seq") > 1, F.concat(F.lit("t"), (F.col("seq") - 1).cast("string"))).alias("token"))
+    asked = asked.union(p.where("seq = 1 AND conv_id % 3 = 0").select("job", F.lit("zz")))
+    recorded = p.select("job", "seq", F.when(F.col("seq") < F.col("n"), F.concat(F.lit("t"), F.col("seq").cast("string"))).alias("next_token"), "text")
+    return readers.replay_pages(asked, recorded).select("job", "token", "text")
+
+
+@query(_ANSWERS + """ SELECT job, CAST(row_number() OVER (PARTITION BY job ORDER BY seq) AS INT) AS page, text FROM c WHERE seq % 4 <> 3 AND seq >= CASE WHEN n >= 4 THEN 4 ELSE 1 END""")
+def recorded_pages(spark, sf):
+    """What a recorder keeps where every fourth call met a running job and the fourth call asked anew."""
+    p = _answers(spark, sf)
+    calls = p.select("job", F.col("seq").alias("at"), F.when(~F.col("seq").isin(1, 4), "t").alias("token"), F.when(F.col("seq") % 4 == 3, "IN_PROGRESS").otherwise("SUCCEEDED").alias("status"), "text")
+    return writers.recording(calls).select("job", "page", "text")
+
+
+@query("""SELECT event_id AS token, CASE WHEN event_id % 3 = 0 THEN 'gone' WHEN event_type = 'error' THEN 'failed' ELSE 'resumed' END AS outcome FROM events""")
+def task_answers(spark, sf):
+    """Answers to waiting tasks: resumed, failed, or late."""
+    e = table(spark, sf, "events")
+    answers = e.select(F.col("event_id").alias("token"), F.when(F.col("event_type") == "error", "x").alias("error"))
+    resumed, late = jobs.respond(answers, e.where("event_id % 3 <> 0").select(F.col("event_id").alias("token")))
+    return resumed.union(late).select("token", "outcome")

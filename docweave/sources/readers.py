@@ -93,6 +93,30 @@ def paged(results: DataFrame, job: str = "job", seq: str = "seq", token: str = "
     return again.union(chain).union(blank)
 
 
+def whole_answers(results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pages, problems) of paged results (job, seq, next_token, status): all pages of the jobs whose chain of tokens
+    holds and whose first page succeeded; the status of later pages does not count. Every other job has a problem."""
+    chain = paged(results)
+    failed = results.where((F.col("seq") == 1) & ~checks.succeeded("status") & (F.coalesce("status", F.lit("")) != "")).select(F.col("job"), F.lit("not_succeeded").alias("problem"))
+    problems = chain.union(failed).distinct()
+    return results.join(problems.select("job"), "job", "left_anti"), problems
+
+
+def replay_pages(requests: DataFrame, recorded: DataFrame) -> DataFrame:
+    """Requests (job, token) with the recorded page (job, seq, next_token, ...) that follows the token; no token asks
+    for the first page, and an unknown one leaves NULLs."""
+    from pyspark.sql import Window as W
+
+    asked = F.coalesce(F.lag("next_token").over(W.partitionBy("job").orderBy("seq")), F.lit(""))
+    pages = recorded.withColumn("token", asked).dropDuplicates(["job", "token"])
+    return requests.withColumn("token", F.coalesce("token", F.lit(""))).join(pages, ["job", "token"], "left")
+
+
+def replay_answers(requests: DataFrame, recorded: DataFrame) -> DataFrame:
+    """Requests (paper, route) with the recorded answer of their key; missing ones have NULLs."""
+    return replay(requests.withColumn("record", F.concat_ws("-", "paper", "route")), recorded, "record")
+
+
 def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A manifest's rows, or none where it does not exist yet."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
@@ -58,6 +61,33 @@ def failures(df: DataFrame) -> DataFrame:
     return df.select("job", F.col("code"), F.to_json(F.struct(F.col("job"), F.col("ocr_job"), F.col("message"))).alias("cause"))
 
 
+def recording(calls: DataFrame) -> DataFrame:
+    """What a recorder keeps of calls (job, at, token, status, ...): pages still in progress are dropped, and a call
+    for the first page, which has no token, starts the job's list anew. Adds page, from 1 on."""
+    w = W.partitionBy("job")
+    done = calls.where(F.coalesce("status", F.lit("")) != "IN_PROGRESS")
+    start = F.max(F.when(F.coalesce("token", F.lit("")) == "", F.col("at"))).over(w)
+    return done.withColumn("_start", start).where("_start IS NULL OR at >= _start").drop("_start").withColumn("page", F.row_number().over(w.orderBy("at")))
+
+
+def recorded_bodies(responses: DataFrame) -> DataFrame:
+    """Responses (url, status, content) as they are recorded: valid JSON as body, anything else as text."""
+    is_json = F.try_parse_json("content").isNotNull()
+    return responses.select("url", "status", F.when(is_json, F.col("content")).alias("body"), F.when(~is_json, F.col("content")).alias("text"))
+
+
+def raw_first(raw_root: str, result_root: str, interpret: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A batch writer that saves raw answers before it interprets them: a failing interpretation leaves them readable,
+    and running a batch again replaces its parts. Results are made from what was saved."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        path = f"{raw_root}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        interpret(batch.sparkSession.read.schema(batch.schema).parquet(path)).write.mode("overwrite").parquet(f"{result_root}/batch={batch_id}")
+
+    return write
+
+
 def upload_key(job) -> Column:
     return F.format_string("uploads/%s/original.pdf", _col(job))
 

@@ -274,3 +274,31 @@ def test_streams(spark, tmp_path):
         flows.run_once(stream.writeStream.foreachBatch(write), str(tmp_path / "state"))
     now, _ = writers.read_snapshot(spark, str(tmp_path / "jobs"))
     assert now.count() == 2 and {r.status for r in now.collect()} == {"FAILED"} and {r.error_reason for r in now.collect()} == {"HASH_MISMATCH", "NOT_PDF"}
+
+
+def test_answers_are_saved_raw_and_replayed(spark, tmp_path):
+    pages = spark.createDataFrame([("a", 1, "t1", "SUCCEEDED"), ("a", 2, None, "FAILED"), ("b", 1, "t", "SUCCEEDED"), ("b", 2, "t", "SUCCEEDED"), ("b", 3, None, ""), ("c", 1, None, "FAILED"), ("d", 1, None, "")], "job string, seq int, next_token string, status string")
+    whole, problems = readers.whole_answers(pages)
+    assert sorted((r.job, r.seq) for r in whole.collect()) == [("a", 1), ("a", 2)]
+    assert {tuple(r) for r in problems.collect()} == {("b", "repeated_token"), ("c", "not_succeeded"), ("d", "status_missing")}
+    asked = spark.createDataFrame([("a", None), ("a", "t1"), ("a", "other")], "job string, token string")
+    assert {r.token: r.seq for r in readers.replay_pages(asked, pages).collect()} == {"": 1, "t1": 2, "other": None}
+    answers = readers.replay_answers(spark.createDataFrame([("p", "layout"), ("p", "x")], "paper string, route string"), spark.createDataFrame([("p-layout", "yes")], "record string, answer string"))
+    assert {r.route: r.answer for r in answers.collect()} == {"layout": "yes", "x": None}
+    bodies = writers.recorded_bodies(spark.createDataFrame([("u", 200, '{"a": 1}'), ("v", 500, "gone away"), ("w", 204, None)], "url string, status int, content string"))
+    assert [(r.body, r.text) for r in bodies.orderBy("url").collect()] == [('{"a": 1}', None), (None, "gone away"), (None, None)]
+    calls = spark.createDataFrame([("j", 1, None, "SUCCEEDED"), ("j", 2, "t", "SUCCEEDED"), ("j", 3, None, "IN_PROGRESS"), ("j", 4, None, "SUCCEEDED"), ("j", 5, "t", None)], "job string, at int, token string, status string")
+    assert [(r.at, r.page) for r in writers.recording(calls).orderBy("at").collect()] == [(4, 1), (5, 2)]
+
+    def fails(df):
+        raise ValueError("not readable")
+
+    one = spark.createDataFrame([("a", "{")], "job string, raw string")
+    with pytest.raises(ValueError):
+        writers.raw_first(f"{tmp_path}/raw", f"{tmp_path}/out", fails)(one, 3)
+    assert spark.read.parquet(f"{tmp_path}/raw/batch=3").collect() == one.collect()
+    for _ in range(2):
+        writers.raw_first(f"{tmp_path}/raw", f"{tmp_path}/out", lambda d: d.withColumn("n", F.length("raw")))(one, 3)
+    assert [r.n for r in spark.read.parquet(f"{tmp_path}/out/batch=3").collect()] == [1]
+    resumed, late = jobs.respond(spark.createDataFrame([("x", None), ("y", "bad"), ("z", None), (None, None)], "token string, error string"), spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "token string"))
+    assert {tuple(r) for r in resumed.collect()} == {("x", None, "resumed"), ("y", "bad", "failed")} and {r.token for r in late.collect()} == {"z", None}
