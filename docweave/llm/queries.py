@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op10_decontamination
-from . import html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
+from . import conversations, html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
@@ -18,9 +18,10 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
 }
 
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL, "op11_conversation_repair": conversations.ORACLE_SQL}
 
 
 def pipeline(spark, sf_dir):
