@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op10_decontamination
-from . import conversations, html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
+from . import collocations, conversations, html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
@@ -19,9 +19,10 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op13_collocations": collocations.op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL, "op11_conversation_repair": conversations.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL, "op11_conversation_repair": conversations.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
 
 
 def pipeline(spark, sf_dir):
