@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op10_decontamination
-from . import collocations, conversations, html_extract, jaccard_join, licences, pii, quality_classifier, quality_rules, substring_dedup
+from . import collocations, conversations, html_extract, jaccard_join, language_id, licences, pii, quality_classifier, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_language_id": language_id.op12_language_id,
     "op13_collocations": collocations.op13_collocations,
 }
 
