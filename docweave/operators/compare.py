@@ -10,16 +10,27 @@ from ..functions import scalars as s
 _RESULT = "struct<status:string,needs_review:boolean,missing_pages:int,error:string,cause:string>"
 
 
+#: What of a document is compared.
+PARTS = ("title", "author_names", "abstract", "headings", "sizes")
+
+
+def parts(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns of PARTS."""
+    sizes = F.struct(*[F.size(c).alias(c) for c in ("sections", "figures", "tables", "references")])
+    return docs.withColumns({"title": F.col("metadata.title"), "author_names": F.transform("metadata.authors", lambda x: x.getField("name")), "abstract": F.col("metadata.abstract"), "headings": F.transform("sections", lambda x: x.getField("heading")), "sizes": sizes})
+
+
+def difference(a: str, b: str) -> Column:
+    """struct(title, authors, abstract, counts, headings): pairs of the parts of two documents."""
+    at = lambda d, c: F.col(f"{d}.{c}")
+    counts = F.struct(*[s.count_pair(at(a, f"sizes.{c}"), at(b, f"sizes.{c}")).alias(c) for c in ("sections", "figures", "tables", "references")])
+    return F.struct(s.value_pair(f"{a}.title", f"{b}.title").alias("title"), s.list_pair(at(a, "author_names"), at(b, "author_names")).alias("authors"), s.value_pair(f"{a}.abstract", f"{b}.abstract").alias("abstract"), counts.alias("counts"), s.list_pair(at(a, "headings"), at(b, "headings")).alias("headings"))
+
+
 def diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(job_id, title, authors, abstract, headings, counts): pairs of both documents; only jobs with both."""
-    names = lambda d: F.transform(F.col(f"{d}.metadata.authors"), lambda x: x.getField("name"))
-    heads = lambda d: F.transform(F.col(f"{d}.sections"), lambda x: x.getField("heading"))
-    count = lambda c: s.count_pair(F.size(f"a.{c}"), F.size(f"b.{c}")).alias(c)
-    j = a.alias("a").join(b.alias("b"), F.col("a.job_id") == F.col("b.job_id"))
-    return j.select(
-        F.col("a.job_id").alias("job_id"), s.value_pair("a.metadata.title", "b.metadata.title").alias("title"), s.list_pair(names("a"), names("b")).alias("authors"), s.value_pair("a.metadata.abstract", "b.metadata.abstract").alias("abstract"),
-        F.struct(*map(count, ("sections", "figures", "tables", "references"))).alias("counts"), s.list_pair(heads("a"), heads("b")).alias("headings"),
-    )
+    """(job_id, title, authors, abstract, counts, headings): pairs of both documents; only jobs with both."""
+    j = parts(a).select("job_id", *PARTS).alias("a").join(parts(b).select("job_id", *PARTS).alias("b"), F.col("a.job_id") == F.col("b.job_id"))
+    return j.select(F.col("a.job_id").alias("job_id"), difference("a", "b").alias("d")).select("job_id", "d.*")
 
 
 def decision(a_status: Column, b_status: Column, a_review: Column, b_review: Column) -> Column:
@@ -32,28 +43,31 @@ def decision(a_status: Column, b_status: Column, a_review: Column, b_review: Col
     return F.struct(status.alias("status"), (any_ok & review).alias("needs_review"))
 
 
-def route_results(jobs: DataFrame, verified: DataFrame, route: str, pages: DataFrame | None = None, catches: DataFrame | None = None) -> DataFrame:
-    """(job, result) of one route for every job (job, skipped, page_count).
-
-    A job without a verified document failed unless it was skipped; missing pages or a caught error need review.
-    catches: (job, raw) failure payloads; pages: (job, page) results that were there.
-    """
-    out = jobs.join(verified.where(F.col("route") == route).select("job", F.col("needs_review").alias("_review")), "job", "left")
-    seen = pages.groupBy("job").agg(F.countDistinct("page").alias("_seen")) if pages is not None else jobs.select("job", F.lit(None).cast("bigint").alias("_seen")).dropDuplicates(["job"])
-    caught = catches.select("job", s.parse_catch("raw").alias("_c")) if catches is not None else jobs.select("job", F.lit(None).cast("struct<error:string,cause:string>").alias("_c")).dropDuplicates(["job"])
-    out = out.join(seen, "job", "left").join(caught, "job", "left")
-    ok = F.col("_review").isNotNull()
-    missing = F.when(ok & F.lit(pages is not None), F.greatest(F.col("page_count") - F.coalesce("_seen", F.lit(0)), F.lit(0)).cast("int")).otherwise(0)
-    skipped = F.coalesce("skipped", F.lit(False)) if route == "textract" else F.lit(False)
-    status = F.when(skipped, "skipped").when(ok, "succeeded").otherwise("failed")
-    review = ok & (F.col("_review") | (missing > 0) | F.col("_c").isNotNull())
-    return out.select("job", F.struct(status.alias("status"), F.coalesce(review, F.lit(False)).alias("needs_review"), missing.alias("missing_pages"), F.col("_c.error").alias("error"), F.col("_c.cause").alias("cause")).cast(_RESULT).alias("result"))
-
-
-def comparison(a_results: DataFrame, b_results: DataFrame, diffs: DataFrame) -> DataFrame:
-    """One row a job: status, needs_review, both results, and the diff where both succeeded."""
-    j = a_results.withColumnRenamed("result", "a").join(b_results.withColumnRenamed("result", "b"), "job", "full_outer")
-    d = decision(F.col("a.status"), F.col("b.status"), F.col("a.needs_review"), F.col("b.needs_review"))
-    packed = diffs.select(F.col("job_id").alias("job"), F.struct(*[c for c in diffs.columns if c != "job_id"]).alias("diff"))
-    both = (F.col("a.status") == "succeeded") & (F.col("b.status") == "succeeded")
-    return j.withColumn("d", d).join(packed, "job", "left").select("job", "d.status", "d.needs_review", F.col("a").alias("textract"), F.col("b").alias("bedrock"), F.when(both, F.col("diff")).alias("diff"))
+def route_result(there: Column, review: Column, skipped: Column, missing: Column, error: Column, cause: Column) -> Column:
+    """A route's result for one job: without a document it failed unless it was skipped; missing pages or a caught
+    error need review."""
+    there = F.coalesce(there, F.lit(False))
+    status = F.when(skipped, "skipped").when(there, "succeeded").otherwise("failed")
+    missing = F.when(there, F.greatest(missing, F.lit(0)).cast("int")).otherwise(0)
+    again = there & (F.coalesce(review, F.lit(False)) | (missing > 0) | error.isNotNull())
+    return F.struct(status.alias("status"), again.alias("needs_review"), missing.alias("missing_pages"), error.alias("error"), cause.alias("cause")).cast(_RESULT)
+
+
+def sides(reports: DataFrame, *fields: str) -> DataFrame:
+    """(job, a, b): the reports of both routes beside each other, from rows with job and route; one aggregation."""
+    side = F.struct(*fields)
+    return reports.groupBy("job").agg(F.max(F.when(F.col("route") == "textract", side)).alias("a"), F.max(F.when(F.col("route") == "bedrock", side)).alias("b"))
+
+
+def comparison(jobs: DataFrame, reports: DataFrame) -> DataFrame:
+    """One row a job (job, skipped, page_count, caught): status, needs_review, both results, and the diff where both
+    succeeded. reports: verified documents of both routes with ``needs_review``, ``seen`` and the document's parts
+    that are compared (PARTS); ``caught`` is the payload of a failure, or NULL."""
+    j = jobs.join(sides(reports, "needs_review", "seen", *PARTS), "job", "left").withColumn("_c", s.parse_catch("caught"))
+    none = F.lit(None).cast("string")
+    a = route_result(F.col("a").isNotNull(), F.col("a.needs_review"), F.coalesce("skipped", F.lit(False)), F.lit(0), none, none)
+    b = route_result(F.col("b").isNotNull(), F.col("b.needs_review"), F.lit(False), F.col("page_count") - F.coalesce("b.seen", F.lit(0)), F.col("_c.error"), F.col("_c.cause"))
+    j = j.withColumns({"textract": a, "bedrock": b})
+    j = j.withColumn("d", decision(F.col("textract.status"), F.col("bedrock.status"), F.col("textract.needs_review"), F.col("bedrock.needs_review")))
+    both = (F.col("textract.status") == "succeeded") & (F.col("bedrock.status") == "succeeded")
+    return j.select("job", "d.status", "d.needs_review", "textract", "bedrock", F.when(both, difference("a", "b")).alias("diff"))

@@ -85,8 +85,8 @@ def provenance(p: Column, found: Column) -> Column:
     return p.withField("cost", cost).withField("warnings", F.array_distinct(F.concat(s.or_empty(p.getField("warnings")), found)))
 
 
-def normalize(docs: DataFrame, as_of_year: int) -> DataFrame:
-    """Documents in one form; ``as_of_year`` is the clock, never read from the machine."""
+def normalize(docs: DataFrame, as_of_year: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents in one form, and the columns ``keep``; ``as_of_year`` is the clock, never read from the machine."""
     return docs.select(
         "job_id",
         F.coalesce(F.nullif("schema_version", F.lit("")), F.lit(SCHEMA_VERSION)).alias("schema_version"),
@@ -97,4 +97,5 @@ def normalize(docs: DataFrame, as_of_year: int) -> DataFrame:
         tables(F.col("tables")).alias("tables"),
         references(F.col("references"), as_of_year).alias("references"),
         provenance(F.col("provenance"), warnings(as_of_year)).alias("provenance"),
+        *keep,
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..workers import written
 from . import scoring
 
 MAX_LOOKUPS, BREAKER, CANDIDATES = 100, 3, 3
@@ -45,16 +46,17 @@ def best_candidates(mine: DataFrame, works: DataFrame, common: int = COMMON_TOKE
     that reach is ranked over all its tokens, salted.
     """
     key, near = ["job", "i"], 1 - 1e-9
-    tokens = works.select("doi", F.explode(F.array_distinct(t.tokenize("title"))).alias("token")).join(mine.select("token").distinct(), "token", "left_semi")
-    known = mine.join(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
+    mine = written(mine)
+    tokens = written(works.select("doi", F.explode(F.array_distinct(t.tokenize("title"))).alias("token")).join(mine.select("token").distinct(), "token", "left_semi"))
+    known = written(mine.join(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token"))
     hot = known.where(F.col("n") > common)
     # Rounded, so that sums of the same weights tie in whatever order they were added.
     weight = F.round(F.sum(1 / F.col("n")), 12)
     order = W.partitionBy(*key).orderBy(F.desc("weight"), "doi")
-    first = known.where(F.col("n") <= common).join(tokens, "token").groupBy(*key, "doi").agg(weight.alias("weight"))
+    first = written(known.where(F.col("n") <= common).join(tokens, "token").groupBy(*key, "doi").agg(weight.alias("weight")))
     third = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CANDIDATES).groupBy(*key).agg(F.when(F.count(F.lit(1)) == CANDIDATES, F.min("weight")).alias("floor"))
     reach = known.groupBy(*key).agg(F.coalesce(F.sum(F.when(F.col("n") > common, 1 / F.col("n"))), F.lit(0.0)).alias("reach")).join(third, key, "left")
-    reach = reach.withColumn("open", (F.col("reach") > 0) & (F.col("reach") >= F.coalesce("floor", F.lit(0.0)) * near))
+    reach = written(reach.withColumn("open", (F.col("reach") > 0) & (F.col("reach") >= F.coalesce("floor", F.lit(0.0)) * near)))
     kept = first.join(reach.where(~F.col("open")), key).where(F.col("floor").isNull() | (F.col("weight") + F.col("reach") >= F.col("floor") * near)).select(*key, "doi", "weight")
     more = kept.select(*key, "doi").join(hot, key).join(tokens, ["doi", "token"]).groupBy(*key, "doi").agg(F.sum(1 / F.col("n")).alias("more"))
     kept = kept.join(more, [*key, "doi"], "left").select(*key, "doi", F.round(F.col("weight") + F.coalesce("more", F.lit(0.0)), 12).alias("weight"))
@@ -101,8 +103,8 @@ def check_references(refs: DataFrame, works: DataFrame | None, unavailable: Data
     return circuit_breaker(found)
 
 
-def summarize(checks: DataFrame) -> DataFrame:
-    """Counts of each status, and the share of verified among those that could be compared."""
+def summarize(checks: DataFrame, *more) -> DataFrame:
+    """Counts of each status, and the share of verified among those that could be compared; ``more`` aggregates."""
     n = lambda x: F.count_if(F.col("status") == x)
-    out = checks.groupBy("job").agg(n("verified").alias("verified"), n("mismatch").alias("mismatch"), n("notFound").alias("not_found"), n("unavailable").alias("unavailable"), n("skipped").alias("skipped"))
+    out = checks.groupBy("job").agg(n("verified").alias("verified"), n("mismatch").alias("mismatch"), n("notFound").alias("not_found"), n("unavailable").alias("unavailable"), n("skipped").alias("skipped"), *more)
     return out.withColumn("crossref", F.round(F.try_divide(F.col("verified"), F.col("verified") + F.col("mismatch")), 4))

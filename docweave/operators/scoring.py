@@ -53,11 +53,6 @@ def contains(folded_text, folded_value) -> Column:
     return (folded_value != "") & F.contains(folded_text, folded_value)
 
 
-def short_score(value, folded_text, tokens, pairs) -> Column:
-    """1 for a value that occurs in one piece, else its coverage."""
-    return F.when(contains(folded_text, t.fold(value)), 1.0).otherwise(coverage(value, tokens, pairs))
-
-
 def is_hallucination(score, short) -> Column:
     return F.coalesce(short & (score < HALLUCINATION_BELOW), F.lit(False))
 
@@ -75,6 +70,25 @@ def score_values(values: DataFrame, layers: DataFrame) -> DataFrame:
     return values.join(known, "job", "left").withColumn("score", score).drop("_folded", "_tokens", "_pairs", "_own", "_needle")
 
 
+def tokenized_values(values: Column) -> Column:
+    """array of values (value, short, ...) with their tokens, distinct pairs and folded text."""
+    own = F.transform(values, lambda v: F.struct(v.alias("v"), t.tokenize(v.getField("value")).alias("tokens"), t.fold(v.getField("value")).alias("folded")))
+    return F.transform(own, lambda x: F.struct(x.getField("v").alias("v"), x.getField("tokens").alias("tokens"), F.array_distinct(t.token_pairs(x.getField("tokens"))).alias("pairs"), x.getField("folded").alias("folded")))
+
+
+def scored_values(tokenized: Column, folded_text: Column, tokens: Column, pairs: Column) -> Column:
+    """The values with ``score``, as :func:`score_values` gives it, from the vocabulary beside them in the row."""
+
+    def one(x: Column) -> Column:
+        n = F.size(x.getField("tokens"))
+        share = F.size(F.array_intersect(x.getField("pairs"), pairs)) / F.greatest(F.size(x.getField("pairs")), F.lit(1))
+        covered = F.when(n == 1, F.array_contains(tokens, F.get(x.getField("tokens"), F.lit(0))).cast("double")).when(n > 1, share)
+        score = F.when(x.getField("v").getField("short") & contains(folded_text, x.getField("folded")), 1.0).otherwise(covered)
+        return F.struct(*[x.getField("v").getField(f).alias(f) for f in ("field", "ord", "path", "value", "short", "grp")], score.alias("score"))
+
+    return F.transform(tokenized, one)
+
+
 def pair_coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
     """(value_id, text_id, hits, pairs, score) for rows (value_id, value) and (text_id, text) with a pair in common.
 

@@ -103,7 +103,6 @@ CAST((SELECT count(*) FROM sg WHERE sg.job = md.job) AS INT) AS sections, CAST((
 coalesce((SELECT string_agg(code || ' ' || page, ',' ORDER BY code, page) FROM w WHERE w.job = md.job), '') AS warnings FROM md""")
 def merged_documents(spark, sf):
     m = merge.merge_pages(*_pages(spark, sf))
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
     said = F.array_join(F.transform("warnings", lambda w: F.concat_ws(" ", w.getField("code"), w.getField("page").cast("string"))), ",")
     size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c))
     return m.select("job", "title", "abstract", "model", "input_tokens", "output_tokens", "duration_ms", size("sections").alias("sections"), size("references").alias("refs"), size("figures").alias("figures"), size("tables").alias("tabs"), F.coalesce(said, F.lit("")).alias("warnings"))
@@ -176,21 +175,23 @@ def _normal(spark, sf) -> tuple[DataFrame, DataFrame]:
     return normalize.normalize(docs, AS_OF), normalize.normalize(finalize.page_documents(pages, counts), AS_OF)
 
 
+def _both(spark, sf) -> DataFrame:
+    docs = _normal(spark, sf)
+    return docs[0].unionByName(docs[1])
+
+
 @query(_VERIFIED + "SELECT job, route, field, original, CAST(items AS BIGINT) AS items, c AS confidence FROM cf")
 def verified_fields(spark, sf):
     """Fields with their agreement with the text, items and confidence, of every document of both routes."""
-    layers = _layers(spark, sf)
-    r = [verify.verify(d, layers) for d in _normal(spark, sf)]
-    r = r[0].unionByName(r[1])
+    r = verify.verify(_both(spark, sf), _layers(spark, sf))
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.try_element_at("fields", F.lit(f)).alias("f"), F.col(f"confidence.{f}").alias("confidence")) for f in CONFIDENCE_FIELDS])).alias("x")
     return r.select("job", "route", fields).select("job", "route", "x.field", "x.f.original", "x.f.items", "x.confidence")
 
 
 @query(_VERIFIED + "SELECT job, route, checked AS original_checked, CAST(flagged AS INT) AS hallucinations, review AS needs_review, CASE WHEN route = 'bedrock' THEN CAST((SELECT count(*) FROM rg WHERE rg.job = vr.job) AS BIGINT) END AS skipped FROM vr")
 def verified_documents(spark, sf):
-    layers = _layers(spark, sf)
-    r = [verify.verify(d, layers) for d in _normal(spark, sf)]
-    return r[0].unionByName(r[1]).select("job", "route", "original_checked", F.size("hallucinations").alias("hallucinations"), "needs_review", F.when(F.col("route") == "bedrock", F.coalesce("skipped", F.lit(0))).alias("skipped"))
+    r = verify.verify(_both(spark, sf), _layers(spark, sf))
+    return r.select("job", "route", "original_checked", F.size("hallucinations").alias("hallucinations"), "needs_review", F.when(F.col("route") == "bedrock", F.coalesce("skipped", F.lit(0))).alias("skipped"))
 
 
 @query(_NORMAL + r"""SELECT md.job AS job_id, true AS same_title, trim(regexp_replace(lower(title), '\s+', ' ', 'g')) AS title, md.author IS NULL AS same_authors, abstract = '' AS same_abstract, true AS same_headings, NOT EXISTS (SELECT 1 FROM rg WHERE rg.job = md.job) AS same_references,
@@ -209,9 +210,9 @@ def finalized_jobs(spark, sf):
     """The flagship: both routes' results to verified documents and the state of every job."""
     docs, pages, counts = _documents(spark, sf)
     k = F.col("job").cast("bigint")
-    jobs = counts.select("job", (k % 8 == 3).alias("skipped"), "page_count")
-    catches = counts.where(k % 6 == 0).select("job", F.concat(F.lit('{"Error": "E'), "job", F.lit('", "Cause": "c"}')).alias("raw"))
-    c = finalize.finalize(jobs, docs, pages, _layers(spark, sf), None, AS_OF, catches=catches)["comparison"]
+    caught = F.when(k % 6 == 0, F.concat(F.lit('{"Error": "E'), "job", F.lit('", "Cause": "c"}')))
+    jobs = counts.select("job", (k % 8 == 3).alias("skipped"), "page_count", caught.alias("caught"))
+    c = finalize.finalize(jobs, docs, pages, _layers(spark, sf), None, AS_OF)["comparison"]
     return c.select("job", "status", "needs_review", F.col("textract.status").alias("textract"), F.col("bedrock.status").alias("bedrock"), F.col("bedrock.missing_pages").alias("missing_pages"), F.col("bedrock.error").alias("error"), F.col("diff.title.equal").alias("same_title"))
 
 

@@ -10,7 +10,7 @@ from ..schemas import CONFIDENCE, COST, METADATA, PROVENANCE, REFERENCE, SECTION
 
 
 def page_documents(pages: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """Page results as documents of the page route."""
+    """Page results as documents of the page route, with ``seen``, how many page numbers had a result."""
     m = merge.merge_pages(pages, counts)
     none = lambda kind: F.lit(None).cast(kind.lower() if isinstance(kind, str) else kind)
     meta = F.struct(F.col("title"), F.col("authors"), F.col("abstract"), F.col("keywords"), F.lit("").alias("venue"), F.lit(0).alias("year"), F.lit("").alias("primary_category")).cast(METADATA)
@@ -23,7 +23,7 @@ def page_documents(pages: DataFrame, counts: DataFrame | None = None) -> DataFra
     refs = F.transform("references", lambda x: F.struct(*[x.getField(c).alias(c) for c in ("raw", "title", "authors", "year", "venue", "doi")]))
     arr = lambda c, kind: F.coalesce(c.cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
     return m.select(
-        F.col("job").alias("job_id"), F.lit("").alias("schema_version"), none(SOURCE).alias("source"), meta.alias("metadata"), arr(secs, SECTION).alias("sections"), arr(figs, FIGURE).alias("figures"), arr(tabs, TABLE).alias("tables"), arr(refs, REFERENCE).alias("references"), prov.alias("provenance"),
+        F.col("job").alias("job_id"), F.lit("").alias("schema_version"), none(SOURCE).alias("source"), meta.alias("metadata"), arr(secs, SECTION).alias("sections"), arr(figs, FIGURE).alias("figures"), arr(tabs, TABLE).alias("tables"), arr(refs, REFERENCE).alias("references"), prov.alias("provenance"), "seen",
     )
 
 
@@ -52,14 +52,19 @@ def outline_references(outline: DataFrame, elements: DataFrame) -> DataFrame:
 
 
 def finalize(jobs: DataFrame, layout: DataFrame, pages: DataFrame, layers: DataFrame, works: DataFrame | None, as_of_year: int, unavailable: DataFrame | None = None, catches: DataFrame | None = None) -> dict[str, DataFrame]:
-    """jobs: (job, skipped, page_count); layout: documents of the layout route; pages: page results.
+    """jobs: (job, skipped, page_count); layout: documents of the layout route; pages: page results; catches: (job,
+    raw) payloads of failures, unless ``jobs`` carries them as ``caught``.
 
-    Gives documents (normalised, of both routes), reports, and the comparison that decides each job's state.
+    Gives documents (normalised, of both routes), reports, and the comparison that decides each job's state.  All is
+    keyed by the job: each input is dealt out by it once, and pages, documents, scores and sides meet in that dealing.
     """
     valid = jobs.where((F.coalesce("job", F.lit("")) != "") & (F.col("page_count") >= 1))
-    counts = valid.select("job", "page_count")
-    docs = normalize.normalize(layout, as_of_year), normalize.normalize(page_documents(pages, counts), as_of_year)
-    reports = [verify.verify(d, layers, works, unavailable) for d in docs]
-    a = compare.route_results(valid, reports[0], "textract")
-    b = compare.route_results(valid, reports[1], "bedrock", pages, catches)
-    return {"documents": docs[0].unionByName(docs[1]), "reports": reports[0].unionByName(reports[1]), "comparison": compare.comparison(a, b, compare.diff(*docs))}
+    if catches is not None:
+        valid = valid.join(catches.select("job", F.col("raw").alias("caught")), "job", "left")
+    elif "caught" not in jobs.columns:
+        valid = valid.withColumn("caught", F.lit(None).cast("string"))
+    made = page_documents(pages, valid.select("job", "page_count"))
+    own = layout.withColumn("seen", F.lit(None).cast("int")).select(*made.columns)
+    docs = compare.parts(normalize.normalize(own.unionByName(made), as_of_year, ("seen",)))
+    reports = verify.verify(docs, layers, works, unavailable, keep=("seen", *compare.PARTS))
+    return {"documents": docs.drop("seen", *compare.PARTS), "reports": reports.drop("seen", *compare.PARTS), "comparison": compare.comparison(valid, reports)}
