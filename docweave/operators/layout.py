@@ -73,7 +73,7 @@ def block_texts(blocks: DataFrame, edges: DataFrame, roots: DataFrame | None = N
     without it.
     """
     own = F.when(F.coalesce("text", F.lit("")) != "", F.col("text")).when(F.col("block_type") == "SELECTION_ELEMENT", F.coalesce("selection_status", F.lit("")))
-    nodes = blocks.select("job", "id", own.alias("own")).groupBy("job", "id").agg(F.first("own").alias("own"))
+    nodes = blocks.select("job", "id", own.alias("own")).groupBy("job", "id").agg(F.min("own").alias("own"))
     asked = nodes if roots is None else nodes.join(roots.select("job", "id").distinct(), ["job", "id"])
     child = edges.where("rel_type = 'CHILD'").groupBy("job", F.col("parent").alias("at"), "child").agg(F.min("pos").alias("pos"))
     child = child.join(nodes.withColumnRenamed("id", "child"), ["job", "child"])
@@ -117,25 +117,39 @@ def page_counts(blocks: DataFrame, stated: DataFrame | None = None) -> DataFrame
     return seen.join(stated, "job", "left").select("job", F.greatest(F.when(F.col("pages") > 0, F.col("pages")).otherwise(F.col("seen")), F.lit(1)).alias("page_count"))
 
 
+def _overlapping(elements: DataFrame, tables: DataFrame) -> DataFrame:
+    """(job, page, n, table_id, table_ord, area) of table elements and tables of one page that share area, to nine places."""
+    side = lambda df, p, *cols: df.select("job", "page", *cols, *[F.col("bbox")[i].alias(p + x) for i, x in enumerate(("x0", "y0", "x1", "y1"))])
+    e, x = side(elements.where("type = 'LAYOUT_TABLE'"), "e", "n").alias("e"), side(tables, "t", "table_id", "table_ord").alias("t")
+    crossing = (F.col("ex0") < F.col("tx1")) & (F.col("tx0") < F.col("ex1")) & (F.col("ey0") < F.col("ty1")) & (F.col("ty0") < F.col("ey1"))
+    area = (F.least("ex1", "tx1") - F.greatest("ex0", "tx0")) * (F.least("ey1", "ty1") - F.greatest("ey0", "ty0"))
+    met = e.join(x, (F.col("e.job") == F.col("t.job")) & (F.col("e.page") == F.col("t.page")) & crossing)
+    return met.select("e.job", "e.page", "n", "table_id", "table_ord", F.round(area, 9).alias("area")).where("area > 0")
+
+
 def best_overlaps(elements: DataFrame, tables: DataFrame) -> DataFrame:
     """(job, n, table_id, area): for each table element the table of its page it shares most area with."""
-    e = elements.where("type = 'LAYOUT_TABLE'").select("job", "page", "n", F.col("bbox").alias("box"))
-    pairs = e.join(tables.select("job", "page", "table_id", "table_ord", F.col("bbox").alias("tbox")), ["job", "page"]).withColumn("area", s.overlap_area("box", "tbox")).where("area > 0")
-    return pairs.groupBy("job", "n").agg(F.max_by(F.struct("table_id", "area"), F.struct(F.col("area"), -F.col("table_ord"))).alias("b")).select("job", "n", "b.table_id", "b.area")
+    best = F.max_by(F.struct("table_id", "area"), F.struct(F.col("area"), -F.col("table_ord")))
+    return _overlapping(elements, tables).groupBy("job", "n").agg(best.alias("b")).select("job", "n", "b.table_id", "b.area")
 
 
 def exclusive_overlaps(elements: DataFrame, tables: DataFrame) -> DataFrame:
     """(job, n, table_id): each table used once, elements choosing in reading order, first table wins ties.
 
-    Each choice depends on the ones before it, so a page's pairs are folded in order, inside its own row.
+    Each choice depends on the ones before it, so a page's pairs are folded in order, inside its own row; the fold
+    remembers the last element that chose and the tables taken.
     """
-    e = elements.where("type = 'LAYOUT_TABLE'").select("job", "page", "n", F.col("bbox").alias("box"))
-    pairs = e.join(tables.select("job", "page", "table_id", "table_ord", F.col("bbox").alias("tbox")), ["job", "page"]).withColumn("area", s.overlap_area("box", "tbox")).where("area > 0")
-    ranked = pairs.groupBy("job", "page").agg(F.array_sort(F.collect_list(F.struct("n", (-F.col("area")).alias("less"), "table_ord", "table_id"))).alias("p"))
-    empty = F.array().cast("array<struct<n:int,table_id:string>>")
-    taken = lambda acc, x: F.exists(acc, lambda c: (c.getField("n") == x.getField("n")) | (c.getField("table_id") == x.getField("table_id")))
-    chosen = F.aggregate("p", empty, lambda acc, x: F.when(taken(acc, x), acc).otherwise(F.array_append(acc, F.struct(x.getField("n").alias("n"), x.getField("table_id").alias("table_id")))))
-    return ranked.select("job", F.explode(chosen).alias("c")).select("job", "c.n", "c.table_id")
+    pair = F.struct("n", (-F.col("area")).alias("less"), "table_ord", "table_id")
+    ranked = _overlapping(elements, tables).groupBy("job", "page").agg(F.array_sort(F.collect_list(pair)).alias("p"))
+    first = F.struct(F.lit(None).cast("int").alias("last"), F.array().cast("array<string>").alias("taken"), F.array().cast("array<struct<n:int,table_id:string>>").alias("chosen"))
+
+    def choose(acc: Column, x: Column) -> Column:
+        n, table = x.getField("n"), x.getField("table_id")
+        free = ~n.eqNullSafe(acc.getField("last")) & ~F.array_contains(acc.getField("taken"), table)
+        taken = F.struct(n.alias("last"), F.array_append(acc.getField("taken"), table).alias("taken"), F.array_append(acc.getField("chosen"), F.struct(n.alias("n"), table.alias("table_id"))).alias("chosen"))
+        return F.when(free, taken).otherwise(acc)
+
+    return ranked.select("job", F.explode(F.aggregate("p", first, choose, lambda acc: acc.getField("chosen"))).alias("c")).select("job", "c.n", "c.table_id")
 
 
 def reading_text(elements: DataFrame, tables: DataFrame) -> DataFrame:

@@ -188,7 +188,7 @@ def pair_coverage(spark, sf):
     return out.where("score >= 0.3")
 
 
-_SCORED = rf"""WITH v AS (SELECT doc_id, left(text, 40) AS v FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT item_id, left(text, CAST(5 + item_id AS INT)) FROM benchmark),
+_SCORED = rf"""WITH v AS (SELECT doc_id, text AS v FROM documents UNION ALL SELECT item_id, text FROM benchmark),
 d AS (SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[\p{{L}}\p{{Nd}}]')),
 j AS (SELECT v.doc_id, v, regexp_replace(lower(v), '[^\p{{L}}\p{{Nd}}]', '', 'g') AS fv, regexp_replace(lower(text), '[^\p{{L}}\p{{Nd}}]', '', 'g') AS ft, regexp_extract_all(lower(v), '[\p{{L}}\p{{Nd}}]+') AS w, regexp_extract_all(lower(text), '[\p{{L}}\p{{Nd}}]+') AS dw FROM v JOIN d USING (doc_id)),
 p AS (SELECT doc_id, v, fv, ft, w, dw, {_PAIRS} AS p, list_distinct(list_transform(range(1, len(dw)), lambda i: least(dw[i], dw[i + 1]) || ' ' || greatest(dw[i], dw[i + 1]))) AS dp FROM j),
@@ -196,47 +196,22 @@ s AS (SELECT doc_id, v, CASE WHEN fv <> '' AND contains(ft, fv) THEN 1.0 WHEN le
 """
 
 
-def _scored(spark, sf, whole=False):
+def _scored(spark, sf):
+    """Each document's text and the benchmark item of its number, scored against the document."""
     d, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    if whole:
-        v, b = d.select(F.col("doc_id").alias("job"), F.col("text").alias("value")), items.select(F.col("item_id").alias("job"), F.col("text").alias("value"))
-    else:
-        v = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("job"), F.left("text", F.lit(40)).alias("value"))
-        b = items.select(F.col("item_id").alias("job"), F.left("text", (5 + F.col("item_id")).cast("int")).alias("value"))
-    layers = d.select(F.col("doc_id").alias("job"), "text")
-    return scoring.score_values(v.union(b).withColumn("short", F.lit(True)), layers)
-
-
-def _flags(scored):
-    return scored.where(scoring.is_hallucination(F.col("score"), F.col("short"))).select("job", "value", F.round("score", 4).alias("score"))
-
-
-def _reviews(scored):
-    s = scored.where("score IS NOT NULL").groupBy("job").agg(F.count(F.lit(1)).alias("items"), F.round(F.avg("score"), 4).alias("confidence"), F.bool_or(F.col("score") < scoring.HALLUCINATION_BELOW).alias("bad"))
-    return s.select("job", "items", "confidence", (F.col("bad") | F.coalesce(F.col("confidence") < scoring.REVIEW_BELOW, F.lit(False))).alias("needs_review"))
+    v = d.select(F.col("doc_id").alias("job"), F.col("text").alias("value")).union(items.select("item_id", "text"))
+    return scoring.score_values(v.withColumn("short", F.lit(True)), d.select(F.col("doc_id").alias("job"), "text"))
 
 
 @query(_SCORED + "SELECT doc_id AS job, v AS value, round(score, 4) AS score FROM s WHERE score < 0.5")
 def hallucination_flags(spark, sf):
-    return _flags(_scored(spark, sf))
-
-
-# The SQL of a query fixes its rows; names in _all are the same work over every row and the whole text.
-
-
-@query()
-def hallucination_flags_all(spark, sf):
-    return _flags(_scored(spark, sf, whole=True))
+    return _scored(spark, sf).where(scoring.is_hallucination(F.col("score"), F.col("short"))).select("job", "value", F.round("score", 4).alias("score"))
 
 
 @query(_SCORED + "SELECT doc_id AS job, CAST(count(*) AS BIGINT) AS items, round(avg(score), 4) AS confidence, bool_or(score < 0.5) OR coalesce(round(avg(score), 4) < 0.7, false) AS needs_review FROM s WHERE score IS NOT NULL GROUP BY doc_id")
 def review_flag(spark, sf):
-    return _reviews(_scored(spark, sf))
-
-
-@query()
-def review_flag_all(spark, sf):
-    return _reviews(_scored(spark, sf, whole=True))
+    s = _scored(spark, sf).where("score IS NOT NULL").groupBy("job").agg(F.count(F.lit(1)).alias("items"), F.round(F.avg("score"), 4).alias("confidence"), F.bool_or(F.col("score") < scoring.HALLUCINATION_BELOW).alias("bad"))
+    return s.select("job", "items", "confidence", (F.col("bad") | F.coalesce(F.col("confidence") < scoring.REVIEW_BELOW, F.lit(False))).alias("needs_review"))
 
 
 @query("""WITH a AS (SELECT source, lang, avg(quality) AS q, avg(CAST(toxic AS DOUBLE)) AS x FROM labels JOIN documents USING (doc_id) GROUP BY source, lang)
@@ -262,23 +237,15 @@ def latest_status_topk(spark, sf):
 
 
 _STATUS = "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'COMPLETED' WHEN 'view' THEN 'PROCESSING' ELSE 'REVIEW_PENDING' END"
-_SNAPSHOT = f"""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE event_id % 2 = 0),
-j AS (SELECT user_id, {_STATUS} AS status, 'f' || event_id AS filename, ts AS at FROM e WHERE k = 1 AND user_id % 5 <> 0),
-r AS (SELECT user_id, arg_min('g' || event_id, ts) AS filename, min(ts) AS at FROM events WHERE event_id % 2 = 1 AND user_id % 3 <> 0 GROUP BY user_id)
+#: Every event sets and asks for its user's job; jobs only set, or only asked for, are added under numbers of their own.
+_SNAPSHOT = f"""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events),
+j AS (SELECT unnest([2 * user_id, -1 - 2 * user_id]) AS job, {_STATUS} AS status, 'f' || event_id AS filename, ts AS at FROM e WHERE k = 1),
+q AS (SELECT unnest([2 * user_id, 2 * user_id + 1]) AS job, 'g' || event_id AS filename, ts FROM events),
+r AS (SELECT job, arg_min(filename, ts) AS filename, min(ts) AS at FROM q GROUP BY job)
 """
 
 
 def _snapshot(spark, sf):
-    e = table(spark, sf, "events")
-    last = jobs.latest(e.where("event_id % 2 = 0"), "user_id", [F.desc("ts"), F.desc("event_id")]).where("user_id % 5 <> 0")
-    at = F.col("ts")
-    now = last.select(F.col("user_id").alias("job"), F.expr(_STATUS).alias("status"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("filename"), at.alias("created_at"), at.alias("updated_at"), F.lit(None).cast("string").alias("error_reason"))
-    asked = e.where("event_id % 2 = 1 AND user_id % 3 <> 0").select(F.col("user_id").alias("job"), F.concat(F.lit("g"), F.col("event_id").cast("string")).alias("filename"), F.col("ts").alias("at"))
-    return now, asked
-
-
-def _whole_snapshot(spark, sf):
-    """Every event sets and asks for its user's job; jobs only set or only asked for are added under ids of their own."""
     e, user = table(spark, sf, "events"), F.col("user_id")
     at, other = F.col("ts"), F.lit(None).cast("string")
     last = jobs.latest(e, "user_id", [F.desc("ts"), F.desc("event_id")])
@@ -287,44 +254,38 @@ def _whole_snapshot(spark, sf):
     return now, asked
 
 
-def _updated(now, asked):
-    first = asked.groupBy("job").agg(F.min("at").alias("at"))
-    k = F.col("job") % 4
-    changes = first.select("job", F.when(k == 1, "COMPLETED").when(k == 2, "REVIEW_PENDING").when(k == 3, "FAILED").otherwise("NONSENSE").alias("status"), "at")
-    return jobs.update_status(now, changes)[0].select("job", "status", "updated_at")
-
-
-@query(_SNAPSHOT + """SELECT coalesce(j.user_id, r.user_id) AS job, CASE WHEN t THEN 'PROCESSING' ELSE status END AS status, CASE WHEN t THEN r.filename ELSE j.filename END AS filename, CASE WHEN t THEN r.at ELSE j.at END AS updated_at
-FROM j FULL JOIN r ON j.user_id = r.user_id, LATERAL (SELECT r.user_id IS NOT NULL AND (status IS NULL OR status = 'FAILED') AS t)""")
+@query(_SNAPSHOT + """SELECT coalesce(j.job, r.job) AS job, CASE WHEN t THEN 'PROCESSING' ELSE status END AS status, CASE WHEN t THEN r.filename ELSE j.filename END AS filename, CASE WHEN t THEN r.at ELSE j.at END AS updated_at
+FROM j FULL JOIN r ON j.job = r.job, LATERAL (SELECT r.job IS NOT NULL AND (status IS NULL OR status = 'FAILED') AS t)""")
 def job_upsert(spark, sf):
-    now, asked = _snapshot(spark, sf)
-    return jobs.register(now, asked)[0].select("job", "status", "filename", "updated_at")
+    return jobs.register(*_snapshot(spark, sf))[0].select("job", "status", "filename", "updated_at")
 
 
-@query(_SNAPSHOT + "SELECT j.user_id AS job, status, j.filename, CASE status WHEN 'PROCESSING' THEN 'IN_PROGRESS' ELSE 'ALREADY_PROCESSED' END AS code FROM j JOIN r ON j.user_id = r.user_id WHERE status <> 'FAILED'")
+@query(_SNAPSHOT + "SELECT j.job, status, j.filename, CASE status WHEN 'PROCESSING' THEN 'IN_PROGRESS' ELSE 'ALREADY_PROCESSED' END AS code FROM j JOIN r ON j.job = r.job WHERE status <> 'FAILED'")
 def job_conflicts(spark, sf):
-    now, asked = _snapshot(spark, sf)
-    return jobs.register(now, asked)[1].select("job", "status", "filename", F.col("decision.code").alias("code"))
+    return jobs.register(*_snapshot(spark, sf))[1].select("job", "status", "filename", F.col("decision.code").alias("code"))
 
 
-@query(_SNAPSHOT + """SELECT j.user_id AS job, coalesce(CASE r.user_id % 4 WHEN 1 THEN 'COMPLETED' WHEN 2 THEN 'REVIEW_PENDING' END, status) AS status, CASE WHEN r.user_id % 4 IN (1, 2) THEN greatest(r.at) ELSE j.at END AS updated_at FROM j LEFT JOIN r ON j.user_id = r.user_id""")
-def job_status_updates(spark, sf):
-    return _updated(*_snapshot(spark, sf))
+#: Changes of status by the job's number; every fourth is a failure without the call for failures, every fourth no status.
+_CHANGES = _SNAPSHOT.rstrip() + """,
+c AS (SELECT job, r.at AS since, CASE ((job % 8) + 8) % 8 WHEN 1 THEN 'COMPLETED' WHEN 2 THEN 'REVIEW_PENDING' WHEN 3 THEN 'FAILED' WHEN 4 THEN 'COMPLETED' WHEN 6 THEN 'PROCESSING' ELSE 'NONSENSE' END AS status FROM r)
+"""
 
 
-@query()
-def job_upsert_all(spark, sf):
-    return jobs.register(*_whole_snapshot(spark, sf))[0].select("job", "status", "filename", "updated_at")
+def _changed(spark, sf):
+    now, asked = _snapshot(spark, sf)
+    k = F.pmod("job", F.lit(8))
+    changes = asked.groupBy("job").agg(F.min("at").alias("at")).select("job", F.when(k.isin(1, 4), "COMPLETED").when(k == 2, "REVIEW_PENDING").when(k == 3, "FAILED").when(k == 6, "PROCESSING").otherwise("NONSENSE").alias("status"), "at")
+    return jobs.update_status(now, changes)
 
 
-@query()
-def job_conflicts_all(spark, sf):
-    return jobs.register(*_whole_snapshot(spark, sf))[1].select("job", "status", "filename", F.col("decision.code").alias("code"))
+@query(_CHANGES + """SELECT j.job, CASE WHEN c.status IN ('COMPLETED', 'REVIEW_PENDING', 'PROCESSING') THEN c.status ELSE j.status END AS status, CASE WHEN c.status IN ('COMPLETED', 'REVIEW_PENDING', 'PROCESSING') THEN c.since ELSE j.at END AS updated_at FROM j LEFT JOIN c ON c.job = j.job""")
+def job_status_updates(spark, sf):
+    return _changed(spark, sf)[0].select("job", "status", "updated_at")
 
 
-@query()
-def job_status_updates_all(spark, sf):
-    return _updated(*_whole_snapshot(spark, sf))
+@query(_CHANGES + """SELECT job, 'invalid_status' AS problem FROM c WHERE status IN ('FAILED', 'NONSENSE') UNION ALL SELECT job, 'not_found' FROM c WHERE status NOT IN ('FAILED', 'NONSENSE') AND job NOT IN (SELECT job FROM j)""")
+def job_updates_refused(spark, sf):
+    return _changed(spark, sf)[1]
 
 
 @query("""SELECT doc_id, CASE WHEN n_chars * 30000 > 500000000 THEN 'TOO_LARGE' WHEN doc_id % 7 = 0 THEN 'NOT_PDF' WHEN doc_id % 13 = 0 THEN 'HASH_MISMATCH' WHEN doc_id % 11 = 0 THEN 'ENCRYPTED' WHEN n_chars // 40 < 1 THEN 'DAMAGED' WHEN n_chars // 40 > 200 THEN 'TOO_MANY_PAGES' END AS reason FROM documents""")
@@ -397,7 +358,7 @@ def classified_errors(spark, sf):
 
 # --- conversations as pages -------------------------------------------------------------------------------
 
-_TURNS = """WITH c AS (SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN left(text, 8) ELSE '' END AS heading, CASE WHEN turn % 5 = 4 THEN false END AS cont FROM conversations WHERE turn % 4 <> 2),
+_TURNS = """WITH c AS (SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN text ELSE '' END AS heading, CASE WHEN turn % 5 = 4 THEN false END AS cont FROM conversations),
 s AS (SELECT *, CAST(heading <> '' OR coalesce(cont, true) = false OR row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1 AS INT) AS st FROM c),
 i AS (SELECT *, sum(st) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS island FROM s)
 """
@@ -405,16 +366,8 @@ i AS (SELECT *, sum(st) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED
 
 @query(_TURNS + """SELECT conv_id, CAST(island AS BIGINT) AS island, arg_min(heading, turn) AS heading, CAST(count(*) AS BIGINT) AS parts, sha256(list_reduce(list(trim(text) ORDER BY turn), lambda a, b: CASE WHEN ascii(right(a, 1)) < 128 AND ascii(left(b, 1)) < 128 THEN a || ' ' || b ELSE a || b END)) AS h FROM i GROUP BY conv_id, island""")
 def turn_islands(spark, sf):
-    return _islands(table(spark, sf, "conversations").where("turn % 4 <> 2"))
-
-
-@query()
-def turn_islands_all(spark, sf):
-    return _islands(table(spark, sf, "conversations"))
-
-
-def _islands(turns):
-    c = turns.select("conv_id", F.col("turn").alias("page"), F.lit(0).alias("idx"), F.when(F.col("role") == "user", F.left("text", F.lit(8))).otherwise("").alias("heading"), F.when(F.col("turn") % 5 == 4, F.lit(False)).alias("cont"), "text")
+    turns = table(spark, sf, "conversations")
+    c = turns.select("conv_id", F.col("turn").alias("page"), F.lit(0).alias("idx"), F.when(F.col("role") == "user", F.col("text")).otherwise("").alias("heading"), F.when(F.col("turn") % 5 == 4, F.lit(False)).alias("cont"), "text")
     p = merge.section_islands(c, "conv_id").groupBy("conv_id", "island").agg(F.array_sort(F.collect_list(F.struct("page", "heading", "text"))).alias("p"))
     return p.select("conv_id", "island", F.col("p")[0].heading.alias("heading"), F.size("p").cast("long").alias("parts"), sha(t.join_fragments(F.transform("p", lambda x: t.trim_space(x.getField("text"))))).alias("h"))
 
@@ -440,10 +393,10 @@ def missing_turns(spark, sf):
     return merge.missing_pages(c).withColumn("page", F.col("page").cast("long"))
 
 
-@query("""WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'Figure ' ELSE '' END || left(text, 20) AS text FROM conversations)
+@query("""WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'Figure ' ELSE '' END || text AS text FROM conversations)
 SELECT conv_id, turn, CASE WHEN lead(text) OVER w LIKE 'Figure%' THEN trim(lead(text) OVER w) WHEN lag(text) OVER w LIKE 'Figure%' THEN trim(lag(text) OVER w) ELSE '' END AS caption, 'figure-' || row_number() OVER w AS id FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def caption_lead_lag(spark, sf):
-    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("job"), F.lit(1).alias("page"), F.col("turn").alias("n"), F.concat(F.when(F.col("turn") % 3 == 0, "Figure ").otherwise(""), F.left("text", F.lit(20))).alias("text"))
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("job"), F.lit(1).alias("page"), F.col("turn").alias("n"), F.concat(F.when(F.col("turn") % 3 == 0, "Figure ").otherwise(""), "text").alias("text"))
     return layout.sequence_ids(c.withColumn("caption", layout.caption_near(["figure", "fig."])), "figure", "n").select(F.col("job").alias("conv_id"), F.col("n").alias("turn"), "caption", "id")
 
 
@@ -498,8 +451,8 @@ def reading_order(spark, sf):
     return layout.reading_order(_boxes(spark, sf)).select("page", "ord", "col", "rank", "reordered")
 
 
-_OVERLAPS = """WITH e AS (SELECT p_partkey % 50 AS page, p_partkey AS n, p_size / 100 AS x0, p_size / 200 AS y0 FROM part WHERE p_partkey % 2 = 0), t AS (SELECT p_partkey % 50 AS page, p_partkey AS o, p_size / 90 AS x0, p_size / 150 AS y0 FROM part WHERE p_partkey % 2 = 0),
-a AS (SELECT n, o, greatest(least(e.x0 + 0.2, t.x0 + 0.2) - greatest(e.x0, t.x0), 0) * greatest(least(e.y0 + 0.2, t.y0 + 0.2) - greatest(e.y0, t.y0), 0) AS area FROM e JOIN t USING (page))
+_OVERLAPS = """WITH e AS (SELECT p_partkey % 50 AS page, p_partkey AS n, p_size / 100 AS x0, p_size / 200 AS y0 FROM part), t AS (SELECT p_partkey % 50 AS page, p_partkey AS o, p_size / 90 AS x0, p_size / 150 AS y0 FROM part),
+a AS (SELECT page, n, o, round(greatest(least(e.x0 + 0.2, t.x0 + 0.2) - greatest(e.x0, t.x0), 0) * greatest(least(e.y0 + 0.2, t.y0 + 0.2) - greatest(e.y0, t.y0), 0), 9) AS area FROM e JOIN t USING (page))
 """
 
 
@@ -511,23 +464,18 @@ def _overlap_sides(parts):
     return e, x
 
 
-@query(_OVERLAPS + "SELECT CAST(n AS INT) AS n, 't' || arg_max(o, (round(area, 9), -o)) AS table_id, round(max(area), 6) AS area FROM a WHERE area > 0 GROUP BY n")
+@query(_OVERLAPS + "SELECT CAST(n AS INT) AS n, 't' || arg_max(o, (area, -o)) AS table_id, round(max(area), 6) AS area FROM a WHERE area > 0 GROUP BY n")
 def overlap_match(spark, sf):
-    return _overlaps(table(spark, sf, "part").where("p_partkey % 2 = 0"))
-
-
-@query()
-def overlap_match_all(spark, sf):
-    return _overlaps(table(spark, sf, "part"))
-
+    return layout.best_overlaps(*_overlap_sides(table(spark, sf, "part"))).select("n", "table_id", F.round("area", 6).alias("area"))
 
-def _overlaps(parts):
-    e, x = _overlap_sides(parts)
-    pairs = e.withColumnRenamed("bbox", "box").join(x, ["job", "page"]).withColumn("area", scalars.overlap_area("box", "bbox")).where("area > 0")
-    return pairs.groupBy("n").agg(F.max_by(F.struct("table_id"), F.struct(F.round("area", 9), -F.col("table_ord"))).alias("b"), F.round(F.max("area"), 6).alias("area")).select("n", "b.table_id", "area")
 
-
-@query()
+@query(_OVERLAPS.replace("WITH e", "WITH RECURSIVE e").rstrip() + """,
+el AS (SELECT page, n, row_number() OVER (PARTITION BY page ORDER BY n) AS k FROM (SELECT DISTINCT page, n FROM a WHERE area > 0)),
+walk AS (SELECT page, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS o, CAST([] AS BIGINT[]) AS used FROM (SELECT DISTINCT page FROM el)
+  UNION ALL SELECT page, k, n, o, CASE WHEN o IS NULL THEN used ELSE list_append(used, o) END FROM (
+    SELECT w.page, el.k, el.n, a.o, w.used, row_number() OVER (PARTITION BY w.page ORDER BY a.area DESC NULLS LAST, a.o) AS r FROM walk w JOIN el ON el.page = w.page AND el.k = w.k + 1
+    LEFT JOIN a ON a.page = el.page AND a.n = el.n AND a.area > 0 AND NOT list_contains(w.used, a.o)) WHERE r = 1)
+SELECT CAST(n AS INT) AS n, 't' || o AS table_id FROM walk WHERE o IS NOT NULL""")
 def overlap_exclusive(spark, sf):
     return layout.exclusive_overlaps(*_overlap_sides(table(spark, sf, "part"))).select("n", "table_id")
 
@@ -587,7 +535,21 @@ def doi_lookup(spark, sf):
     return references.lookup_doi(refs, works).select("i", "status", "similarity")
 
 
-@query()
+_BROKEN = r"regexp_replace(text, '[-\x{AD}\x{2010}][ \t]*\r?\n[ \t]*', '', 'g')"
+
+
+@query(rf"""WITH d AS (SELECT '10.1/' || doc_id AS doi, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{Nd}}]+') AS w FROM documents),
+dt AS (SELECT doi, unnest(list_distinct(w)) AS tok FROM d), n AS (SELECT tok, count(*) AS n FROM dt GROUP BY tok),
+q AS (SELECT CAST(item_id AS INT) AS i, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{Nd}}]+') AS w, regexp_extract_all(lower({_BROKEN}), '[\p{{L}}\p{{Nd}}]+') AS v FROM benchmark WHERE coalesce(text, '') <> ''),
+qt AS (SELECT i, unnest(list_distinct(w)) AS tok FROM q),
+c AS (SELECT i, doi, round(sum(1 / n), 12) AS weight FROM qt JOIN n USING (tok) JOIN dt USING (tok) GROUP BY i, doi),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY weight DESC, doi) AS k FROM c) WHERE k <= 3),
+s AS (SELECT b.i, b.k, b.doi, d.text AS title, d.w, list_distinct(list_concat(q.w, q.v)) AS words, list_distinct(list_concat({_PAIRS.replace("w[", "q.w[").replace("len(w)", "len(q.w)")}, {_PAIRS.replace("w[", "q.v[").replace("len(w)", "len(q.v)")})) AS pairs FROM b JOIN d USING (doi) JOIN q USING (i)),
+x AS (SELECT i, k, doi, title, CASE WHEN len(w) = 1 THEN CAST(list_contains(words, w[1]) AS DOUBLE) WHEN len(w) > 1 THEN len(list_intersect({_PAIRS}, pairs)) / len({_PAIRS}) END AS score FROM s WHERE len(words) > 0),
+f AS (SELECT i, arg_min((score, doi, title), k) FILTER (WHERE score >= 0.7) AS first, arg_max((score, doi, title), (score, -k)) AS most FROM x WHERE score IS NOT NULL GROUP BY i),
+o AS (SELECT CAST(item_id AS INT) AS i, coalesce(text, '') = '' AS empty, first, coalesce(first, most) AS m FROM benchmark LEFT JOIN f ON f.i = item_id)
+SELECT 'j' AS job, i, CAST(NULL AS VARCHAR) AS doi, CASE WHEN i >= 100 OR empty THEN 'skipped' WHEN first IS NOT NULL THEN 'verified' ELSE 'notFound' END AS status,
+CASE WHEN i < 100 THEN m[1] END AS similarity, CASE WHEN i < 100 THEN m[2] END AS matched_doi, CASE WHEN i < 100 THEN m[3] END AS matched_title FROM o""")
 def title_match(spark, sf):
     works = table(spark, sf, "documents").select(F.concat(F.lit("10.1/"), F.col("doc_id").cast("string")).alias("doi"), F.col("text").alias("title"))
     refs = table(spark, sf, "benchmark").select(F.lit("j").alias("job"), F.col("item_id").cast("int").alias("i"), F.lit(None).cast("string").alias("doi"), F.col("text").alias("title"), F.lit("").alias("raw"))

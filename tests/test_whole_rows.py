@@ -19,16 +19,15 @@ def sf(spark, tmp_path_factory):
     put("benchmark", [(1, tail), (2, tail)], "item_id long, text string")
     put("part", [(50 * i, 10 + i) for i in range(1, 8)], "p_partkey long, p_size int")
     put("conversations", [(1, t, "user" if t == 0 else "assistant", f"t{t}") for t in range(8)], "conv_id long, turn int, role string, text string")
-    put("events", [(1, 5, "error", 10), (2, 5, "purchase", 20), (3, 10, "error", 30), (4, 15, "view", 40)], "event_id long, user_id long, event_type string, at int")
-    e = spark.read.parquet(f"{out}/events.parquet").select("event_id", "user_id", "event_type", F.timestamp_seconds("at").alias("ts")).localCheckpoint()
-    e.write.mode("overwrite").parquet(f"{out}/events.parquet")
+    events = spark.createDataFrame([(1, 5, "error", 10), (2, 5, "purchase", 20), (3, 10, "error", 30), (4, 15, "view", 40)], "event_id long, user_id long, event_type string, at int")
+    events.select("event_id", "user_id", "event_type", F.timestamp_seconds("at").alias("ts")).write.parquet(f"{out}/events.parquet")
     return out
 
 
 def test_every_value_is_scored_whole(spark, sf):
-    flags = {(r.job, r.value[:5]): r.score for r in QUERIES["hallucination_flags_all"](spark, sf).collect()}
+    flags = {(r.job, r.value[:5]): r.score for r in QUERIES["hallucination_flags"](spark, sf).collect()}
     assert flags == {(1, "w0 w1"): round(11 / 39, 4)}
-    review = {r.job: (r["items"], r.needs_review) for r in QUERIES["review_flag_all"](spark, sf).collect()}
+    review = {r.job: (r["items"], r.needs_review) for r in QUERIES["review_flag"](spark, sf).collect()}
     assert review == {1: (2, True), 2: (2, False), 3: (1, False)}
 
 
@@ -39,21 +38,21 @@ def test_every_part_meets(spark, sf):
         a, b, c, d = size[n] / 100, size[n] / 200, size[o] / 90, size[o] / 150
         return max(0, min(a, c) + 0.2 - max(a, c)) * max(0, min(b, d) + 0.2 - max(b, d))
 
-    got = {r.n: r.table_id for r in QUERIES["overlap_match_all"](spark, sf).collect()}
+    got = {r.n: r.table_id for r in QUERIES["overlap_match"](spark, sf).collect()}
     assert got == {n: f"t{max(size, key=lambda o: (round(area(n, o), 9), -o))}" for n in size}
     assert {r.n for r in QUERIES["overlap_exclusive"](spark, sf).collect()} <= set(size)
 
 
 def test_every_turn_is_merged(spark, sf):
-    assert sum(r.parts for r in QUERIES["turn_islands_all"](spark, sf).collect()) == 8
+    assert sum(r.parts for r in QUERIES["turn_islands"](spark, sf).collect()) == 8
 
 
 def test_every_event_counts(spark, sf):
     # Users 5, 10, 15: job 2u is set and asked for, -1-2u only set, 2u+1 only asked for.
-    got = {r.job: (r.status, r.filename) for r in QUERIES["job_upsert_all"](spark, sf).collect()}
+    got = {r.job: (r.status, r.filename) for r in QUERIES["job_upsert"](spark, sf).collect()}
     assert got == {10: ("COMPLETED", "f2"), -11: ("COMPLETED", "f2"), 11: ("PROCESSING", "g1"), 20: ("PROCESSING", "g3"), -21: ("FAILED", "f3"), 21: ("PROCESSING", "g3"), 30: ("PROCESSING", "f4"), -31: ("PROCESSING", "f4"), 31: ("PROCESSING", "g4")}
-    assert {r.job: r.code for r in QUERIES["job_conflicts_all"](spark, sf).collect()} == {10: "ALREADY_PROCESSED", 30: "IN_PROGRESS"}
-    assert {r.job: r.status for r in QUERIES["job_status_updates_all"](spark, sf).collect()} == {10: "REVIEW_PENDING", -11: "COMPLETED", 20: "FAILED", -21: "FAILED", 30: "REVIEW_PENDING", -31: "PROCESSING"}
+    assert {r.job: r.code for r in QUERIES["job_conflicts"](spark, sf).collect()} == {10: "ALREADY_PROCESSED", 30: "IN_PROGRESS"}
+    assert {r.job: r.status for r in QUERIES["job_status_updates"](spark, sf).collect()} == {10: "REVIEW_PENDING", -11: "COMPLETED", 20: "COMPLETED", -21: "FAILED", 30: "PROCESSING", -31: "PROCESSING"}
 
 
 def test_title_is_matched_whole(spark, sf):
