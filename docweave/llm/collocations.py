@@ -40,7 +40,7 @@ from .textnum import Words, mix, text_slices
 
 LONGEST, LEAST, TOP, COVERED_PERCENT, SCALE = 4, 30, 2000, 80, 2_000_000
 #: Words of a stretch when suffixes are sent, and when hot beginnings are sought; estimated input bytes a bucket.
-SENT_WORDS, SOUGHT_WORDS = 1 << 20, 1 << 22
+SENT_WORDS, SOUGHT_WORDS = 1 << 20, 1 << 21
 BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 1 << 19
 #: Tasks that first rank the phrases of a language.
 RANKERS = 64
@@ -96,13 +96,16 @@ class Stretch:
             going = going & np.concatenate([self.follows[len(out) :], np.zeros(len(out), bool)])
         return out
 
-    def beginnings(self, longest: int) -> list[np.ndarray]:
+    def beginnings(self, longest: int) -> Iterator[np.ndarray]:
         """Hashes of the first 1, 2, ... words of each word's suffix, with its language; ended suffixes keep an end mark."""
-        out = [mix(self.h + self.salt * _NEXT)]
-        for k, run in enumerate(self.runs(longest), 1):
-            then = np.where(run, np.concatenate([self.h[k:], np.zeros(k, np.uint64)]), np.uint64(k))
-            out.append(mix(out[-1] * _NEXT + then))
-        return out
+        key, going = mix(self.h + self.salt * _NEXT), self.follows
+        yield key
+        for k in range(1, longest):
+            then = np.full(self.size, np.uint64(k))
+            then[:-k] = np.where(going[:-k], self.h[k:], then[:-k])
+            key = mix(key * _NEXT + then)
+            yield key
+            going = going & np.concatenate([self.follows[k:], np.zeros(min(k, self.size), bool)])[: self.size]
 
 
 def _stretches(batches, size: int) -> Iterator[Stretch]:
@@ -129,7 +132,7 @@ def _heavy(longest: int, share: float, stretch: int):
             rows = [pa.array(np.zeros(len(names), np.int32)), pa.array(names, pa.string()), pa.array(np.zeros(len(names), np.int64)), pa.array(count)]
             out = [pa.RecordBatch.from_arrays(rows, names=["length", "lang", "key", "n"])]
             least, on = max(1, int(share * s.size)), np.arange(s.size)
-            for length, h in enumerate(s.beginnings(longest)[: longest - 1], 1):  # a heavy pair begins with a heavy word
+            for length, h in enumerate(s.beginnings(longest - 1), 1):  # a heavy pair begins with a heavy word
                 keys, at, n = np.unique(h[on], return_inverse=True, return_counts=True)
                 heavy = n >= least
                 on = on[heavy[at]]
@@ -155,12 +158,12 @@ def _sent(longest: int, buckets: int, hot, stretch: int):
         hot_keys = hot.value
         for s in _stretches(batches, stretch):
             ids, words = s.encoded()
-            keys = s.beginnings(longest)
-            depth, where, going = np.ones(s.size, np.int64), keys[0].copy(), np.ones(s.size, bool)
-            for k in range(1, longest):
-                going &= _among(keys[k - 1], hot_keys[k])
-                depth += going
-                where[going] = keys[k][going]
+            depth, where, going = np.ones(s.size, np.int64), None, np.ones(s.size, bool)
+            for k, key in enumerate(s.beginnings(longest), 1):
+                where = key if where is None else np.where(going, key, where)
+                if k < longest:
+                    going &= _among(key, hot_keys[k])
+                    depth += going
             columns = [ids] + [np.where(r, np.concatenate([ids[k:], np.zeros(k, ids.dtype)]), -1) for k, r in enumerate(s.runs(longest), 1)]
             bucket = bucket_of(where, buckets)
             order = np.lexsort((*reversed(columns), depth, s.lang, bucket))
