@@ -613,22 +613,3 @@ def stream_ingest(spark, sf):
     out = _folder(spark, "ingest")
     run_once(_event_stream(spark, sf).writeStream.format("parquet").option("path", f"{out}/rows"), f"{out}/state")
     return spark.read.parquet(f"{out}/rows").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
-
-
-@query("SELECT DISTINCT sha256(props) AS sha256 FROM events")
-def stream_dedupe(spark, sf):
-    from ..streaming.flows import once_by_content, run_once
-
-    out = _folder(spark, "dedupe")
-    run_once(once_by_content(_event_stream(spark, sf).select(sha("props").alias("sha256"))).writeStream.format("parquet").option("path", f"{out}/rows"), f"{out}/state")
-    return spark.read.parquet(f"{out}/rows")
-
-
-@query()
-def stream_states(spark, sf):
-    from ..streaming.flows import job_states, run_once
-
-    out = _folder(spark, "states")
-    s = _event_stream(spark, sf).select(F.col("user_id").cast("string").alias("job"), F.col("ts").cast("timestamp").alias("at"), F.expr(_STATUS).alias("status"))
-    run_once(job_states(s).writeStream.format("parquet").option("path", f"{out}/rows"), f"{out}/state")
-    return spark.read.parquet(f"{out}/rows")

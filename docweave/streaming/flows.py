@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import checks
-from ..operators import jobs as job_table
 from ..sources.readers import BINARY
-from ..sources.writers import read_snapshot, write_snapshot
-
-CALLBACK_TIMEOUT = "1 hour"
 
 
 def upload_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -23,10 +19,9 @@ def upload_stream(spark: SparkSession, root: str) -> DataFrame:
     return f.select(checks.job_id_of("path").alias("job"), "path", "modificationTime", "length", F.sha2("content", 256).alias("sha256"), checks.looks_like_pdf("content").alias("is_pdf")).where("job IS NOT NULL")
 
 
-def once_by_content(stream: DataFrame, time: str | None = None, delay: str = "30 days") -> DataFrame:
-    """The first event of each content hash; with an event time the state is bounded by the delay."""
-    if time is None:
-        return stream.dropDuplicates(["sha256"])
+def once_by_content(stream: DataFrame, time: str, delay: str = "30 days") -> DataFrame:
+    """The first event of each content hash within the delay, which bounds the state; ``stores.first_seen_writer``
+    remembers for ever, on disk."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(["sha256"])
 
 
@@ -37,28 +32,9 @@ def validated(stream: DataFrame, infos: DataFrame) -> DataFrame:
     return j.withColumn("reason", why).withColumn("decision", F.when(F.col("reason").isNull(), "PROCEED").otherwise("REJECTED"))
 
 
-def write_jobs(root: str, rejects: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer that registers accepted uploads, fails rejected ones and keeps the rejects.
-
-    Snapshots are versioned by batch, and a batch that is run again starts from the version before it.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        now, version = read_snapshot(spark, root)
-        if version >= batch_id + 1:
-            return
-        if now is None:
-            now = spark.createDataFrame([], "job string, status string, filename string, created_at timestamp, updated_at timestamp, error_reason string")
-        asked = batch.select("job", F.col("path").alias("filename"), F.col("modificationTime").alias("at"))
-        snapshot, conflicts = job_table.register(now, asked)
-        accepted = batch.join(conflicts.select("job"), "job", "left_anti")
-        bad = accepted.where("reason IS NOT NULL").select("job", "reason", F.col("modificationTime").alias("at"))
-        failed, _ = job_table.mark_failed(snapshot, bad)
-        write_snapshot(failed, root, batch_id + 1)
-        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-
-    return write
+def upload_changes(uploads: DataFrame) -> DataFrame:
+    """Validated uploads as changes of the job table: each registers its job, and fails it where it was rejected."""
+    return uploads.select("job", F.col("modificationTime").alias("at"), F.xxhash64("path").alias("seq"), F.lit("register").alias("kind"), F.col("path").alias("value"), "reason")
 
 
 def fan_out(sinks: dict[str, str], column: str = "decision") -> Callable[[DataFrame, int], None]:
@@ -71,65 +47,60 @@ def fan_out(sinks: dict[str, str], column: str = "decision") -> Callable[[DataFr
     return write
 
 
-def awaited(requests: DataFrame, notices: DataFrame, timeout: str = CALLBACK_TIMEOUT) -> DataFrame:
-    """Requests (job, token, asked_at) with their completion (job, status, at); after the timeout a row without one."""
-    r = requests.withWatermark("asked_at", timeout).alias("r")
-    n = notices.withWatermark("at", timeout).alias("n")
-    on = F.expr(f"r.job = n.job AND n.at >= r.asked_at AND n.at <= r.asked_at + interval {timeout}")
-    return r.join(n, on, "left_outer").select("r.job", "r.token", "r.asked_at", F.col("n.status").alias("status"), F.col("n.at").alias("done_at"))
-
-
 def latest_status(stream: DataFrame) -> DataFrame:
     """The last status of each job, as an updating aggregate."""
     return stream.groupBy("job").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at"))
 
 
-_NEXT = {"": {"PROCESSING"}, "PROCESSING": {"COMPLETED", "REVIEW_PENDING", "FAILED"}, "FAILED": {"PROCESSING"}, "COMPLETED": set(), "REVIEW_PENDING": {"COMPLETED"}}
-
-
-def transitions(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """State machine of one job: rows (at, status) in order of time, each accepted or refused from the state so far."""
-    now = state.get[0] if state.exists else ""
-    out = []
-    rows = pd.concat(list(frames)).sort_values(["at", "status"])
-    for at, status in zip(rows["at"], rows["status"]):
-        ok = status in _NEXT.get(now, set())
-        out.append((key[0], at, now, status, ok))
-        now = status if ok else now
-    if now:
-        state.update((now,))
-    yield pd.DataFrame(out, columns=["job", "at", "before", "status", "accepted"])
-
-
-def job_states(stream: DataFrame) -> DataFrame:
-    """Each status change with the state before it and whether it is allowed."""
-    return stream.groupBy("job").applyInPandasWithState(transitions, "job string, at timestamp, before string, status string, accepted boolean", "status string", "append", "NoTimeout")
-
-
 def run_once(writer: DataStreamWriter, checkpoint: str) -> None:
     """All that is there now, then stop; the next run goes on after it."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def bounded_map(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str, concurrency: int = 5, attempts: int = 5, transient: tuple = (TimeoutError, ConnectionError), base_ms: int = 500, cap_ms: int = 20_000) -> DataFrame:
-    """Calls out for rows with bounded concurrency, retrying transient errors with full jitter; others surface."""
+#: Attempts, first and longest wait in ms by class of error; any other class is not tried again.
+POLICIES = {"transient": (5, 500, 20_000), "undecodable": (2, 0, 0)}
+
+
+def called(df: DataFrame, call: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str, policies: dict[str, tuple[int, int, int]] = POLICIES, concurrency: int = 5, batch: int = 100) -> DataFrame:
+    """Calls out for rows, so many tasks at a time, and tries failed rows again by the policy of their class of error.
+
+    ``call(rows, attempt)`` answers every row it is given, in the rows' index: ``error`` is the class of its error, or
+    None, beside the columns of ``schema``.  Only rows whose policy allows it are queued for the next attempt, after a
+    wait with full jitter; answered rows are not asked again, and a row that fails stops no other.  Adds ``outcome``
+    (succeeded or failed), ``error`` and ``attempts``.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import random
         import time
 
         for frame in frames:
-            for attempt in range(1, attempts + 1):
-                try:
-                    yield call(frame)
-                    break
-                except transient:
-                    if attempt == attempts:
-                        raise
-                    time.sleep(random.uniform(0, min(base_ms * 2 ** (attempt - 1), cap_ms)) / 1000)
-
-    return df.repartition(concurrency).mapInPandas(run, schema)
+            for i in range(0, len(frame), batch):
+                queued, attempt = frame.iloc[i : i + batch], 1
+                while len(queued):
+                    got = call(queued, attempt)
+                    left = got["error"].map(lambda e: policies.get(e, (1, 0, 0))[0] if isinstance(e, str) else 0)
+                    done = got[left <= attempt]
+                    failed = done["error"].map(lambda e: isinstance(e, str)).astype(bool)
+                    yield done.assign(outcome=failed.map({True: "failed", False: "succeeded"}), attempts=attempt)
+                    again = got.index[left > attempt]
+                    waits = [policies[e][1:] for e in got.loc[again, "error"]]
+                    if waits:
+                        time.sleep(random.uniform(0, max(min(base * 2 ** (attempt - 1), cap) for base, cap in waits)) / 1000)
+                    queued, attempt = queued.loc[again], attempt + 1
+
+    # Rows are dealt evenly: how long a call takes says nothing about its key.
+    return df.repartition(concurrency).mapInPandas(run, f"{schema}, error string, outcome string, attempts int")
+
+
+def page_answers(pages: DataFrame, call: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str, **options) -> DataFrame:
+    """Answers for pages (job, page, ...): whatever page an answer names, it gets the one that was asked for."""
+
+    def asked(rows: pd.DataFrame, attempt: int) -> pd.DataFrame:
+        return call(rows, attempt).assign(job=rows["job"], page=rows["page"])
+
+    return called(pages, asked, schema, **options)
 
 
 def throttled(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str, interval_s: float = 0.35) -> DataFrame:

@@ -260,7 +260,7 @@ def test_sources_and_sinks(spark, tmp_path):
 
 
 def test_streams(spark, tmp_path):
-    from docweave.streaming import flows
+    from docweave.streaming import flows, stores
 
     for job, body in (("a", b"%PDF-1"), ("b", b"%PDF-1"), ("c", b"nothing")):
         (tmp_path / "uploads" / job).mkdir(parents=True)
@@ -268,11 +268,11 @@ def test_streams(spark, tmp_path):
     (tmp_path / "work").mkdir()
     (tmp_path / "work" / "x.pdf").write_bytes(b"%PDF-2")
     infos = spark.createDataFrame([(j, False, 3) for j in "abc"], "job string, encrypted boolean, pages int")
-    stream = flows.validated(flows.once_by_content(flows.upload_stream(spark, str(tmp_path))), infos)
-    write = flows.write_jobs(str(tmp_path / "jobs"), str(tmp_path / "rejects"))
+    stream = flows.upload_changes(flows.validated(flows.once_by_content(flows.upload_stream(spark, str(tmp_path)), "modificationTime"), infos))
+    write = stores.job_writer(str(tmp_path / "jobs"), str(tmp_path / "refused"))
     for _ in range(2):
         flows.run_once(stream.writeStream.foreachBatch(write), str(tmp_path / "state"))
-    now, _ = writers.read_snapshot(spark, str(tmp_path / "jobs"))
+    now = stores.read_jobs(spark, str(tmp_path / "jobs"))
     assert now.count() == 2 and {r.status for r in now.collect()} == {"FAILED"} and {r.error_reason for r in now.collect()} == {"HASH_MISMATCH", "NOT_PDF"}
 
 
