@@ -92,23 +92,33 @@ def block_texts(blocks: DataFrame, edges: DataFrame, roots: DataFrame | None = N
     return asked.select("job", "id").join(texts, ["job", "id"], "left").select("job", "id", F.coalesce(joined, F.lit("")).alias("full_text"))
 
 
-def elements_of(blocks: DataFrame, edges: DataFrame) -> DataFrame:
-    """Layout elements (job, ord, id, type, page, text, bbox, confidence).
+def element_blocks(blocks: DataFrame, edges: DataFrame) -> DataFrame:
+    """The blocks that become elements.
 
     A list whose parts are layout blocks themselves is left out; single lines count only on pages without any
     layout block.
     """
     b = blocks.withColumn("page", s.page_or_first("page"))
-    layout = b.where(F.col("block_type").isin(*LAYOUT_TYPES))
-    parts = edges.where("rel_type = 'CHILD'").join(layout.select("job", F.col("id").alias("child")), ["job", "child"], "left_semi")
-    wrappers = layout.where("block_type = 'LAYOUT_LIST'").join(parts.select("job", F.col("parent").alias("id")), ["job", "id"], "left_semi")
-    kept = layout.join(wrappers.select("job", "id"), ["job", "id"], "left_anti")
+    shown = b.where(F.col("block_type").isin(*LAYOUT_TYPES))
+    parts = edges.where("rel_type = 'CHILD'").join(shown.select("job", F.col("id").alias("child")), ["job", "child"], "left_semi")
+    wrappers = shown.where("block_type = 'LAYOUT_LIST'").join(parts.select("job", F.col("parent").alias("id")), ["job", "id"], "left_semi")
+    kept = shown.join(wrappers.select("job", "id"), ["job", "id"], "left_anti")
     lines = b.where("block_type = 'LINE'").join(kept.select("job", "page").distinct(), ["job", "page"], "left_anti")
-    both = kept.unionByName(lines)
-    both = both.join(block_texts(blocks, edges, both), ["job", "id"], "left")
+    return kept.unionByName(lines)
+
+
+def with_texts(shown: DataFrame, texts: DataFrame) -> DataFrame:
+    """Element blocks as elements (job, ord, id, type, page, text, bbox, confidence); texts: (job, id, full_text)."""
+    both = shown.join(texts, ["job", "id"], "left")
     return both.select("job", "ord", "id", F.col("block_type").alias("type"), "page", F.coalesce("full_text", F.lit("")).alias("text"), s.bbox("left", "top", "width", "height").alias("bbox"), s.confidence("confidence").alias("confidence"))
 
 
+def elements_of(blocks: DataFrame, edges: DataFrame) -> DataFrame:
+    """Layout elements (job, ord, id, type, page, text, bbox, confidence)."""
+    shown = element_blocks(blocks, edges)
+    return with_texts(shown, block_texts(blocks, edges, shown))
+
+
 def page_counts(blocks: DataFrame, stated: DataFrame | None = None) -> DataFrame:
     """(job, page_count): the number stated, else the largest page, at least 1."""
     seen = blocks.groupBy("job").agg(F.max(s.page_or_first("page")).alias("seen"))

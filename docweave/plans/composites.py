@@ -15,7 +15,7 @@ from ..functions import text as t
 from ..operators import compare, grid, jobs, layout, merge, normalize, references, verify
 from ..schemas import BLOCK_EDGES, BLOCKS, CONFIDENCE, CONFIDENCE_FIELDS, DOCUMENT, PAGE_RESULTS
 from ..sources import readers, writers
-from . import finalize
+from . import finalize, layout_route
 from .catalogue import ORACLES, QUERIES, query, sha, table  # noqa: F401  the catalogue with these queries
 
 AS_OF = 2026
@@ -31,7 +31,7 @@ def _cast(df: DataFrame, ddl: str) -> DataFrame:
 
 _PAGES = """WITH q AS (SELECT CAST(conv_id AS VARCHAR) AS job, conv_id, turn, role, text, CASE WHEN turn % 11 = 10 THEN 0 WHEN turn % 7 = 5 THEN turn ELSE turn + 1 END AS page FROM conversations),
 p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job, page ORDER BY turn) AS k FROM q WHERE page >= 1) WHERE k = 1),
-sec AS (SELECT job, page, turn, 0 AS idx, CASE WHEN role = 'user' THEN left(text, 8) ELSE '' END AS heading, turn % 6 AS level, trim(text) AS text FROM p
+sec AS (SELECT job, page, turn, 0 AS idx, CASE WHEN role = 'user' THEN text ELSE '' END AS heading, turn % 6 AS level, trim(text) AS text FROM p
   UNION ALL SELECT job, page, turn, 1, (turn % 90) || '.2 Part', turn % 6, 'tail ' || turn FROM p WHERE turn % 3 = 0),
 ss AS (SELECT *, CAST(trim(heading) <> '' OR (idx = 0 AND turn % 5 = 4) OR row_number() OVER (PARTITION BY job ORDER BY page, idx) = 1 AS INT) AS st FROM sec),
 si AS (SELECT *, sum(st) OVER (PARTITION BY job ORDER BY page, idx ROWS UNBOUNDED PRECEDING) AS island FROM ss),
@@ -57,7 +57,7 @@ def _pages(spark, sf) -> tuple[DataFrame, DataFrame]:
     none = F.array()
     at = F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(secs=turn * 10)
     sections = F.array_compact(F.array(
-        F.struct((turn % 6).alias("level"), F.when(F.col("role") == "user", F.left("text", F.lit(8))).otherwise("").alias("heading"), F.col("text")),
+        F.struct((turn % 6).alias("level"), F.when(F.col("role") == "user", F.col("text")).otherwise("").alias("heading"), F.col("text")),
         F.when(turn % 3 == 0, F.struct((turn % 6).alias("level"), F.concat((turn % 90).cast("string"), F.lit(".2 Part")).alias("heading"), F.concat(F.lit("tail "), n).alias("text"))),
     ))
     ref = F.struct(F.col("text").alias("raw"), F.when(turn % 2 == 0, F.concat(F.lit("T"), n, F.lit("."))).otherwise(" ").alias("title"), F.lit(None).cast("array<string>").alias("authors"), (turn % 3 * 1000).alias("year"), F.lit("").alias("venue"), F.when(turn % 5 == 0, F.concat(F.lit("10.1000/X"), n)).when(turn % 5 == 1, "bad").otherwise(" ").alias("doi"))
@@ -118,19 +118,89 @@ said AS (SELECT job, 0 AS k, row_number() OVER (PARTITION BY job ORDER BY code,
   UNION ALL SELECT job, 2, i, 'normalize: year_out_of_range references[' || i || '] ' || year FROM rn WHERE year <> 0 AND year < 1500 UNION ALL SELECT job, 3, i, 'normalize: doi_malformed references[' || i || '] bad' FROM rn WHERE doi = 'bad')
 """
 
+#: The layout route's reading of the same turns: three blocks a page in two columns, tables of cells, figures, an outline.
+_LAYOUT = _NORMAL.rstrip() + r""",
+lx AS (SELECT CAST(conv_id AS VARCHAR) AS job, conv_id, turn, role, text, turn // 3 + 1 AS page, turn % 2 AS side, (7 - turn % 8) / 10 AS y, turn % 5 AS kind, (80 + turn % 20) / 100 AS conf,
+  bool_or(turn % 2 = 0) OVER (PARTITION BY conv_id, turn // 3) AND bool_or(turn % 2 = 1) OVER (PARTITION BY conv_id, turn // 3) AS split FROM conversations),
+lo AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY page, CASE WHEN split THEN side END, CASE WHEN split THEN y END, turn) - 1 AS n, row_number() OVER (PARTITION BY job ORDER BY page, turn) - 1 AS place,
+  CASE WHEN kind IN (0, 1, 4) THEN array_to_string(list_filter(string_split(CASE WHEN kind = 4 THEN 'Figure ' || turn || chr(10) ELSE '' END || text, chr(10)), lambda x: x <> ''), ' ') ELSE '' END AS txt FROM lx),
+le AS (SELECT *, lead(trim(txt)) OVER w AS nx, lag(trim(txt)) OVER w AS pv, count(*) OVER (PARTITION BY job) AS size FROM lo WINDOW w AS (PARTITION BY job, page ORDER BY n)),
+lt AS (SELECT job, row_number() OVER (PARTITION BY job ORDER BY turn) AS no, page, role, turn, conf, CASE WHEN turn % 2 = 0 THEN 'Table of ' || role WHEN lower(nx) LIKE 'table%' THEN nx WHEN lower(pv) LIKE 'table%' THEN pv ELSE '' END AS caption FROM le WHERE kind = 2),
+lf AS (SELECT job, row_number() OVER (PARTITION BY job ORDER BY n) AS no, page, n, conf, CASE WHEN lower(nx) LIKE 'figure%' OR lower(nx) LIKE 'fig.%' THEN nx WHEN lower(pv) LIKE 'figure%' OR lower(pv) LIKE 'fig.%' THEN pv ELSE '' END AS caption FROM le WHERE kind = 3),
+lu AS (SELECT job, text AS heading, size, row_number() OVER (PARTITION BY job ORDER BY turn) - 1 AS u FROM le WHERE role = 'user'),
+ls AS (SELECT lu.job, u, any_value(heading) AS heading, u + 1 >= any_value(lu.size) AS bad, coalesce(string_agg(txt, chr(10) || chr(10) ORDER BY n), '') AS text, coalesce(array_to_string(list_sort(list_distinct(list(page) FILTER (WHERE page IS NOT NULL))), ','), '') AS pages
+  FROM lu LEFT JOIN le ON le.job = lu.job AND n BETWEEN u AND u + 1 AND u + 1 < lu.size AND kind IN (1, 4) AND txt <> '' GROUP BY lu.job, u),
+lr AS (SELECT job, 0 AS i, coalesce(max(txt) FILTER (WHERE n = 1), 'ref ' || job) AS raw, '' AS title, CAST(NULL AS VARCHAR) AS doi FROM le GROUP BY job UNION ALL SELECT DISTINCT job, 1, 'ref ' || job, 'T0', '10.1000/x0' FROM le),
+lm AS (SELECT job, conv_id, coalesce(lower(arg_min(text, turn) FILTER (WHERE role = 'assistant')), '') AS title FROM le GROUP BY job, conv_id),
+ld AS (SELECT job FROM lm WHERE conv_id % 4 <> 3),
+lc AS (SELECT job, 'sections' AS f, round(avg(conf), 6) AS c FROM le WHERE kind = 0 GROUP BY job UNION ALL SELECT job, 'figures', round(avg(conf), 6) FROM lf GROUP BY job UNION ALL SELECT job, 'tables', round(avg((conf + 3 * 0.9) / 4), 6) FROM lt GROUP BY job),
+lsaid AS (SELECT job, string_agg(said, '|' ORDER BY part, k) AS said FROM (SELECT job, 2 AS part, no AS k, 'inferred table-' || no || ' 1' AS said FROM lt UNION ALL SELECT DISTINCT job, 4, page, 'reordered page ' || page FROM le WHERE n <> place
+  UNION ALL SELECT job, 5, n, 'no_caption figure-' || no FROM lf WHERE caption = '' UNION ALL SELECT job, 6, u, 'bad_range sections[' || u || ']' FROM ls WHERE bad UNION ALL SELECT job, 7, 0, 'bad_pointer references[0]' FROM le WHERE n = 0 AND size < 2 UNION ALL SELECT job, 7, 1, 'bad_pointer references[1]' FROM lm) GROUP BY job)
+"""
+
+
+def _blocks(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Turns as layout blocks with lines, and tables with cells that hold words: (blocks, relationships)."""
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("job"), F.col("turn").cast("int").alias("turn"), "role", "text")
+    turn, n, kind = F.col("turn"), F.col("turn").cast("string"), F.col("turn") % 5
+    block = lambda id, type, place, text=None, row=None, col=None, span=None, header=False, sure=None: F.struct(
+        id.alias("id"), (F.lit(type) if isinstance(type, str) else type).alias("block_type"), (10 * turn + place).cast("int").alias("ord"), (F.lit(None).cast("string") if text is None else text).alias("text"), *[F.lit(x).cast("int").alias(a) for a, x in (("row_index", row), ("column_index", col), ("column_span", span))],
+        (F.array(F.lit("COLUMN_HEADER")) if header else F.lit(None).cast("array<string>")).alias("entity_types"), (F.lit(90) if sure is None else sure).cast("float").alias("confidence"),
+    )
+    edge = lambda parent, child, pos, rel="CHILD": F.struct(parent.alias("parent"), child.alias("child"), F.lit(rel).alias("rel_type"), (F.lit(pos) if isinstance(pos, int) else pos).cast("int").alias("pos"))
+    e, tab = F.concat(F.lit("e"), n), F.concat(F.lit("t"), n)
+    part = lambda x: F.concat(tab, F.lit(x))
+    types = F.when(kind == 0, "LAYOUT_SECTION_HEADER").when(kind == 2, "LAYOUT_TABLE").when(kind == 3, "LAYOUT_FIGURE").otherwise("LAYOUT_TEXT")
+    lines = F.when(kind.isin(0, 1, 4), F.split(F.concat(F.when(kind == 4, F.concat(F.lit("Figure "), n, F.lit("\n"))).otherwise(""), "text"), "\n")).otherwise(F.array().cast("array<string>"))
+    line_id = lambda i: F.concat(e, F.lit("-l"), i.cast("string"))
+    sure = 80 + turn % 20
+    cells = [("-a", "CELL", "role", 1, 1, 1, True), ("-b", "CELL", None, 2, 1, 1, False), ("-c", "CELL", n, 2, 2, 1, False), ("-d", "MERGED_CELL", F.concat("role", F.lit("!")), 3, 1, 2, False)]
+    text_of = lambda x: F.lit("n") if x is None else F.col(x) if isinstance(x, str) else x
+    table_blocks = [block(tab, "TABLE", 5, sure=sure)] + [block(part(i), k, 6, None, row, col, span, head) for i, k, _, row, col, span, head in cells] + [block(part(i + "w"), "WORD", 7, text_of(x)) for i, _, x, *_ in cells] + [block(part("-t"), "TABLE_TITLE", 8, F.concat(F.lit("Table of "), "role"))]
+    table_edges = [edge(tab, part(i), p, "MERGED_CELL" if k == "MERGED_CELL" else "CHILD") for p, (i, k, *_) in enumerate(cells)] + [edge(part(i), part(i + "w"), 0) for i, *_ in cells]
+    blocks = F.concat(F.array(block(e, types, 0, sure=sure)), F.transform(lines, lambda x, i: block(line_id(i), "LINE", 1, x)), F.when(kind == 2, F.array(*table_blocks)).otherwise(F.array()))
+    edges = F.concat(F.transform(lines, lambda x, i: edge(e, line_id(i), i)), F.when(kind == 2, F.array(*table_edges)).otherwise(F.array()), F.when((kind == 2) & (turn % 2 == 0), F.array(edge(tab, part("-t"), 9, "TABLE_TITLE"))).otherwise(F.array()))
+    box = {"page": F.floor(turn / 3) + 1, "left": F.when(turn % 2 == 0, 0.08).otherwise(0.52), "top": (7 - turn % 8) / 10, "width": F.lit(0.38), "height": F.lit(0.05)}
+    return _cast(c.select("job", *[x.alias(k) for k, x in box.items()], F.explode(blocks).alias("b")).select("job", *box, "b.*"), BLOCKS), _cast(c.select("job", F.explode(edges).alias("x")).select("job", "x.*"), BLOCK_EDGES)
+
+
+def _outlines(spark, sf) -> DataFrame:
+    """What an interpreter made of the papers: sections for the user's turns, one reference that points at an element and
+    one that points nowhere; nothing for every fourth paper, whose layout route failed."""
+    c = table(spark, sf, "conversations").where("conv_id % 4 <> 3").groupBy(F.col("conv_id").cast("string").alias("job")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("r"))
+    users = F.filter("r", lambda x: x.getField("role") == "user")
+    title = F.lower(F.coalesce(F.get(F.filter("r", lambda x: x.getField("role") == "assistant"), F.lit(0)).getField("text"), F.lit("")))
+    sections = F.transform(users, lambda x, i: F.struct(F.lit(1).alias("level"), x.getField("text").alias("heading"), i.alias("from"), (i + 1).alias("to")))
+    ref = lambda at, title, doi: F.struct(F.lit(at).alias("element"), F.concat(F.lit("ref "), "job").alias("raw"), F.lit(title).alias("title"), F.lit(None).cast("array<string>").alias("authors"), F.lit(0).alias("year"), F.lit("").alias("venue"), F.lit(doi).cast("string").alias("doi"))
+    return _cast(c.select("job", title.alias("title"), F.lit("").alias("abstract"), F.lit("").alias("venue"), F.lit(0).alias("year"), sections.alias("sections"), F.array(ref(1, "", None), ref(999, "T0", "10.1000/x0")).alias("references"), F.lit("m").alias("model")), layout_route.ANSWERS)
+
 
 def _documents(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents of the layout route, page results, page counts): the layout route has the same papers with titles
-    in small letters, without every fourth paper, and no references, figures or tables."""
-    pages, counts = _pages(spark, sf)
-    m = merge.merge_pages(pages, counts)
-    conf = F.struct(*[(F.lit(0.9) if f == "title" else F.lit(None)).cast("double").alias(f) for f in CONFIDENCE_FIELDS]).cast(CONFIDENCE)
-    prov = F.struct(F.lit("textract").alias("route"), F.col("extracted_at"), conf.alias("confidence"), F.struct(F.lit(1).alias("textract_pages"), F.array(F.lit("TABLES"), F.lit("LAYOUT"), F.lit("TABLES")).alias("textract_features"), F.lit("").alias("bedrock_model"), F.lit(0).alias("input_tokens"), F.lit(0).alias("output_tokens")).alias("cost"), F.col("duration_ms").cast("bigint").alias("duration_ms"), F.array().cast("array<string>").alias("warnings"))
-    meta = F.struct(F.lower("title").alias("title"), F.lit(None).cast("array<struct<name:string,affiliation:string,email:string>>").alias("authors"), F.lit("").alias("abstract"), F.lit(None).cast("array<string>").alias("keywords"), F.lit("").alias("venue"), F.lit(0).alias("year"), F.lit("").alias("primary_category"))
-    secs = F.transform("sections", lambda x: F.struct(x.getField("level").alias("level"), x.getField("heading").alias("heading"), x.getField("text").alias("text"), x.getField("pages").alias("pages")))
-    none = F.array()
-    docs = m.where(F.col("job").cast("bigint") % 4 != 3).select(F.col("job").alias("job_id"), F.lit("").alias("schema_version"), meta.alias("metadata"), secs.alias("sections"), none.alias("figures"), none.alias("tables"), none.alias("references"), prov.alias("provenance"))
-    return _cast(docs, DOCUMENT), pages, counts
+    """(documents of the layout route, page results, page counts)."""
+    docs = layout_route.documents(layout_route.read(*_blocks(spark, sf)), _outlines(spark, sf))
+    return docs, *_pages(spark, sf)
+
+
+@query(_LAYOUT + r"""SELECT lm.job AS job_id, title, coalesce((SELECT string_agg(heading || '/' || text || '/' || pages, '|' ORDER BY u) FROM ls WHERE ls.job = lm.job), '') AS sections,
+coalesce((SELECT string_agg('figure-' || no || '/' || caption || '/' || page, '|' ORDER BY no) FROM lf WHERE lf.job = lm.job), '') AS figures,
+coalesce((SELECT string_agg('table-' || no || '/' || caption || '/' || page || '/' || role || ',' || role || '/n,' || turn || ';' || role || '!,' || role || '!', '|' ORDER BY no) FROM lt WHERE lt.job = lm.job), '') AS tabs,
+(SELECT string_agg(raw, '|' ORDER BY i) FROM lr WHERE lr.job = lm.job) AS refs, (SELECT said FROM lsaid WHERE lsaid.job = lm.job) AS warnings, (SELECT round(c, 5) FROM lc WHERE lc.job = lm.job AND f = 'tables') AS table_confidence FROM lm WHERE conv_id % 4 <> 3""")
+def layout_route_documents(spark, sf):
+    """Blocks read into documents: reading order, tables from cells, captions, sections and references from elements."""
+    d = _documents(spark, sf)[0]
+    rows = lambda c: F.array_join(F.transform(c, lambda r: F.array_join(r, ",")), ";")
+    join = lambda c, *parts: F.array_join(F.transform(c, lambda x: F.concat_ws("/", *[p(x) for p in parts])), "|")
+    get = lambda f: lambda x: x.getField(f).cast("string")
+    pages = lambda x: F.array_join(x.getField("pages").cast("array<string>"), ",")
+    return d.select("job_id", "metadata.title", join("sections", get("heading"), get("text"), pages).alias("sections"), join("figures", get("id"), get("caption"), get("page")).alias("figures"), join("tables", get("id"), get("caption"), get("page"), lambda x: rows(x.getField("header")), lambda x: rows(x.getField("rows"))).alias("tabs"), F.array_join(F.transform("references", get("raw")), "|").alias("refs"), F.array_join("provenance.warnings", "|").alias("warnings"), F.round("provenance.confidence.tables", 5).alias("table_confidence"))
+
+
+@query(_LAYOUT + r"""SELECT job, sha256(string_agg(line, '' ORDER BY page, part, k)) AS h FROM (SELECT DISTINCT job, page, 0 AS part, 0 AS k, '## page ' || page || chr(10) || chr(10) AS line FROM le
+UNION ALL SELECT job, page, 1, n, CASE kind WHEN 0 THEN '[#' || n || ' SECTION_HEADER] ' || txt || chr(10) || chr(10) WHEN 2 THEN '[#' || n || ' TABLE table-' || (SELECT count(*) FROM le AS o WHERE o.job = le.job AND o.kind = 2 AND o.turn <= le.turn) || ']' || chr(10) || '| ' || role || ' | ' || role || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| n | ' || turn || ' |' || chr(10) || '| ' || role || '! | ' || role || '! |' || chr(10) || chr(10)
+  WHEN 3 THEN '' ELSE CASE WHEN txt = '' THEN '' ELSE '[#' || n || ' TEXT] ' || txt || chr(10) || chr(10) END END FROM le WHERE NOT (kind = 0 AND txt = '')) GROUP BY job""")
+def layout_route_text(spark, sf):
+    """What an interpreter is given: numbered elements, with tables in place."""
+    return layout_route.texts_of(layout_route.read(*_blocks(spark, sf))).select("job", sha("text").alias("h"))
 
 
 @query(_NORMAL + r"""SELECT md.job AS job_id, '1.0' AS schema_version, sha256(trim(regexp_replace(md.title, '\s+', ' ', 'g'))) AS title, (SELECT string_agg(CAST(least(4, greatest(1, lv)) AS VARCHAR), ',' ORDER BY i) FROM sl WHERE sl.job = md.job) AS levels,
@@ -146,21 +216,23 @@ _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{Nd}}]+')"
 _PAIRS_OF = "list_distinct(list_transform(range(1, len({0})), lambda i: least({0}[i], {0}[i + 1]) || ' ' || greatest({0}[i], {0}[i + 1])))"
 _FOLD = r"regexp_replace(lower({}), '[^\p{{L}}\p{{Nd}}]', '', 'g')"
 #: Layers hold the texts of even turns only, and a word broken at a line's end.
-_VERIFIED = _NORMAL.rstrip() + f""",
+_VERIFIED = _LAYOUT.rstrip() + f""",
 ly AS (SELECT job, conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE turn % 2 = 0) || ' Reader ship' || chr(10) || 'Ab-' || chr(10) || 'out user' AS t FROM q GROUP BY job, conv_id),
 lw AS (SELECT job, {_WORDS.format("t")} AS w, {_WORDS.format("replace(t, '-' || chr(10), '')")} AS v, {_FOLD.format("t")} AS f FROM ly WHERE conv_id % 5 <> 0),
 lp AS (SELECT job, f, list_distinct(list_concat(w, v)) AS words, list_distinct(list_concat({_PAIRS_OF.format("w")}, {_PAIRS_OF.format("v")})) AS pairs FROM lw),
 val AS (SELECT job, 'bedrock' AS route, 'title' AS field, title AS v, true AS short, NULL AS grp FROM md UNION ALL SELECT job, 'bedrock', 'authors', author, true, NULL FROM md WHERE author IS NOT NULL UNION ALL SELECT job, 'bedrock', 'abstract', abstract, false, NULL FROM md
   UNION ALL SELECT job, 'bedrock', 'sections', heading, true, NULL FROM sg UNION ALL SELECT job, 'bedrock', 'sections', coalesce(text, ''), false, NULL FROM sg UNION ALL SELECT job, 'bedrock', 'figures', caption, true, NULL FROM fg UNION ALL SELECT job, 'bedrock', 'tables', caption, true, NULL FROM tb
   UNION ALL SELECT job, 'bedrock', 'tables', unnest([role, 'n', text, CAST(turn AS VARCHAR)]), false, idx FROM tb UNION ALL SELECT job, 'bedrock', 'references', CASE WHEN coalesce(raw, '') <> '' THEN raw ELSE rtrim(title, '.') END, true, NULL FROM rg
-  UNION ALL SELECT job, 'textract', 'title', lower(title), true, NULL FROM md WHERE CAST(job AS BIGINT) % 4 <> 3 UNION ALL SELECT job, 'textract', 'abstract', '', false, NULL FROM md WHERE CAST(job AS BIGINT) % 4 <> 3 UNION ALL SELECT job, 'textract', 'sections', heading, true, NULL FROM sg WHERE CAST(job AS BIGINT) % 4 <> 3 UNION ALL SELECT job, 'textract', 'sections', coalesce(text, ''), false, NULL FROM sg WHERE CAST(job AS BIGINT) % 4 <> 3),
+  UNION ALL SELECT job, 'textract', 'title', title, true, NULL FROM lm SEMI JOIN ld USING (job) UNION ALL SELECT job, 'textract', 'sections', heading, true, NULL FROM ls SEMI JOIN ld USING (job) UNION ALL SELECT job, 'textract', 'sections', text, false, NULL FROM ls SEMI JOIN ld USING (job)
+  UNION ALL SELECT job, 'textract', 'figures', caption, true, NULL FROM lf SEMI JOIN ld USING (job) UNION ALL SELECT job, 'textract', 'tables', caption, true, NULL FROM lt SEMI JOIN ld USING (job) UNION ALL SELECT job, 'textract', 'tables', unnest([role, role, 'n', CAST(turn AS VARCHAR), role || '!', role || '!']), false, no FROM lt SEMI JOIN ld USING (job)
+  UNION ALL SELECT job, 'textract', 'references', raw, true, NULL FROM lr SEMI JOIN ld USING (job)),
 vw AS (SELECT val.*, {_WORDS.format("v")} AS w, {_FOLD.format("v")} AS fv FROM val),
 vs AS (SELECT vw.*, CASE WHEN short AND fv <> '' AND contains(f, fv) THEN 1.0 WHEN len(w) = 0 THEN NULL WHEN len(w) = 1 THEN CAST(list_contains(words, w[1]) AS DOUBLE) ELSE len(list_intersect({_PAIRS_OF.format("w")}, pairs)) / len({_PAIRS_OF.format("w")}) END AS score FROM vw JOIN lp USING (job)),
 it AS (SELECT job, route, field, score FROM vs WHERE score IS NOT NULL AND grp IS NULL UNION ALL SELECT job, route, field, avg(score) FROM vs WHERE score IS NOT NULL AND grp IS NOT NULL GROUP BY job, route, field, grp),
 fs AS (SELECT job, route, field, round(avg(score), 4) AS original, count(*) AS items FROM it GROUP BY ALL),
 ha AS (SELECT job, route, count(*) AS n FROM vs WHERE short AND score < 0.5 GROUP BY ALL),
-dr AS (SELECT job, 'bedrock' AS route FROM md UNION ALL SELECT job, 'textract' FROM md WHERE CAST(job AS BIGINT) % 4 <> 3),
-cf AS (SELECT dr.job, dr.route, f AS field, original, items, CASE WHEN dr.route = 'textract' AND f = 'title' THEN CASE WHEN original IS NULL THEN 0.9 ELSE round((original + 0.9) / 2, 4) END ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = f),
+dr AS (SELECT job, 'bedrock' AS route FROM md UNION ALL SELECT job, 'textract' FROM ld),
+cf AS (SELECT dr.job, dr.route, x.f AS field, original, items, CASE WHEN lc.c IS NOT NULL THEN CAST(round(CAST(CASE WHEN original IS NULL THEN lc.c ELSE (original + lc.c) / 2 END AS DECIMAL(18, 10)), 4) AS DOUBLE) ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) x LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = x.f LEFT JOIN lc ON lc.job = dr.job AND lc.f = x.f AND dr.route = 'textract'),
 vr AS (SELECT dr.job, dr.route, lp.job IS NOT NULL AS checked, coalesce(ha.n, 0) AS flagged, lp.job IS NULL OR coalesce(ha.n, 0) > 0 OR EXISTS (SELECT 1 FROM cf WHERE cf.job = dr.job AND cf.route = dr.route AND c < 0.7) AS review FROM dr LEFT JOIN lp ON lp.job = dr.job LEFT JOIN ha ON ha.job = dr.job AND ha.route = dr.route)
 """
 
@@ -194,18 +266,22 @@ def verified_documents(spark, sf):
     return r.select("job", "route", "original_checked", F.size("hallucinations").alias("hallucinations"), "needs_review", F.when(F.col("route") == "bedrock", F.coalesce("skipped", F.lit(0))).alias("skipped"))
 
 
-@query(_NORMAL + r"""SELECT md.job AS job_id, true AS same_title, trim(regexp_replace(lower(title), '\s+', ' ', 'g')) AS title, md.author IS NULL AS same_authors, abstract = '' AS same_abstract, true AS same_headings, NOT EXISTS (SELECT 1 FROM rg WHERE rg.job = md.job) AS same_references,
-CAST((SELECT count(*) FROM fg WHERE fg.job = md.job) AS INT) AS figures FROM md WHERE CAST(job AS BIGINT) % 4 <> 3""")
+_SAME_TITLE = r"lower(trim(regexp_replace(lm.title, '\s+', ' ', 'g'))) = lower(trim(regexp_replace(md.title, '\s+', ' ', 'g')))"
+_HEADINGS = r"coalesce((SELECT list(lower(trim(regexp_replace(heading, '\s+', ' ', 'g'))) ORDER BY {}) FROM {} WHERE {}.job = md.job), [])"
+
+
+@query(_LAYOUT + rf"""SELECT md.job AS job_id, {_SAME_TITLE} AS same_title, trim(regexp_replace(lm.title, '\s+', ' ', 'g')) AS title, md.author IS NULL AS same_authors, abstract = '' AS same_abstract, {_HEADINGS.format("u", "ls", "ls")} = {_HEADINGS.format("island", "sg", "sg")} AS same_headings,
+(SELECT count(*) FROM rg WHERE rg.job = md.job) = 2 AS same_references, CAST((SELECT count(*) FROM fg WHERE fg.job = md.job) AS INT) AS figures, CAST((SELECT count(*) FROM lf WHERE lf.job = md.job) AS INT) AS layout_figures, (SELECT count(*) FROM ls WHERE ls.job = md.job) = (SELECT count(*) FROM sg WHERE sg.job = md.job) AS same_sections FROM md JOIN lm USING (job) SEMI JOIN ld USING (job)""")
 def document_diff(spark, sf):
     d = compare.diff(*_normal(spark, sf))
-    return d.select("job_id", F.col("title.equal").alias("same_title"), F.col("title.textract").alias("title"), F.col("authors.equal").alias("same_authors"), F.col("abstract.equal").alias("same_abstract"), F.col("headings.equal").alias("same_headings"), F.col("counts.references.equal").alias("same_references"), F.col("counts.figures.bedrock").alias("figures"))
+    return d.select("job_id", F.col("title.equal").alias("same_title"), F.col("title.textract").alias("title"), F.col("authors.equal").alias("same_authors"), F.col("abstract.equal").alias("same_abstract"), F.col("headings.equal").alias("same_headings"), F.col("counts.references.equal").alias("same_references"), F.col("counts.figures.bedrock").alias("figures"), F.col("counts.figures.textract").alias("layout_figures"), F.col("counts.sections.equal").alias("same_sections"))
 
 
-@query(_VERIFIED.rstrip() + """,
+@query(_VERIFIED.rstrip() + f""",
 jb AS (SELECT job, conv_id, page_count, conv_id % 8 = 3 AS skipped, conv_id % 6 = 0 AS caught FROM jn),
 pg AS (SELECT job, count(DISTINCT page) AS seen FROM q GROUP BY job),
-x AS (SELECT jb.*, greatest(page_count - seen, 0) AS missing, CASE WHEN skipped THEN 'skipped' WHEN a.job IS NOT NULL THEN 'succeeded' ELSE 'failed' END AS sa, coalesce(a.review, false) AS ra, b.review OR page_count > seen OR caught AS rb FROM jb JOIN pg USING (job) LEFT JOIN vr a ON a.job = jb.job AND a.route = 'textract' LEFT JOIN vr b ON b.job = jb.job AND b.route = 'bedrock')
-SELECT job, CASE WHEN sa = 'failed' OR (sa = 'succeeded' AND ra) OR rb THEN 'REVIEW_PENDING' ELSE 'COMPLETED' END AS status, sa = 'failed' OR (sa = 'succeeded' AND ra) OR rb AS needs_review, sa AS textract, 'succeeded' AS bedrock, CAST(missing AS INT) AS missing_pages, CASE WHEN caught THEN 'E' || job END AS error, CASE WHEN sa = 'succeeded' THEN true END AS same_title FROM x""")
+x AS (SELECT jb.*, greatest(page_count - seen, 0) AS missing, CASE WHEN skipped THEN 'skipped' WHEN a.job IS NOT NULL THEN 'succeeded' ELSE 'failed' END AS sa, coalesce(a.review, false) AS ra, b.review OR page_count > seen OR caught AS rb, (SELECT {_SAME_TITLE} FROM lm, md WHERE lm.job = jb.job AND md.job = jb.job) AS same FROM jb JOIN pg USING (job) LEFT JOIN vr a ON a.job = jb.job AND a.route = 'textract' LEFT JOIN vr b ON b.job = jb.job AND b.route = 'bedrock')
+SELECT job, CASE WHEN sa = 'failed' OR (sa = 'succeeded' AND ra) OR rb THEN 'REVIEW_PENDING' ELSE 'COMPLETED' END AS status, sa = 'failed' OR (sa = 'succeeded' AND ra) OR rb AS needs_review, sa AS textract, 'succeeded' AS bedrock, CAST(missing AS INT) AS missing_pages, CASE WHEN caught THEN 'E' || job END AS error, CASE WHEN sa = 'succeeded' THEN same END AS same_title FROM x""")
 def finalized_jobs(spark, sf):
     """The flagship: both routes' results to verified documents and the state of every job."""
     docs, pages, counts = _documents(spark, sf)
