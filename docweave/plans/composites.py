@@ -120,7 +120,7 @@ said AS (SELECT job, 0 AS k, row_number() OVER (PARTITION BY job ORDER BY code,
 
 #: The layout route's reading of the same turns: three blocks a page in two columns, tables of cells, figures, an outline.
 _LAYOUT = _NORMAL.rstrip() + r""",
-lx AS (SELECT CAST(conv_id AS VARCHAR) AS job, conv_id, turn, role, text, turn // 3 + 1 AS page, turn % 2 AS side, (7 - turn % 8) / 10 AS y, turn % 5 AS kind, (80 + turn % 20) / 100 AS conf,
+lx AS (SELECT CAST(conv_id AS VARCHAR) AS job, conv_id, turn, role, text, turn // 3 + 1 AS page, turn % 2 AS side, (7 - turn % 8) / 10 AS y, turn % 5 AS kind, round((80 + turn % 20) / 100 + 0.000003, 6) AS conf,
   bool_or(turn % 2 = 0) OVER (PARTITION BY conv_id, turn // 3) AND bool_or(turn % 2 = 1) OVER (PARTITION BY conv_id, turn // 3) AS split FROM conversations),
 lo AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY page, CASE WHEN split THEN side END, CASE WHEN split THEN y END, turn) - 1 AS n, row_number() OVER (PARTITION BY job ORDER BY page, turn) - 1 AS place,
   CASE WHEN kind IN (0, 1, 4) THEN array_to_string(list_filter(string_split(CASE WHEN kind = 4 THEN 'Figure ' || turn || chr(10) ELSE '' END || text, chr(10)), lambda x: x <> ''), ' ') ELSE '' END AS txt FROM lx),
@@ -153,7 +153,7 @@ def _blocks(spark, sf) -> tuple[DataFrame, DataFrame]:
     types = F.when(kind == 0, "LAYOUT_SECTION_HEADER").when(kind == 2, "LAYOUT_TABLE").when(kind == 3, "LAYOUT_FIGURE").otherwise("LAYOUT_TEXT")
     lines = F.when(kind.isin(0, 1, 4), F.split(F.concat(F.when(kind == 4, F.concat(F.lit("Figure "), n, F.lit("\n"))).otherwise(""), "text"), "\n")).otherwise(F.array().cast("array<string>"))
     line_id = lambda i: F.concat(e, F.lit("-l"), i.cast("string"))
-    sure = 80 + turn % 20
+    sure = 80.0003 + turn % 20  # no mean of such values lies halfway between two of four places
     cells = [("-a", "CELL", "role", 1, 1, 1, True), ("-b", "CELL", None, 2, 1, 1, False), ("-c", "CELL", n, 2, 2, 1, False), ("-d", "MERGED_CELL", F.concat("role", F.lit("!")), 3, 1, 2, False)]
     text_of = lambda x: F.lit("n") if x is None else F.col(x) if isinstance(x, str) else x
     table_blocks = [block(tab, "TABLE", 5, sure=sure)] + [block(part(i), k, 6, None, row, col, span, head) for i, k, _, row, col, span, head in cells] + [block(part(i + "w"), "WORD", 7, text_of(x)) for i, _, x, *_ in cells] + [block(part("-t"), "TABLE_TITLE", 8, F.concat(F.lit("Table of "), "role"))]
@@ -232,7 +232,7 @@ it AS (SELECT job, route, field, score FROM vs WHERE score IS NOT NULL AND grp I
 fs AS (SELECT job, route, field, round(avg(score), 4) AS original, count(*) AS items FROM it GROUP BY ALL),
 ha AS (SELECT job, route, count(*) AS n FROM vs WHERE short AND score < 0.5 GROUP BY ALL),
 dr AS (SELECT job, 'bedrock' AS route FROM md UNION ALL SELECT job, 'textract' FROM ld),
-cf AS (SELECT dr.job, dr.route, x.f AS field, original, items, CASE WHEN lc.c IS NOT NULL THEN CAST(round(CAST(CASE WHEN original IS NULL THEN lc.c ELSE (original + lc.c) / 2 END AS DECIMAL(18, 10)), 4) AS DOUBLE) ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) x LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = x.f LEFT JOIN lc ON lc.job = dr.job AND lc.f = x.f AND dr.route = 'textract'),
+cf AS (SELECT dr.job, dr.route, x.f AS field, original, items, CASE WHEN lc.c IS NOT NULL THEN round(CASE WHEN original IS NULL THEN lc.c ELSE (original + lc.c) / 2 END, 4) ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) x LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = x.f LEFT JOIN lc ON lc.job = dr.job AND lc.f = x.f AND dr.route = 'textract'),
 vr AS (SELECT dr.job, dr.route, lp.job IS NOT NULL AS checked, coalesce(ha.n, 0) AS flagged, lp.job IS NULL OR coalesce(ha.n, 0) > 0 OR EXISTS (SELECT 1 FROM cf WHERE cf.job = dr.job AND cf.route = dr.route AND c < 0.7) AS review FROM dr LEFT JOIN lp ON lp.job = dr.job LEFT JOIN ha ON ha.job = dr.job AND ha.route = dr.route)
 """
 
