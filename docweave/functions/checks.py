@@ -70,6 +70,20 @@ def features_problem(features) -> Column:
     return F.when(F.size(f) < 1, "empty").when(F.size(F.array_except(f, known)) > 0, "unknown").when(F.size(F.array_distinct(f)) < F.size(f), "repeated")
 
 
+def features_setting_problem(spec) -> Column:
+    """The same for a setting "A, B": a text without any feature is an error too."""
+    from .text import split_features
+
+    return features_problem(split_features(F.coalesce(_col(spec), F.lit(""))))
+
+
+def start_problem(bucket, key, features, topic, role) -> Column:
+    """Why a request to start an analysis is malformed: its location, its features, or a notification topic without
+    the role that may publish to it, or the other way round."""
+    told = lambda c: F.coalesce(_col(c), F.lit("")) != ""
+    return F.when(~valid_location(bucket, key), "location missing").when(features_problem(features).isNotNull(), F.concat(F.lit("features "), features_problem(features))).when(told(topic) != told(role), "notification incomplete")
+
+
 def succeeded(status) -> Column:
     return F.coalesce(_col(status).isin("SUCCEEDED", "PARTIAL_SUCCESS"), F.lit(False))
 

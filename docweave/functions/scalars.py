@@ -57,6 +57,12 @@ def mean_of(*signals) -> Column:
     return F.when(F.size(there) > 0, round4(F.aggregate(there, F.lit(0.0), lambda a, x: a + x) / F.size(there)))
 
 
+def mean_or_zero(values) -> Column:
+    """Mean of an array, 0 for an empty one."""
+    a = _col(values)
+    return F.when(F.coalesce(F.size(a), F.lit(0)) > 0, F.aggregate(a, F.lit(0.0), lambda x, y: x + y) / F.size(a)).otherwise(F.lit(0.0))
+
+
 def backoff_cap(attempt, base_ms: int = 500, cap_ms: int = 20_000) -> Column:
     """Upper bound of the wait before a retry: doubling, capped; the jitter is drawn below it."""
     return F.least(F.lit(base_ms) * F.pow(F.lit(2.0), _col(attempt) - 1), F.lit(float(cap_ms)))

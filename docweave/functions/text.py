@@ -213,6 +213,12 @@ def join_non_empty(*parts, sep: str = " ") -> Column:
     return F.concat_ws(sep, *[F.nullif(_col(p), F.lit("")) for p in parts])
 
 
+def in_page_order(names) -> Column:
+    """File names by their page number, whatever their padding; names without one come last, by name."""
+    keyed = F.transform(_col(names), lambda x: F.struct(page_number(x).isNull().alias("none"), page_number(x).alias("page"), x.alias("name")))
+    return F.transform(F.array_sort(keyed), lambda x: x.getField("name"))
+
+
 def first_non_empty(*parts) -> Column:
     return F.coalesce(*[F.nullif(_col(p), F.lit("")) for p in parts], F.lit(""))
 

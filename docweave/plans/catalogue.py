@@ -575,7 +575,7 @@ SELECT CAST(m.id AS VARCHAR) AS arxiv_id, CAST(m.ord AS INT) AS ord, coalesce(f.
 def manifest_upsert(spark, sf):
     p = table(spark, sf, "pages")
     m = p.where("page_id % 5 = 0").select(F.col("page_id").cast("string").alias("arxiv_id"), F.lit(0).cast("long").alias("pages"))
-    m = m.withColumn("ord", (F.row_number().over(W.orderBy("arxiv_id")) - 1).cast("int")).select("arxiv_id", "ord", "pages")
+    m = m.join(corpus.with_positions(m, "arxiv_id"), "arxiv_id").select("arxiv_id", "ord", "pages")
     fresh = p.groupBy((F.col("page_id") % 400).cast("string").alias("arxiv_id")).agg(F.max("page_id").alias("pages"))
     return corpus.upsert(m, fresh)
 

@@ -65,7 +65,7 @@ def feed(spark: SparkSession, path: str) -> DataFrame:
 
 def licence_of(xml) -> F.Column:
     """The licence element of a metadata record in XML."""
-    return F.nullif(t.trim_space(F.regexp_extract(xml, r"<license[^>]*>([^<]*)</license>", 1)), F.lit(""))
+    return F.nullif(t.trim_space(F.xpath_string(F.col(xml) if isinstance(xml, str) else xml, F.lit("//*[local-name()='license']"))), F.lit(""))
 
 
 def responses(spark: SparkSession, path: str) -> DataFrame:
