@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import checks, scalars
-from ..functions import text as t
 from ..operators import compare, grid, jobs, layout, merge, normalize, references, verify
 from ..schemas import BLOCK_EDGES, BLOCKS, CONFIDENCE, CONFIDENCE_FIELDS, DOCUMENT, PAGE_RESULTS
 from ..sources import readers, writers
@@ -217,6 +215,19 @@ _PAIRS_OF = "list_distinct(list_transform(range(1, len({0})), lambda i: least({0
 _FOLD = r"regexp_replace(lower({}), '[^\p{{L}}\p{{Nd}}]', '', 'g')"
 #: Layers hold the texts of even turns only, and a word broken at a line's end.
 _VERIFIED = _LAYOUT.rstrip() + f""",
+wk AS (SELECT '10.2000/c' || conv_id AS doi, split_part(text, '.', 1) AS title FROM conversations WHERE turn = 1 AND conv_id IN (SELECT conv_id FROM conversations WHERE role = 'system') UNION ALL SELECT '10.1000/X' || turn, split_part(text, '.', 1) FROM conversations WHERE conv_id IN (SELECT min(conv_id) FROM conversations)),
+wt AS (SELECT doi, title, {_WORDS.format("title")} AS w FROM wk), wm AS (SELECT lower(doi) AS key, min((doi, title)) AS m FROM wk GROUP BY 1), wn AS (SELECT doi, unnest(list_distinct(w)) AS tok FROM wt), wc AS (SELECT tok, count(*) AS n FROM wn GROUP BY tok),
+rf AS (SELECT job, 'bedrock' AS route, i, coalesce(raw, '') AS raw, CASE WHEN title LIKE '%.' THEN left(title, length(title) - 1) ELSE title END AS title, CASE WHEN doi <> 'bad' THEN lower(doi) END AS doi FROM rn UNION ALL SELECT job, 'textract', i, raw, title, doi FROM lr SEMI JOIN ld USING (job)),
+rx AS (SELECT *, {_WORDS.format("concat_ws(chr(10), title, raw)")} AS xw, {_WORDS.format("CASE WHEN title <> '' THEN title ELSE raw END")} AS qw FROM rf WHERE i < 100),
+rd AS (SELECT rx.*, m[1] AS mdoi, {_WORDS.format("m[2]")} AS mw FROM rx LEFT JOIN wm ON wm.key = rx.doi WHERE rx.doi IS NOT NULL),
+rq AS (SELECT job, route, i, unnest(list_distinct(qw)) AS tok FROM rx WHERE doi IS NULL), rc AS (SELECT job, route, i, wn.doi, round(sum(1 / n), 12) AS weight FROM rq JOIN wc USING (tok) JOIN wn USING (tok) GROUP BY ALL),
+rb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job, route, i ORDER BY weight DESC, doi) AS k FROM rc) WHERE k <= 3),
+sim AS (SELECT job, route, i, mdoi AS doi, 0 AS k, mw AS w, xw FROM rd WHERE mdoi IS NOT NULL UNION ALL SELECT rb.job, rb.route, rb.i, rb.doi, k, wt.w, rx.xw FROM rb JOIN wt ON wt.doi = rb.doi JOIN rx ON rx.job = rb.job AND rx.route = rb.route AND rx.i = rb.i),
+ss2 AS (SELECT job, route, i, k, CASE WHEN len(w) = 1 THEN CAST(list_contains(xw, w[1]) AS DOUBLE) WHEN len(w) > 1 THEN len(list_intersect({_PAIRS_OF.format("w")}, {_PAIRS_OF.format("xw")})) / len({_PAIRS_OF.format("w")}) END AS score FROM sim WHERE len(xw) > 0),
+st2 AS (SELECT rf.job, rf.route, rf.i, CASE WHEN rf.i >= 100 OR (rf.doi IS NULL AND title = '' AND raw = '') THEN 'skipped' WHEN rf.doi IS NOT NULL THEN CASE WHEN NOT EXISTS (SELECT 1 FROM sim WHERE sim.job = rf.job AND sim.route = rf.route AND sim.i = rf.i) THEN 'notFound' WHEN b.best < 0.7 THEN 'mismatch' ELSE 'verified' END WHEN b.best >= 0.7 THEN 'verified' ELSE 'notFound' END AS status
+  FROM rf LEFT JOIN (SELECT job, route, i, max(score) AS best FROM ss2 GROUP BY ALL) b ON b.job = rf.job AND b.route = rf.route AND b.i = rf.i),
+sy AS (SELECT job, route, count(*) FILTER (WHERE status = 'verified') AS verified, count(*) FILTER (WHERE status = 'mismatch') AS mismatch, count(*) FILTER (WHERE status = 'notFound') AS not_found, count(*) FILTER (WHERE status = 'skipped') AS skipped FROM st2 GROUP BY ALL),
+cr AS (SELECT job, route, 'references' AS f, CASE WHEN verified + mismatch > 0 THEN round(verified / (verified + mismatch), 4) END AS c FROM sy),
 ly AS (SELECT job, conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE turn % 2 = 0) || ' Reader ship' || chr(10) || 'Ab-' || chr(10) || 'out user' AS t FROM q GROUP BY job, conv_id),
 lw AS (SELECT job, {_WORDS.format("t")} AS w, {_WORDS.format("replace(t, '-' || chr(10), '')")} AS v, {_FOLD.format("t")} AS f FROM ly WHERE conv_id % 5 <> 0),
 lp AS (SELECT job, f, list_distinct(list_concat(w, v)) AS words, list_distinct(list_concat({_PAIRS_OF.format("w")}, {_PAIRS_OF.format("v")})) AS pairs FROM lw),
@@ -230,9 +241,9 @@ vw AS (SELECT val.*, {_WORDS.format("v")} AS w, {_FOLD.format("v")} AS fv FROM v
 vs AS (SELECT vw.*, CASE WHEN short AND fv <> '' AND contains(f, fv) THEN 1.0 WHEN len(w) = 0 THEN NULL WHEN len(w) = 1 THEN CAST(list_contains(words, w[1]) AS DOUBLE) ELSE len(list_intersect({_PAIRS_OF.format("w")}, pairs)) / len({_PAIRS_OF.format("w")}) END AS score FROM vw JOIN lp USING (job)),
 it AS (SELECT job, route, field, score FROM vs WHERE score IS NOT NULL AND grp IS NULL UNION ALL SELECT job, route, field, avg(score) FROM vs WHERE score IS NOT NULL AND grp IS NOT NULL GROUP BY job, route, field, grp),
 fs AS (SELECT job, route, field, round(avg(score), 4) AS original, count(*) AS items FROM it GROUP BY ALL),
-ha AS (SELECT job, route, count(*) AS n FROM vs WHERE short AND score < 0.5 GROUP BY ALL),
+ha AS (SELECT job, route, sum(n) AS n FROM (SELECT job, route, count(*) AS n FROM vs WHERE short AND score < 0.5 GROUP BY ALL UNION ALL SELECT job, route, mismatch FROM sy) GROUP BY ALL),
 dr AS (SELECT job, 'bedrock' AS route FROM md UNION ALL SELECT job, 'textract' FROM ld),
-cf AS (SELECT dr.job, dr.route, x.f AS field, original, items, CASE WHEN lc.c IS NOT NULL THEN round(CASE WHEN original IS NULL THEN lc.c ELSE (original + lc.c) / 2 END, 4) ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) x LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = x.f LEFT JOIN lc ON lc.job = dr.job AND lc.f = x.f AND dr.route = 'textract'),
+cf AS (SELECT dr.job, dr.route, x.f AS field, original, items, CASE WHEN coalesce(lc.c, cr.c) IS NOT NULL THEN CAST(round(CAST(CAST(CASE WHEN original IS NULL THEN coalesce(lc.c, cr.c) ELSE (original + coalesce(lc.c, cr.c)) / 2 END AS VARCHAR) AS DECIMAL(18, 12)), 4) AS DOUBLE) ELSE original END AS c FROM dr CROSS JOIN (SELECT unnest(['title', 'authors', 'abstract', 'sections', 'figures', 'tables', 'references']) AS f) x LEFT JOIN fs ON fs.job = dr.job AND fs.route = dr.route AND fs.field = x.f LEFT JOIN lc ON lc.job = dr.job AND lc.f = x.f AND dr.route = 'textract' LEFT JOIN cr ON cr.job = dr.job AND cr.route = dr.route AND cr.f = x.f),
 vr AS (SELECT dr.job, dr.route, lp.job IS NOT NULL AS checked, coalesce(ha.n, 0) AS flagged, lp.job IS NULL OR coalesce(ha.n, 0) > 0 OR EXISTS (SELECT 1 FROM cf WHERE cf.job = dr.job AND cf.route = dr.route AND c < 0.7) AS review FROM dr LEFT JOIN lp ON lp.job = dr.job LEFT JOIN ha ON ha.job = dr.job AND ha.route = dr.route)
 """
 
@@ -242,6 +253,14 @@ def _layers(spark, sf) -> DataFrame:
     return c.select(F.col("conv_id").cast("string").alias("job"), F.concat("text", F.lit(" Reader ship\nAb-\nout user")).alias("text"), (F.col("conv_id") % 5 != 0).alias("has_text_layer"))
 
 
+def _works(spark, sf) -> DataFrame:
+    """Registered works: the first sentence of the second turn where a system turn stands before, and some by DOI."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.substring_index("text", ".", 1).alias("title"))
+    led = c.where("role = 'system'").select("conv_id").distinct()
+    by_doi = c.join(F.broadcast(c.agg(F.min("conv_id").alias("conv_id"))), "conv_id").select(F.concat(F.lit("10.1000/X"), F.col("turn").cast("string")).alias("doi"), "title")
+    return c.where("turn = 1").join(led, "conv_id", "left_semi").select(F.concat(F.lit("10.2000/c"), F.col("conv_id").cast("string")).alias("doi"), "title").unionByName(by_doi)
+
+
 def _normal(spark, sf) -> tuple[DataFrame, DataFrame]:
     docs, pages, counts = _documents(spark, sf)
     return normalize.normalize(docs, AS_OF), normalize.normalize(finalize.page_documents(pages, counts), AS_OF)
@@ -255,15 +274,15 @@ def _both(spark, sf) -> DataFrame:
 @query(_VERIFIED + "SELECT job, route, field, original, CAST(items AS BIGINT) AS items, c AS confidence FROM cf")
 def verified_fields(spark, sf):
     """Fields with their agreement with the text, items and confidence, of every document of both routes."""
-    r = verify.verify(_both(spark, sf), _layers(spark, sf))
+    r = verify.verify(_both(spark, sf), _layers(spark, sf), _works(spark, sf))
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.try_element_at("fields", F.lit(f)).alias("f"), F.col(f"confidence.{f}").alias("confidence")) for f in CONFIDENCE_FIELDS])).alias("x")
     return r.select("job", "route", fields).select("job", "route", "x.field", "x.f.original", "x.f.items", "x.confidence")
 
 
-@query(_VERIFIED + "SELECT job, route, checked AS original_checked, CAST(flagged AS INT) AS hallucinations, review AS needs_review, CASE WHEN route = 'bedrock' THEN CAST((SELECT count(*) FROM rg WHERE rg.job = vr.job) AS BIGINT) END AS skipped FROM vr")
+@query(_VERIFIED + "SELECT job, route, checked AS original_checked, CAST(flagged AS INT) AS hallucinations, review AS needs_review, coalesce(verified, 0) AS verified, coalesce(mismatch, 0) AS mismatch, coalesce(not_found, 0) AS not_found, coalesce(skipped, 0) AS skipped FROM vr LEFT JOIN sy USING (job, route)")
 def verified_documents(spark, sf):
-    r = verify.verify(_both(spark, sf), _layers(spark, sf))
-    return r.select("job", "route", "original_checked", F.size("hallucinations").alias("hallucinations"), "needs_review", F.when(F.col("route") == "bedrock", F.coalesce("skipped", F.lit(0))).alias("skipped"))
+    r = verify.verify(_both(spark, sf), _layers(spark, sf), _works(spark, sf))
+    return r.select("job", "route", "original_checked", F.size("hallucinations").alias("hallucinations"), "needs_review", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("verified", "mismatch", "not_found", "skipped")])
 
 
 _SAME_TITLE = r"lower(trim(regexp_replace(lm.title, '\s+', ' ', 'g'))) = lower(trim(regexp_replace(md.title, '\s+', ' ', 'g')))"
@@ -288,7 +307,7 @@ def finalized_jobs(spark, sf):
     k = F.col("job").cast("bigint")
     caught = F.when(k % 6 == 0, F.concat(F.lit('{"Error": "E'), "job", F.lit('", "Cause": "c"}')))
     jobs = counts.select("job", (k % 8 == 3).alias("skipped"), "page_count", caught.alias("caught"))
-    c = finalize.finalize(jobs, docs, pages, _layers(spark, sf), None, AS_OF)["comparison"]
+    c = finalize.finalize(jobs, docs, pages, _layers(spark, sf), _works(spark, sf), AS_OF)["comparison"]
     return c.select("job", "status", "needs_review", F.col("textract.status").alias("textract"), F.col("bedrock.status").alias("bedrock"), F.col("bedrock.missing_pages").alias("missing_pages"), F.col("bedrock.error").alias("error"), F.col("diff.title.equal").alias("same_title"))
 
 
@@ -388,54 +407,6 @@ def class_confidence(spark, sf):
     return layout.class_confidence(c.select("job", kind.alias("type"), (F.col("turn") / 10).alias("confidence")), c.select("job", (F.col("turn") / 7).alias("confidence"))).join(counts, "job")
 
 
-# --- single rules ---------------------------------------------------------------------------------------------
-
-
-@query("""SELECT event_id, event_id % 3 < 2 AS succeeded, event_id % 2 = 0 AS ja, CASE event_id % 5 WHEN 0 THEN 'transient' WHEN 1 THEN 'gone' WHEN 2 THEN 'undecodable' ELSE 'permanent' END AS kind, event_id % 4 NOT IN (0, 1) AS located,
-CASE event_id % 3 WHEN 0 THEN 'unknown environment,region missing' WHEN 1 THEN 'bucket missing,table missing' ELSE '' END AS settings, CASE event_id % 4 WHEN 0 THEN 'model id missing' WHEN 1 THEN 'no messages' WHEN 2 THEN 'empty part' END AS request, event_id % 5 = 2 AS ok, event_id % 3 <> 2 AND event_id % 4 <> 3 AS body,
-event_type || ': ' || event_id AS reason, CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE 'LINE' END AS tag, 'page-' || lpad(CAST(event_id % 20000 AS VARCHAR), CAST(greatest(4, length(CAST(event_id % 20000 AS VARCHAR))) AS INT), '0') || '.png' AS file, event_id || CASE WHEN event_id % 2 = 0 THEN 'v1' ELSE '' END AS versioned,
-event_id % 7 BETWEEN 1 AND 3 AS known, CASE event_id % 3 WHEN 0 THEN 'a' END AS job, 'refs[' || event_id || '].doi' AS path FROM events""")
-def rule_matrix(spark, sf):
-    """Predicates and labels, each on a value that goes through its cases."""
-    i = F.col("event_id")
-    pick = lambda n, *values: F.element_at(F.array(*[v if isinstance(v, F.Column) else F.lit(v) for v in values]), (i % n + 1).cast("int"))
-    blank = F.lit(None).cast("string")
-    messages = F.when(i % 4 == 2, F.array(F.array(F.lit("a"), F.lit("")))).when(i % 4 == 1, F.array().cast("array<array<string>>")).otherwise(F.array(F.array(F.lit("a"))))
-    return table(spark, sf, "events").select(
-        "event_id", checks.succeeded(pick(3, "SUCCEEDED", "PARTIAL_SUCCESS", "FAILED")).alias("succeeded"), checks.skip_layout_route(pick(2, "ja", "en")).alias("ja"), checks.error_class(pick(5, "ModelNotReady", "NotFound", "OutputTruncated", "Strange", "AccessDenied")).alias("kind"), checks.valid_location(pick(4, "", blank, "b", "c"), F.lit("k")).alias("located"),
-        F.array_join(checks.settings_problems(pick(3, "x", "dev", "prd"), pick(3, " ", "r", "r"), pick(3, "b", blank, "b"), pick(3, "t", "", "t")), ",").alias("settings"), checks.request_problem(pick(4, "", "m", "m", "m"), messages).alias("request"), checks.http_ok(pick(5, 404, 301, 204, 500, 100)).alias("ok"), checks.is_body(pick(3, "LAYOUT_TEXT", "LINE", "LAYOUT_TITLE"), pick(4, "", blank, blank, "t")).alias("body"),
-        t.reason("event_type", i.cast("string")).alias("reason"), t.layout_tag(F.when(i % 2 == 0, F.concat(F.lit("LAYOUT_"), F.upper("event_type"))).otherwise("LINE")).alias("tag"), t.page_file_name((i % 20000).cast("int")).alias("file"), t.versioned_id(i.cast("string"), pick(2, "v1", blank)).alias("versioned"),
-        checks.in_range(i % 7, F.lit(1), F.lit(3)).alias("known"), checks.job_id_of(pick(3, "uploads/a/original.pdf", "uploads/a/b.pdf", "work/a/original.pdf")).alias("job"), scalars.item_path("refs", i, "doi").alias("path"),
-    )
-
-
-@query("""SELECT event_id, round(value / 3, 4) AS r4, round(value / 3, 6) AS r6, round(CAST(event_id % 100 AS DOUBLE) / 100, 6) AS confidence, CAST(CASE WHEN event_id % 5 = 0 THEN 1 ELSE event_id % 5 END AS INT) AS page, CASE WHEN event_id % 3 = 0 THEN round(value / 2, 4) WHEN event_id % 3 = 1 THEN round((value / 2 + 1) / 2, 4) END AS mean,
-event_id % 1000 AS elapsed, event_id * 1000 AS ms, CAST(event_id % 2 AS INT) AS filled, CAST(CASE WHEN event_id % 2 = 0 THEN NULL ELSE 1 END AS INT) AS there, CASE event_id % 3 WHEN 0 THEN 'J' || event_id END AS notice, event_id % 4 = 1 AS records,
-CASE event_id % 3 WHEN 0 THEN 'xy' ELSE '' END AS text, CASE event_id % 3 WHEN 1 THEN '{"a":1}' END AS tool, CASE event_id % 3 WHEN 2 THEN 'empty' END AS problem, CASE event_id % 4 WHEN 0 THEN 'truncated' WHEN 1 THEN 'no json' WHEN 2 THEN 'invalid json' END AS answer, CASE WHEN event_id % 4 = 3 THEN CAST(event_id AS INT) END AS got,
-CAST(CASE WHEN event_id % 3 = 0 THEN event_id % 50 END AS INT) AS pdf_pages, event_id % 3 = 0 AND event_id % 2 = 0 AS locked, CASE event_id % 3 WHEN 1 THEN 'DAMAGED' WHEN 2 THEN 'MALFORMED' END AS pdf_problem, event_id % 3 < 2 AS mark, event_id % 3 = 0 AS head, CASE WHEN event_id % 2 = 0 THEN '10.1/x' END AS doi FROM events""")
-def value_matrix(spark, sf):
-    """Numbers, times, notices and answers, each on a value that goes through its cases."""
-    i, v = F.col("event_id"), F.col("value")
-    n = i.cast("string")
-    pick = lambda k, *values: F.element_at(F.array(*[x if isinstance(x, F.Column) else F.lit(x) for x in values]), (i % k + 1).cast("int"))
-    start = F.timestamp_millis(i * 1000)
-    one = F.when(i % 2 == 0, F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
-    source = lambda s: F.struct(F.lit(s).alias("EventSource"))
-    records = F.when(i % 4 == 0, F.array().cast("array<struct<EventSource:string>>")).when(i % 4 == 1, F.array(source("aws:sns"))).when(i % 4 == 2, F.array(source("aws:sns"), source("aws:s3")))
-    part = lambda text, tool: F.struct(F.lit(text).cast("string").alias("text"), F.lit(tool).cast("string").alias("tool_input"))
-    response = scalars.model_response(F.when(i % 3 == 0, F.array(part("x", None), part("y", None))).when(i % 3 == 1, F.array(part(None, '{"a":1}'), part(None, "2"))).otherwise(F.array(part("", ""))))
-    answer = scalars.decode_answer(pick(4, "max_tokens", "end", "end", "end"), pick(4, '{"a":1}', "", '{"a"', ""), F.concat(pick(4, "x", "none", "x", 'so {"a": '), n, pick(4, "", "", "", "} ok")), "a INT")
-    info = checks.pdf_info(F.concat(pick(3, "Title: x\nPages: ", "Title: ", "Pages: x"), (i % 50).cast("string"), F.when((i % 3 == 0) & (i % 2 == 0), "\nEncrypted: yes (print:no)").otherwise("\nEncrypted: no")))
-    body = pick(3, "%PDF-1.7", "junk %PDF-1.4", "none").cast("binary")
-    ref = scalars.clean_reference(F.struct(F.lit(" r ").alias("raw"), F.lit("").alias("title"), F.lit(None).cast("array<string>").alias("authors"), F.lit(None).cast("int").alias("year"), F.lit("").alias("venue"), pick(2, " 10.1/x ", "  ").alias("doi")))
-    return table(spark, sf, "events").select(
-        "event_id", scalars.round4(v / 3).alias("r4"), scalars.round6(v / 3).alias("r6"), scalars.confidence(i % 100).alias("confidence"), scalars.page_or_first((i % 5).cast("int")).alias("page"), scalars.mean_of(pick(3, v / 2, v / 2, F.lit(None).cast("double")), pick(3, F.lit(None).cast("double"), F.lit(1.0), F.lit(None).cast("double"))).alias("mean"),
-        scalars.elapsed_ms(start, F.timestamp_millis(i * 1000 + i % 1000)).alias("elapsed"), F.unix_millis(scalars.epoch_ms(i * 1000)).alias("ms"), F.size(scalars.or_empty(F.when(i % 2 == 1, one), "array<int>")).alias("filled"), F.get(scalars.null_if_empty(one), F.lit(0)).alias("there"),
-        scalars.completion_notice(F.concat(pick(3, '{"JobId": "J', '{"JobId": "", "x": "', '{"Status": "'), n, F.lit('"}'))).getField("JobId").alias("notice"), scalars.is_notice_event(records).alias("records"), response.getField("text").alias("text"), response.getField("tool_input").alias("tool"), response.getField("problem").alias("problem"),
-        answer.getField("problem").alias("answer"), answer.getField("value").getField("a").alias("got"), info.getField("pages").alias("pdf_pages"), info.getField("encrypted").alias("locked"), info.getField("problem").alias("pdf_problem"), checks.looks_like_pdf(body).alias("mark"), checks.starts_like_pdf(body).alias("head"), ref.getField("doi").alias("doi"),
-    )
-
-
 # --- recorded and paged answers -------------------------------------------------------------------------------
 
 _ANSWERS = "WITH c AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS job, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS seq, count(*) OVER (PARTITION BY conv_id) AS n, text FROM conversations)"

@@ -171,3 +171,94 @@ def pages_in_order(spark, sf):
 def mean_or_zero(spark, sf):
     values = F.collect_list(F.when((F.col("event_type") == "error") & (F.col("value") >= 60), F.col("value")))
     return table(spark, sf, "events").groupBy("user_id").agg(values.alias("v")).select("user_id", F.round(scalars.mean_or_zero("v"), 6).alias("mean"))
+
+
+# --- single rules, on values made of the events' columns --------------------------------------------------------
+
+_RULES = {
+    "status": "CASE event_type WHEN 'view' THEN 'SUCCEEDED' WHEN 'click' THEN 'PARTIAL_SUCCESS' ELSE upper(event_type) END",
+    "lang": "CASE WHEN value < 50 THEN 'ja' ELSE event_type END",
+    "kind": "CASE event_type WHEN 'error' THEN 'ThrottlingException' WHEN 'view' THEN 'NoSuchKey' WHEN 'click' THEN 'InvalidJSON' WHEN 'signup' THEN CASE WHEN value < 60 THEN 'ModelTimeout' ELSE 'ModelBroken' END ELSE props END",
+    "bucket": "CASE WHEN value < 20 THEN '' ELSE 'b' || user_id END",
+    "key": "CASE event_type WHEN 'view' THEN 'uploads/' || user_id || '/original.pdf' WHEN 'click' THEN 'x/uploads/' || user_id || '/original.pdf' WHEN 'error' THEN 'uploads/' || user_id || '/sub/original.pdf' WHEN 'signup' THEN '' ELSE 'work/' || user_id || '/original.pdf' END",
+    "env": "CASE event_type WHEN 'view' THEN ' dev ' WHEN 'click' THEN 'prd' ELSE event_type END",
+    "region": "CASE WHEN value < 30 THEN '  ' ELSE props END",
+    "tab": "CASE WHEN value <= 100 THEN 't' END",
+    "model": "CASE WHEN value < 10 THEN '' ELSE 'm' END",
+    "messages": "CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN 'a|' || props || ';b' WHEN 'error' THEN user_id || '|;b' ELSE props END",
+    "http": "CAST(user_id * 3 AS INT)",
+    "block": "CASE event_type WHEN 'view' THEN 'LAYOUT_TEXT' WHEN 'click' THEN 'LINE' WHEN 'error' THEN 'LAYOUT_LIST' ELSE 'LAYOUT_TITLE' END",
+    "table_id": "CASE WHEN value < 50 THEN '' WHEN value >= 90 THEN 't' END",
+    "detail": "CASE WHEN value < 50 THEN '' ELSE props END",
+    "version": "CASE WHEN value < 50 THEN 'v' || user_id END",
+    "n": "CAST(floor(value) AS INT)",
+    "lo": "CASE WHEN event_type = 'view' THEN 0 ELSE 20 END",
+    "hi": "CASE WHEN event_type = 'click' THEN 0 ELSE 60 END",
+}
+
+
+def _inputs(spellings: dict[str, str]) -> str:
+    return f"WITH e AS (SELECT event_id, user_id, event_type, value, props, ts, {', '.join(f'{v} AS {k}' for k, v in spellings.items())} FROM events)"
+
+
+def _given(spark, sf, spellings: dict[str, str]) -> DataFrame:
+    return table(spark, sf, "events").select("*", *[F.expr(v).alias(k) for k, v in spellings.items()])
+
+
+@query(_inputs(_RULES) + r""" SELECT event_id, status IN ('SUCCEEDED', 'PARTIAL_SUCCESS') AS succeeded, lang = 'ja' AS ja,
+CASE WHEN kind IN ('ThrottlingException', 'ServiceUnavailable', 'InternalServerError', 'ModelNotReady', 'ModelTimeout', 'ProvisionedThroughputExceeded', 'LimitExceeded') THEN 'transient' WHEN kind IN ('NoSuchKey', 'NotFound', 'TaskTimedOut', 'TaskDoesNotExist', 'InvalidToken') THEN 'gone' WHEN kind IN ('InvalidJSON', 'OutputTruncated') THEN 'undecodable' ELSE 'permanent' END AS kind,
+bucket <> '' AND key <> '' AS located, array_to_string(list_filter([CASE WHEN trim(env) NOT IN ('dev', 'stg', 'prd') THEN 'unknown environment' END, CASE WHEN trim(region) = '' THEN 'region missing' END, CASE WHEN trim(bucket) = '' THEN 'bucket missing' END, CASE WHEN trim(coalesce(tab, '')) = '' THEN 'table missing' END], lambda x: x IS NOT NULL), ',') AS settings,
+CASE WHEN model = '' THEN 'model id missing' WHEN messages = '' THEN 'no messages' WHEN list_contains(flatten(list_transform(string_split(messages, ';'), lambda x: string_split(x, '|'))), '') THEN 'empty part' END AS request,
+http // 100 = 2 AS ok, block IN ('LAYOUT_TEXT', 'LAYOUT_LIST', 'LINE') AND coalesce(table_id, '') = '' AS body, concat_ws(': ', event_type, nullif(detail, '')) AS reason, regexp_replace(block, '^LAYOUT_', '') AS tag, printf('page-%04d.png', user_id * 37) AS file, user_id || coalesce(version, '') AS versioned,
+(lo <= 0 OR n >= lo) AND (hi <= 0 OR n <= hi) AS known, nullif(regexp_extract(key, '(?:^|/)uploads/([^/]+)/original\.pdf$', 1), '') AS job, 'refs[' || event_id || '].' || event_type AS path FROM e""")
+def rule_matrix(spark, sf):
+    """Predicates and labels on values made of the events' columns."""
+    messages = F.when(F.col("messages") == "", F.array().cast("array<array<string>>")).otherwise(F.transform(F.split("messages", ";"), lambda x: F.split(x, r"\|")))
+    return _given(spark, sf, _RULES).select(
+        "event_id", checks.succeeded("status").alias("succeeded"), checks.skip_layout_route("lang").alias("ja"), checks.error_class("kind").alias("kind"), checks.valid_location("bucket", "key").alias("located"),
+        F.array_join(checks.settings_problems("env", "region", "bucket", "tab"), ",").alias("settings"), checks.request_problem("model", messages).alias("request"), checks.http_ok("http").alias("ok"), checks.is_body("block", "table_id").alias("body"),
+        t.reason("event_type", "detail").alias("reason"), t.layout_tag("block").alias("tag"), t.page_file_name((F.col("user_id") * 37).cast("int")).alias("file"), t.versioned_id(F.col("user_id").cast("string"), "version").alias("versioned"),
+        checks.in_range("n", "lo", "hi").alias("known"), checks.job_id_of("key").alias("job"), F.concat(scalars.item_path("refs", F.col("event_id"), ""), "event_type").alias("path"),
+    )
+
+
+_VALUES = {
+    "list": "CASE event_type WHEN 'view' THEN NULL ELSE value END",
+    "notice": "'{\"JobId\": \"' || CASE WHEN value < 30 THEN '' ELSE 'J' || event_id END || '\", \"Status\": \"' || event_type || '\"}'",
+    "sources": "CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN 'aws:sns' WHEN 'error' THEN 'aws:sns,aws:sns' WHEN 'signup' THEN 'aws:sns,aws:s3' ELSE props END",
+    "text1": "CASE WHEN event_type IN ('view', 'click') THEN props ELSE '' END",
+    "text2": "CASE WHEN value < 50 THEN 'y' || user_id END",
+    "tool1": "CASE WHEN event_type = 'click' THEN props END",
+    "tool2": "CASE WHEN value > 90 THEN 'z' || user_id ELSE '' END",
+    "stop": "CASE WHEN value < 15 THEN 'max_tokens' ELSE 'end' END",
+    "tool": "CASE event_type WHEN 'view' THEN props WHEN 'click' THEN '{\"k\"' || user_id ELSE '' END",
+    "said": "CASE event_type WHEN 'error' THEN 'so ' || props || ' it is' ELSE 'nothing' END",
+    "info": "'Title: ' || event_type || chr(10) || CASE event_type WHEN 'error' THEN 'Page: 3' WHEN 'click' THEN 'Pages: many' ELSE 'Pages: ' || user_id END || chr(10) || 'Encrypted: ' || CASE WHEN value < 40 THEN 'yes (print:no)' ELSE 'no' END",
+    "body": "CASE event_type WHEN 'view' THEN '%PDF-1.7' || props WHEN 'click' THEN props || '%PDF-1.4' WHEN 'signup' THEN repeat('x', 1100) || '%PDF-1.4' ELSE props END",
+    "doi": "CASE WHEN value < 50 THEN ' 10.1/' || user_id || ' ' ELSE '  ' END",
+}
+
+
+@query(_inputs(_VALUES) + r""", p AS (SELECT *, coalesce(nullif(tool, ''), nullif(regexp_extract(said, '\{.*\}'), '')) AS payload, concat(text1, text2) AS texts, coalesce(nullif(tool1, ''), nullif(tool2, '')) AS tools, regexp_extract(info, 'Pages: (.*)', 1) AS pages FROM e),
+a AS (SELECT *, CASE WHEN stop = 'max_tokens' THEN 'truncated' WHEN payload IS NULL THEN 'no json' WHEN NOT json_valid(payload) THEN 'invalid json' END AS answer FROM p)
+SELECT event_id, round(value / 3, 4) AS r4, round(value / 3, 6) AS r6, round(CAST(user_id % 100 AS DOUBLE) / 100, 6) AS confidence, CAST(greatest(user_id - 20, 1) AS INT) AS page, round(CASE WHEN list IS NULL THEN value / 2 ELSE (value / 2 + list) / 2 END, 4) AS mean, CAST(floor(value) AS BIGINT) AS elapsed, epoch_us(ts) // 1000 AS ms,
+CAST(CASE WHEN list IS NULL THEN 0 ELSE 1 END AS INT) AS filled, CASE WHEN list >= 50 THEN list END AS there, nullif(json_extract_string(notice, '$.JobId'), '') AS notice, len(list_filter(string_split(sources, ','), lambda x: x <> 'aws:sns')) = 0 AS records, texts AS text, tools AS tool, CASE WHEN texts = '' AND tools IS NULL THEN 'empty' END AS problem,
+answer, CASE WHEN answer IS NULL THEN CAST(json_extract(payload, '$.k') AS INT) END AS got, TRY_CAST(nullif(pages, '') AS INT) AS pdf_pages, value < 40 AS locked, CASE WHEN pages = '' THEN 'DAMAGED' WHEN TRY_CAST(pages AS INT) IS NULL THEN 'MALFORMED' END AS pdf_problem,
+contains(left(body, 1024), '%PDF-') AS mark, starts_with(body, '%PDF-') AS head, nullif(trim(doi), '') AS doi FROM a""")
+def value_matrix(spark, sf):
+    """Numbers, times, notices and answers made of the events' columns."""
+    v, i = F.col("value"), F.col("user_id")
+    one = F.when(F.col("list").isNotNull(), F.array("list"))
+    start = F.col("ts").cast("timestamp")
+    records = F.transform(F.filter(F.split("sources", ","), lambda x: x != ""), lambda x: F.struct(x.alias("EventSource")))
+    part = lambda a, b: F.struct(F.col(a).alias("text"), F.col(b).alias("tool_input"))
+    response = scalars.model_response(F.array(part("text1", "tool1"), part("text2", "tool2")))
+    answer = scalars.decode_answer("stop", "tool", "said", "k INT")
+    info, body = checks.pdf_info("info"), F.col("body").cast("binary")
+    ref = scalars.clean_reference(F.struct(F.lit(" r ").alias("raw"), F.lit("").alias("title"), F.lit(None).cast("array<string>").alias("authors"), F.lit(None).cast("int").alias("year"), F.lit("").alias("venue"), F.col("doi")))
+    return _given(spark, sf, _VALUES).select(
+        "event_id", scalars.round4(v / 3).alias("r4"), scalars.round6(v / 3).alias("r6"), scalars.confidence(i % 100).alias("confidence"), scalars.page_or_first((i - 20).cast("int")).alias("page"), scalars.mean_of(v / 2, F.col("list")).alias("mean"),
+        scalars.elapsed_ms(start, start + F.make_dt_interval(secs=F.floor(v) / 1000)).alias("elapsed"), F.unix_millis(scalars.epoch_ms(F.unix_millis(start))).alias("ms"), F.size(scalars.or_empty(one, "array<double>")).alias("filled"), F.get(scalars.null_if_empty(F.filter(one, lambda x: x >= 50)), F.lit(0)).alias("there"),
+        scalars.completion_notice("notice").getField("JobId").alias("notice"), scalars.is_notice_event(records).alias("records"), response.getField("text").alias("text"), response.getField("tool_input").alias("tool"), response.getField("problem").alias("problem"),
+        answer.getField("problem").alias("answer"), answer.getField("value").getField("k").alias("got"), info.getField("pages").alias("pdf_pages"), info.getField("encrypted").alias("locked"), info.getField("problem").alias("pdf_problem"), checks.looks_like_pdf(body).alias("mark"), checks.starts_like_pdf(body).alias("head"), ref.getField("doi").alias("doi"),
+    )
