@@ -51,25 +51,41 @@ def deal(place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(place[order], np.arange(n + 1))
 
 
+#: Bytes of the whole numbers that a payload's columns may be written in.
+_SIZES = ((1, np.int8), (2, np.int16), (4, np.int32), (8, np.int64))
+
+
+def _small(a: np.ndarray) -> tuple[int, bytes]:
+    """(bytes a number, numbers) in the least size that holds them all."""
+    lo, hi = (int(a.min()), int(a.max())) if len(a) else (0, 0)
+    size, kind = next((s, k) for s, k in _SIZES if np.iinfo(k).min <= lo and hi <= np.iinfo(k).max)
+    return size, a.astype(kind).tobytes()
+
+
 def pack(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, place: np.ndarray, n: int, width: int) -> Iterator[tuple[int, bytes]]:
     """(place, payload) of the keys ``h`` of documents ``ids[doc]``; ``doc`` ascends within a place.
 
-    A payload holds the numbers of documents and keys and columns, ids, keys a document, and the keys' lowest
-    ``width`` bytes: the first four of every key together, then the rest.  ``ids`` may have several columns.
+    A payload holds the numbers of documents and keys and columns, the steps from one document's id to the next, keys
+    a document, and the keys' lowest ``width`` bytes: the first four of every key together, then the rest.  Steps and
+    counts take the fewest bytes that hold them, mostly one, so a document with a single key in a bucket, as it comes
+    to be where buckets are many, costs little more than the key.  ``ids`` may have several columns.
     """
     order, begin = deal(place, n)
     h, doc = h[order], doc[order]
+    columns = ids.reshape(len(ids), -1)
     for b in np.flatnonzero(np.diff(begin)).tolist():
         keys, d = h[begin[b] : begin[b + 1]], doc[begin[b] : begin[b + 1]]
         heads = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-        counts = np.diff(np.concatenate([heads, [len(d)]])).astype(np.int32)
+        parts = [_small(np.diff(np.concatenate([heads, [len(d)]])))]
+        with np.errstate(over="ignore"):
+            parts += [_small(np.diff(c.astype(np.int64), prepend=np.int64(0))) for c in columns[d[heads]].T]
         raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
-        yield b, b"".join([np.array([len(heads), len(keys), ids[:1].size or 1], np.int32).tobytes(), ids[d[heads]].astype(np.int64).tobytes(), counts.tobytes(), np.ascontiguousarray(raw[:, :4]).tobytes(), np.ascontiguousarray(raw[:, 4:width]).tobytes()])
+        yield b, b"".join([np.array([len(heads), len(keys), columns.shape[1], *(s for s, _ in parts)], np.int32).tobytes(), *(p for _, p in parts), np.ascontiguousarray(raw[:, :4]).tobytes(), np.ascontiguousarray(raw[:, 4:width]).tobytes()])
 
 
 class Packer:
     """Gathers keys of kinds over the slices of a task and gives packed rows (bucket, kind, payload), once there are
-    ``limit`` keys: so a row holds many keys even where buckets are far more than a slice has keys."""
+    ``limit`` keys.  Where buckets are more than that, a row holds a key or two, and then costs its own 40 bytes."""
 
     def __init__(self, n: int, width: int, limit: int = 1 << 19):
         self.n, self.width, self.limit, self.size = n, width, limit, 0
@@ -100,15 +116,19 @@ def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def unpack(payload: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, keys a document, keys) of a payload; keys as 64-bit numbers of their lowest ``width`` bytes."""
     m, n, c = np.frombuffer(payload, np.int32, 3).tolist()
-    ids = np.frombuffer(payload, np.int64, m * c, 12)
-    ids = ids.reshape(m, c) if c > 1 else ids
-    counts = np.frombuffer(payload, np.int32, m, 12 + 8 * m * c)
-    at = 12 + 8 * m * c + 4 * m
+    sizes = np.frombuffer(payload, np.int32, c + 1, 12).tolist()
+    at, columns = 16 + 4 * c, []
+    for size in sizes:
+        columns.append(np.frombuffer(payload, dict(_SIZES)[size], m, at))
+        at += size * m
+    counts = columns[0].astype(np.int32)
+    with np.errstate(over="ignore"):
+        ids = [np.cumsum(x, dtype=np.int64) for x in columns[1:]]
     raw = np.zeros((n, 8), np.uint8)
     raw[:, :4] = np.frombuffer(payload, np.uint8, 4 * n, at).reshape(n, 4)
     if width > 4:
         raw[:, 4:width] = np.frombuffer(payload, np.uint8, (width - 4) * n, at + 4 * n).reshape(n, width - 4)
-    return ids, counts, raw.view("<u8").ravel()
+    return ids[0] if c == 1 else np.stack(ids, 1), counts, raw.view("<u8").ravel()
 
 
 def low(h: np.ndarray, width: int) -> np.ndarray:
