@@ -323,3 +323,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_words: int = 0, max_cov
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[k:k + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS k FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, k, size, array_to_string(w[k:k + size - 1], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS k FROM d), (SELECT DISTINCT size FROM iw) WHERE k + size - 1 <= len(w)),
+h AS (SELECT r, k, size, item_id FROM dw JOIN iw USING (size, g)),
+c AS (SELECT r, count(DISTINCT k + j) AS n_hit FROM h, range(0, 10) AS x(j) WHERE j < size GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS sha FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""

@@ -474,3 +474,15 @@ def near_duplicates_removed(docs: DataFrame, key: str = "doc_id", column: str =
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT a AS doc_id, a AS o FROM e UNION SELECT c.doc_id, e.b FROM c JOIN e ON e.a = c.o)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce((SELECT min(o) FROM c WHERE c.doc_id = d.doc_id), d.doc_id) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from .decontaminate import op10_decontamination
-from . import collocations, conversations, html_extract, jaccard_join, language_id, licences, pii, quality_classifier, quality_rules, substring_dedup
+from . import collocations, conversations, decontaminate, html_extract, jaccard_join, language_id, licences, pii, quality_classifier, quality_rules, substring_dedup
 from .piece_codec import op3_sentencepiece
 from .token_counts import op6_token_counts
 
@@ -17,13 +16,14 @@ QUERIES = {
     "op7_html_extraction": html_extract.op7_html_extraction,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
-    "op10_decontamination": op10_decontamination,
+    "op10_decontamination": decontaminate.op10_decontamination,
     "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_language_id": language_id.op12_language_id,
     "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op2_licence_scan": licences.ORACLE_SQL, "op11_conversation_repair": conversations.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
+ORACLES |= {"op4_jaccard_join": jaccard_join.ORACLE_SQL, "op8_substring_dedup": substring_dedup.ORACLE_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}
 
 
 def pipeline(spark, sf_dir):

@@ -311,3 +311,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, doc_id, k, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d)),
+m AS (SELECT g, min(doc_id) AS least FROM g GROUP BY g), h AS (SELECT r, k FROM g JOIN m USING (g) WHERE least < doc_id),
+x AS (SELECT r, list(DISTINCT k + j) AS gone FROM h, range(0, 13) AS y(j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda v, p: NOT list_contains(gone, p)) END, ' '), '')) AS kept_sha256 FROM d LEFT JOIN x USING (r)
+"""
