@@ -96,9 +96,23 @@ def texts_of(r: Reading) -> DataFrame:
     return layout.reading_text(r.elements, r.tables.select("job", "page", "table_id", "table_ord", t.markdown("header", "rows").alias("markdown")))
 
 
-def _by_job(df: DataFrame, order: str, value: Column, name: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v"))))
-    return df.groupBy("job").agg(F.transform(rows, lambda x: x.getField("v")).alias(name))
+def _collected(r: Reading) -> DataFrame:
+    """(job, els, figures, tables, said, page_count): all parts of a job in one row, by one exchange."""
+    rows = r.elements.select("job", F.struct("n", "type", "page", "text", "table_id", "confidence").alias("el"))
+    for df, order, value, name in (
+        (r.figures, "n", F.struct("id", "caption", "page", "bbox").cast(FIGURE), "fig"),
+        (r.tables, "table_ord", F.struct(F.struct(F.col("table_id").alias("id"), "caption", "page", "bbox", "header", "rows").cast(TABLE).alias("t"), "confidence"), "tab"),
+        (r.warnings, "part", F.struct("k", "said"), "warn"),
+    ):
+        rows = rows.unionByName(df.select("job", F.struct(F.col(order).alias("o"), value.alias("v")).alias(name)), allowMissingColumns=True)
+    rows = rows.unionByName(r.counts.select("job", "page_count"), allowMissingColumns=True)
+    d = rows.groupBy("job").agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in ("el", "fig", "tab", "warn")], F.max("page_count").alias("page_count"))
+    part = lambda c, fn: F.transform(c, lambda x: fn(x.getField("v")))
+    return d.select("job", F.col("el").alias("els"), part("fig", lambda v: v).alias("figures"), part("tab", lambda v: v.getField("t")).alias("tables"), part("tab", lambda v: v.getField("confidence")).alias("table_confidences"), part("warn", lambda v: v.getField("said")).alias("read_warnings"), "page_count")
+
+
+def _mean_confidence(values: Column) -> Column:
+    return F.when(F.size(values) > 0, s.round6(F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)))
 
 
 def documents(r: Reading, answers: DataFrame, features: tuple[str, ...] = ("LAYOUT", "TABLES")) -> DataFrame:
@@ -107,15 +121,9 @@ def documents(r: Reading, answers: DataFrame, features: tuple[str, ...] = ("LAYO
     A section whose range is out of bounds keeps its heading without text; a reference that points nowhere keeps its
     own raw text; both are warned of.  Jobs without elements and tables have no document.
     """
-    els = _by_job(r.elements, "n", F.struct("type", "page", "text", "table_id"), "els")
-    figs = _by_job(r.figures, "n", F.struct("id", "caption", "page", "bbox").cast(FIGURE), "figures")
-    tabs = _by_job(r.tables, "table_ord", F.struct(F.col("table_id").alias("id"), "caption", "page", "bbox", "header", "rows").cast(TABLE), "tables")
-    warns = r.warnings.groupBy("job").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "k", "said"))), lambda x: x.getField("said")).alias("read_warnings"))
-    sure = layout.class_confidence(r.elements, r.tables)
-    d = answers.select("job", *[F.col(c).alias(f"_{c}") for c in answers.columns if c != "job"])
-    d = d.join(els, "job", "left").join(tabs, "job", "left").join(figs, "job", "left").join(warns, "job", "left").join(sure.select("job", F.struct(*[F.col(c) for c in ("title", "sections", "figures", "tables")]).alias("_sure")), "job", "left").join(r.counts, "job", "left")
-    d = d.where(F.col("els").isNotNull() | F.col("tables").isNotNull())
-    size, empty = F.coalesce(F.size("els"), F.lit(0)), F.array().cast("array<string>")
+    d = answers.select("job", *[F.col(c).alias(f"_{c}") for c in answers.columns if c != "job"]).join(_collected(r), "job")
+    d = d.where((F.size("els") > 0) | (F.size("tables") > 0))
+    size = F.size("els")
 
     def section(o: Column) -> Column:
         lo, hi = o.getField("from"), o.getField("to")
@@ -131,8 +139,10 @@ def documents(r: Reading, answers: DataFrame, features: tuple[str, ...] = ("LAYO
     bad_range = lambda o, i: F.when(~((o.getField("from") == -1) & (o.getField("to") == -1)) & ~((o.getField("from") >= 0) & (o.getField("to") < size) & (o.getField("from") <= o.getField("to"))), F.format_string("bad_range sections[%d]", i))
     bad_pointer = lambda o, i: F.when((o.getField("element") < 0) | (o.getField("element") >= size), F.format_string("bad_pointer references[%d]", i))
     outline, refs = F.coalesce("_sections", F.array()), F.coalesce("_references", F.array())
-    said = F.concat(F.coalesce("read_warnings", empty), F.array_compact(F.transform(outline, bad_range)), F.array_compact(F.transform(refs, bad_pointer)))
-    conf = F.struct(*[(F.col(f"_sure.{f}") if f in ("title", "sections", "figures", "tables") else F.lit(None)).cast("double").alias(f) for f in CONFIDENCE_FIELDS]).cast(CONFIDENCE)
+    said = F.concat("read_warnings", F.array_compact(F.transform(outline, bad_range)), F.array_compact(F.transform(refs, bad_pointer)))
+    of_type = lambda kind: F.transform(F.filter("els", lambda x: x.getField("type") == kind), lambda x: x.getField("confidence"))
+    sure = {"title": of_type("LAYOUT_TITLE"), "sections": of_type("LAYOUT_SECTION_HEADER"), "figures": of_type("LAYOUT_FIGURE"), "tables": F.col("table_confidences")}
+    conf = F.struct(*[(_mean_confidence(sure[f]) if f in sure else F.lit(None)).cast("double").alias(f) for f in CONFIDENCE_FIELDS]).cast(CONFIDENCE)
     cost = F.struct(F.col("page_count").alias("textract_pages"), F.array(*map(F.lit, features)).alias("textract_features"), F.col("_model").alias("bedrock_model"), F.col("_input_tokens").alias("input_tokens"), F.col("_output_tokens").alias("output_tokens")).cast(COST)
     meta = F.struct(*[F.col(f"_{c}").alias(c) for c in ("title", "authors", "abstract", "keywords", "venue", "year")], F.lit("").alias("primary_category")).cast(METADATA)
     list_of = lambda c, kind: F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast(f"array<{kind}>")).cast(f"array<{kind}>")
