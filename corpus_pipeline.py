@@ -16,36 +16,36 @@ from docweave.llm.jaccard_join import near_duplicates_removed
 from docweave.llm.pii import redact
 from docweave.llm.piece_codec import piece_digests
 from docweave.llm.quality_classifier import fit_quality, rejected_removed
-from docweave.workers import reachable, shared_folder
+from docweave.workers import frugal, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine does not reject."""
-    reachable(spark)
+    frugal(spark)
     return rejected_removed(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest doc_id."""
-    reachable(spark)
+    frugal(spark)
     return near_duplicates_removed(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    reachable(spark)
+    frugal(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    reachable(spark)
+    frugal(spark)
     return redact(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's piece ids, and digest of the text decoded from them."""
-    reachable(spark)
+    frugal(spark)
     return piece_digests(docs, vocabulary("piece_bpe_32k.model"))
 
 
