@@ -34,7 +34,7 @@ from .textnum import SPACED, Words, text_slices
 
 WINDOW = 13
 PACKED = "bucket int, kind int, payload binary"
-PROBE_BYTES, WINDOW_BYTES, ANSWER_BYTES = 4, 8, 5
+PROBE_BYTES, WINDOW_BYTES, ANSWER_BYTES = 4, 8, 8
 
 
 def _unique(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
