@@ -51,6 +51,17 @@ def test_block_texts_of_shared_children_and_depth(spark):
     assert got["root"] == "hello down" and got["b"] == "hello down" and got["c5"] == "down hello" and got["hello"] == "hello"
 
 
+def test_block_texts_leave_nothing_on_disk(spark, monkeypatch):
+    """A descent of any depth is one dealing by job: no level of it is written out. Ties go by text, nulls first."""
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", None)
+    b = spark.createDataFrame([("j", i, "WORD" if x else "LINE", x) for i, x in (("r", None), ("p", None), ("q", None), ("w", "w"), ("v", "v"), ("u", "u"), (None, "n"))], "job string, id string, block_type string, text string").withColumn("selection_status", F.lit(None).cast("string"))
+    edges = [("r", "p", 3), ("r", "q", 3), ("p", "w", 1), ("q", "v", 1), ("p", "u", None), ("q", "r", 0), ("r", None, 0), ("r", "gone", 0)]
+    e = spark.createDataFrame([("j", p, c, "CHILD", n) for p, c, n in edges], "job string, parent string, child string, rel_type string, pos int")
+    assert {(r.id, r.full_text) for r in layout.block_texts(b, e).collect()} == {("r", "u v w"), ("p", "u w"), ("q", "u w v"), ("w", "w"), ("v", "v"), ("u", "u"), (None, "")}
+    asked = spark.createDataFrame([("j", "p"), ("j", "p"), ("j", "none"), (None, "p")], "job string, id string")
+    assert [(r.id, r.full_text) for r in layout.block_texts(b, e, asked).collect()] == [("p", "u w")]
+
+
 def test_captions_and_text(spark):
     e = spark.createDataFrame([("j", 1, 0, "LAYOUT_FIGURE", "", None), ("j", 1, 1, "LAYOUT_TEXT", "Fig. 1: x", None), ("j", 1, 2, "LAYOUT_TABLE", "cells", "table-1"), ("j", 2, 3, "LAYOUT_TEXT", "end", None)], "job string, page int, n int, type string, text string, table_id string")
     assert [r.c for r in e.withColumn("c", layout.caption_near(["figure", "fig."])).orderBy("n").collect()] == ["Fig. 1: x", "", "Fig. 1: x", ""]
