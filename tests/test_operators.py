@@ -76,6 +76,23 @@ def test_exclusive_tables(spark):
     assert {(r.n, r.table_id) for r in layout.best_overlaps(e, tabs).collect()} == {(0, "a"), (1, "a")}
 
 
+def test_overlaps_of_many_copies_of_a_box(spark):
+    """Equal boxes are compared once: a page with 20,000 tables and as many elements in few boxes is no product of them."""
+    from time import monotonic
+
+    from docweave.operators.layout import _crossing
+
+    box = lambda k: F.array(k / 10, F.lit(0.0), k / 10 + 0.25, F.lit(1.0))
+    e = spark.range(20000).select(F.lit("j").alias("job"), F.lit(1).alias("page"), F.col("id").cast("int").alias("n"), F.lit("LAYOUT_TABLE").alias("type"), box(F.col("id") % 5).alias("bbox"))
+    tabs = spark.range(20000).select(F.lit("j").alias("job"), F.lit(1).alias("page"), F.concat(F.lit("t"), "id").alias("table_id"), F.col("id").cast("int").alias("table_ord"), box(F.col("id") % 5).alias("bbox"))
+    assert _crossing(e, tabs).count() == 19
+    began = monotonic()
+    best = {r.n: r.table_id for r in layout.best_overlaps(e, tabs).collect()}
+    assert best == {n: f"t{n % 5}" for n in range(20000)}
+    assert {r.n: r.table_id for r in layout.exclusive_overlaps(e, tabs).collect()} == {n: f"t{n}" for n in range(20000)}
+    assert monotonic() - began < 60
+
+
 def test_grid(spark):
     cell = lambda place, r, c, text, header=False, rs=1, cs=1, merged=False: ("j", "t", place, merged, r, c, rs, cs, text, header)
     rows = [cell(0, 1, 1, "Model", True, rs=2), cell(1, 1, 2, "BLEU", True), cell(2, 1, 4, "Cost", True), cell(3, 2, 2, "EN-DE", True), cell(4, 2, 3, "EN-FR", True), cell(5, 2, 4, "FLOPs", True), cell(6, 3, 1, "x"), cell(7, 3, 2, "1"), cell(8, 3, 4, "3"), cell(9, 4, 1, "late", True)]
