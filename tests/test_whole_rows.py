@@ -84,3 +84,14 @@ def test_common_tokens_rank_and_propose(spark, common):
     assert got == {i: d for i, d in want.items() if d}
     found = {x.i: x for x in references.search_titles(r, w, common).collect()}
     assert all(found[i].matched_doi is not None for i in range(0, 40, 2))
+
+
+def test_title_search_meets_works_by_rare_tokens(spark, monkeypatch):
+    """A reference of common tokens and a rare one that three works have meets these works, not all that share a common token."""
+    works = [(f"d{i:03}", "the of and " + ("rare" if i < 3 else f"x{i}")) for i in range(300)] + [("d900", "the the"), ("d900", "of")]
+    mine = spark.createDataFrame([("j", i, w) for i in range(5) for w in ("the", "of", "and", "rare", "gone")], "job string, i int, token string")
+    sizes, plain = [], references.written
+    monkeypatch.setattr(references, "written", lambda df: (lambda x: (sizes.append((x.columns, x.count())), x)[1])(plain(df)))
+    got = references.best_candidates(mine, spark.createDataFrame(works, "doi string, title string")).orderBy("i", "rank").collect()
+    assert [(x.i, x.doi, x.rank) for x in got] == [(i, f"d00{k}", k + 1) for i in range(5) for k in range(3)]
+    assert max(n for cols, n in sizes if "doi" in cols and "i" in cols) == 15
