@@ -50,9 +50,14 @@ def page_chunks(pages: DataFrame, size: int = CHUNK_PAGES) -> DataFrame:
 
 def chunk_problems(pages: DataFrame, counts: DataFrame, size: int = CHUNK_PAGES) -> DataFrame:
     """(job, chunk, expected, written) of chunks that lack pages."""
-    want = counts.select("job", F.explode(F.sequence(F.lit(1), "page_count")).alias("page"))
-    w = page_chunks(want, size).groupBy("job", "chunk").agg(F.count(F.lit(1)).alias("expected"))
-    got = page_chunks(pages, size).groupBy("job", "chunk").agg(F.countDistinct("page").alias("written"))
+    chunks = F.explode(F.sequence(F.lit(0), F.floor((F.col("page_count") - 1) / size).cast("int"))).alias("chunk")
+    w = counts.where("page_count >= 1").select("job", "page_count", chunks).groupBy("job", "chunk").agg(F.sum(F.least(F.lit(size), F.col("page_count") - F.col("chunk") * size)).cast("bigint").alias("expected"))
+    # A page is a bit of its chunk, so that a chunk takes one number where it is counted.
+    if size <= 64:
+        written = F.bit_count(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(page - 1, {size}) as int))"))).cast("bigint")
+    else:
+        written = F.countDistinct("page")
+    got = page_chunks(pages, size).groupBy("job", "chunk").agg(written.alias("written"))
     return w.join(got, ["job", "chunk"], "left").withColumn("written", F.coalesce("written", F.lit(0))).where("written < expected")
 
 
