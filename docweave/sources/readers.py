@@ -85,12 +85,15 @@ def paged(results: DataFrame, job: str = "job", seq: str = "seq", token: str = "
     """Problems of paged results: (job, problem) where a page but the last has no token, the last has one, or a token repeats."""
     from pyspark.sql import Window as W
 
-    w = W.partitionBy(job).orderBy(seq)
-    r = results.withColumns({"_more": F.lead(seq).over(w).isNotNull(), "_has": F.coalesce(F.col(token), F.lit("")) != ""})
-    again = results.where(F.coalesce(F.col(token), F.lit("")) != "").groupBy(job, token).count().where("count > 1").select(F.col(job).alias("job"), F.lit("repeated_token").alias("problem"))
-    chain = r.where(F.col("_more") != F.col("_has")).select(F.col(job).alias("job"), F.when(F.col("_has"), "token_on_last").otherwise("token_missing").alias("problem"))
-    blank = r.where((F.col(seq) == 1) & (F.coalesce("status", F.lit("")) == "")).select(F.col(job).alias("job"), F.lit("status_missing").alias("problem")) if "status" in results.columns else chain.limit(0)
-    return again.union(chain).union(blank)
+    # All in one pass over the rows as they are dealt out by job; a token repeats where it stands for the second time.
+    has = F.coalesce(F.col(token), F.lit("")) != ""
+    more = F.lead(seq).over(W.partitionBy(job).orderBy(seq)).isNotNull()
+    again = F.row_number().over(W.partitionBy(job, token).orderBy(seq)) == 2
+    r = results.withColumns({"_has": has, "_more": more}).withColumn("_again", again)
+    found = [F.when(F.col("_again") & F.col("_has"), "repeated_token"), F.when(F.col("_more") != F.col("_has"), F.when(F.col("_has"), "token_on_last").otherwise("token_missing"))]
+    if "status" in results.columns:
+        found.append(F.when((F.col(seq) == 1) & (F.coalesce("status", F.lit("")) == ""), "status_missing"))
+    return r.select(F.col(job).alias("job"), F.explode(F.array_compact(F.array(*found))).alias("problem"))
 
 
 def whole_answers(results: DataFrame) -> tuple[DataFrame, DataFrame]:
