@@ -95,3 +95,22 @@ def test_title_search_meets_works_by_rare_tokens(spark, monkeypatch):
     got = references.best_candidates(mine, spark.createDataFrame(works, "doi string, title string")).orderBy("i", "rank").collect()
     assert [(x.i, x.doi, x.rank) for x in got] == [(i, f"d00{k}", k + 1) for i in range(5) for k in range(3)]
     assert max(n for cols, n in sizes if "doi" in cols and "i" in cols) == 15
+
+
+def exchanges(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("BroadcastExchange")
+
+
+def test_chunks_and_chains_in_one_pass(spark):
+    from docweave.sources import readers, writers
+
+    counts = spark.createDataFrame([("a", 30), ("b", 50), ("c", 0)], "job string, page_count int")
+    pages = spark.createDataFrame([("a", p) for p in (*range(1, 31), 30, 31)] + [("b", p) for p in (1, 1, 2, 26)], "job string, page int")
+    for size, want in ((25, {("b", 0, 25, 2), ("b", 1, 25, 1)}), (100, {("b", 0, 50, 3)})):
+        got = writers.chunk_problems(pages, counts, size)
+        assert {tuple(x) for x in got.collect()} == want
+    assert "explode(sequence(1" not in writers.chunk_problems(pages, counts)._jdf.queryExecution().optimizedPlan().toString()
+    r = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("a", 3, "x"), ("b", 1, None), ("b", 2, "")], "job string, seq int, next_token string")
+    assert exchanges(readers.paged(r)) == 1
+    assert sorted(tuple(x) for x in readers.paged(r).collect()) == [("a", "repeated_token"), ("a", "token_on_last"), ("b", "token_missing")]
