@@ -132,6 +132,22 @@ def test_timers_do_not_hang_on_batches(spark, tmp_path, cuts):
     assert any(r[5] == "timeout" for r in got)
 
 
+def test_state_is_kept_by_bucket(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"j{rng.randrange(90)}", T0 + dt.timedelta(minutes=3 * i), i, rng.choice(["PROCESSING", "PROCESSING", "COMPLETED", "FAILED"])) for i in range(300)]
+    schema = "job string, at timestamp, seq long, status string"
+    kept = []
+    for part in (rows[:150], rows[150:], [("", T0 + dt.timedelta(days=9), 0, "")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = timers.job_states(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), 3_600_000, buckets=2)
+        q = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        kept += [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]]
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect() if r.job]
+    assert sorted(got) == sorted(walked(rows, dt.timedelta(hours=1)))
+    assert max(kept) <= 2 * 3  # a bucket's states and its timer, which is kept twice, and nothing by job
+
+
 def test_calls_are_tried_again_by_class(spark):
     def call(rows, attempt):
         kinds = {0: None, 1: "transient", 2: "undecodable", 3: "permanent"}
