@@ -123,17 +123,13 @@ def _callbacks(spark, sf) -> str:
     last = lambda e: e.agg((F.max("ts") + F.expr("interval 1 day")).cast("timestamp").alias("at"))
     beat = lambda e: last(e).select(F.explode(F.array(F.lit(True), F.lit(False))).alias("is_answer"), F.when(F.col("is_answer"), "end").otherwise("begin").alias("token"), F.lit("").alias("job"), "at", F.lit(None).cast("string").alias("error"))
 
-    def start(stream, out):
-        requests = stream.where("NOT is_answer").select("token", "job", F.col("at").alias("asked_at"))
-        answers = stream.where("is_answer").select("token", F.col("at").alias("done_at"), "error")
-        flows.run_once(timers.answered(requests, answers, "4 minutes").writeStream.foreachBatch(timers.acknowledged(f"{out}/outcomes", f"{out}/late")), f"{out}/state")
-
+    start = lambda stream, out: flows.run_once(stream.writeStream.foreachBatch(stores.answer_writer(f"{out}/calls", f"{out}/outcomes", f"{out}/late", "4 minutes")), f"{out}/state")
     return _fed(spark, sf, "callbacks", rows, start, beat)
 
 
 @query(_CALLBACKS + "SELECT CAST(token AS BIGINT) AS token, CAST(user_id AS VARCHAR) AS job, asked_at, done_at, error, outcome FROM o WHERE outcome <> 'late'")
 def callback_outcomes(spark, sf):
-    """Every request with its answer in time, or timed out, over a stream of requests and one of answers."""
+    """Every request with its answer in time, or timed out, over a stream of requests and their answers."""
     return spark.read.parquet(f"{_callbacks(spark, sf)}/outcomes/batch=*").select(F.col("token").cast("long").alias("token"), "job", "asked_at", "done_at", "error", "outcome")
 
 

@@ -32,16 +32,21 @@ def _file_system(spark: SparkSession, root: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def _complete(spark: SparkSession, root: str) -> list[tuple[int, object]]:
+    """(batch, path) of the batches that were written whole, in order."""
+    fs, path = _file_system(spark, root)
+    found = [x.getPath() for x in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "batch=*")) or []]
+    return sorted(((int(x.getName().split("=")[1]), x) for x in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))), key=lambda x: x[0])
+
+
 def versions(spark: SparkSession, root: str) -> dict[int, list[int]]:
     """Bucket -> the complete batches that wrote it, in order; names only, no data is read."""
-    fs, path = _file_system(spark, root)
+    fs, _ = _file_system(spark, root)
     out: dict[int, list[int]] = {}
-    for batch in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "batch=*")) or []:
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(batch.getPath(), "_SUCCESS")):
-            number = int(batch.getPath().getName().split("=")[1])
-            for bucket in fs.listStatus(batch.getPath()):
-                if (name := bucket.getPath().getName()).startswith("bucket="):
-                    out.setdefault(int(name.split("=")[1]), []).append(number)
+    for number, batch in _complete(spark, root):
+        for bucket in fs.listStatus(batch):
+            if (name := bucket.getPath().getName()).startswith("bucket="):
+                out.setdefault(int(name.split("=")[1]), []).append(number)
     return {k: sorted(v) for k, v in out.items()}
 
 
@@ -156,6 +161,57 @@ def first_seen_writer(ledger: str, out: str, key: str = "sha256", order: str = "
     return write
 
 
+# --- requests and their answers ---------------------------------------------------------------------------------
+
+CALLS = "is_answer boolean, token string, job string, at timestamp, error string"
+
+
+def answer_writer(root: str, outcomes: str, late: str, timeout: str, delay: str = "0 seconds") -> Callable[[DataFrame, int], None]:
+    """A batch writer for requests and answers (CALLS) that gives what ``timers.answered`` gives, with nothing in the
+    stream's state.
+
+    A batch's rows meet each other and those that still wait in one outer join.  What both sides have seen sets the
+    mark: a request times out when its time ends before the mark, an answer is late when it came before it, and rows whose
+    time has not ended are written as those that wait; the others may not meet any more.  A row that itself comes after the
+    mark is answered from what waits then.
+    """
+    span = F.expr(f"interval {timeout}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        from .timers import acknowledged, outcome_of
+
+        spark = batch.sparkSession
+        had = [b for b, _ in _complete(spark, f"{root}/waiting") if b < batch_id]
+        rows = batch.select("is_answer", "token", "job", "at", "error", F.lit(True).alias("fresh"))
+        if had:
+            waiting = spark.read.schema(CALLS).parquet(f"{root}/waiting/batch={had[-1]}")
+            rows = rows.unionByName(waiting.withColumn("fresh", F.lit(False)))
+        seen = [F.max(F.when(F.col("is_answer") == x, F.unix_micros(F.col("at") - F.expr(f"interval {delay}")))).alias(c) for c, x in (("asked", False), ("done", True))]
+        marks = batch.agg(*seen)
+        was = spark.read.schema("asked long, done long").parquet(f"{root}/marks/batch={had[-1]}").first() if had else (None, None)
+        now = [max((x for x in pair if x is not None), default=None) for pair in zip(was, marks.first())]
+        mark, before = (F.timestamp_micros(F.lit(None if None in x else min(x)).cast("long")) for x in (now, was))
+
+        r = rows.where("NOT is_answer").select("token", "job", F.col("at").alias("asked_at"), "fresh").alias("r")
+        a = rows.where("is_answer").select("token", F.col("at").alias("done_at"), "error", "fresh", F.lit(True).alias("there")).alias("a")
+        j = r.join(a, (F.col("r.token") == F.col("a.token")) & (F.col("done_at") >= F.col("asked_at")) & (F.col("done_at") <= F.col("asked_at") + span), "full_outer")
+        decided = (
+            F.when(F.col("a.there").isNull(), F.col("asked_at") + span < mark)
+            .when(F.col("r.fresh").isNull(), (F.col("done_at") < mark) & (F.col("a.fresh") | before.isNull() | (F.col("done_at") >= before)))
+            .otherwise(F.col("r.fresh") | F.col("a.fresh"))
+        )
+        out = j.where(decided).select(F.coalesce("r.token", "a.token").alias("token"), "job", "asked_at", "done_at", "error", outcome_of(F.col("a.there"), F.col("r.fresh"), F.col("error")).alias("outcome"))
+        acknowledged(outcomes, late)(out, batch_id)
+        spark.range(1).select(*[F.lit(x).cast("long").alias(c) for x, c in zip(now, ("asked", "done"))]).write.mode("overwrite").parquet(f"{root}/marks/batch={batch_id}")
+        rows.where(F.coalesce(F.col("at") + span >= mark, F.lit(True))).drop("fresh").write.mode("overwrite").parquet(f"{root}/waiting/batch={batch_id}")
+        fs, _ = _file_system(spark, root)
+        for b in had[:-1]:
+            for part in ("waiting", "marks"):
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{part}/batch={b}"), True)
+
+    return write
+
+
 # --- dead letters -----------------------------------------------------------------------------------------------
 
 

@@ -186,3 +186,26 @@ def test_answers_in_time_late_and_never(spark, tmp_path):
     got = {r.token: r.outcome for r in spark.read.parquet(str(tmp_path / "out") + "/batch=*").collect()}
     assert got == {"r1": "resumed", "r2": "failed", "r3": "timed_out", "r4": "timed_out"}
     assert {r.token for r in spark.read.parquet(str(tmp_path / "late") + "/batch=*").collect()} == {"r3", "r9"}
+
+
+@pytest.mark.parametrize("cuts", [(0, 60), (0, 13, 14, 40, 60)])
+def test_answers_wait_on_disk(spark, tmp_path, cuts):
+    rng = random.Random(5)
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    rows = [(rng.random() < 0.5, rng.choice(["a", "b", "c", "d", None]), "j", m(i), rng.choice([None, "E"])) for i in range(60)]
+    asks = [(t, at) for said, t, _, at, _ in rows if not said]
+    says = [(t, at, e) for said, t, _, at, e in rows if said]
+    met = [(t, q, at, e) for t, q in asks for s, at, e in says if t is not None and t == s and q <= at <= q + dt.timedelta(minutes=7)]
+    want = [(t, q, at, e, "failed" if e else "resumed") for t, q, at, e in met]
+    want += [(t, q, None, None, "timed_out") for t, q in asks if q not in {x[1] for x in met}]
+    gone = [(t, at, e) for t, at, e in says if at not in {x[2] for x in met}]
+    write = stores.answer_writer(str(tmp_path / "calls"), str(tmp_path / "out"), str(tmp_path / "late"), "7 minutes")
+    parts = [rows[a:b] for a, b in zip(cuts, cuts[1:])] + [[(False, "x", "j", m(9999), None), (True, "y", "j", m(9999), None)]]
+    for i, part in enumerate(parts):
+        for _ in range(2):  # a batch that runs again changes nothing
+            write(spark.createDataFrame(part, stores.CALLS), i)
+    key = lambda x: [str(v) for v in x]
+    got = [(r.token, r.asked_at, r.done_at, r.error, r.outcome) for r in spark.read.parquet(str(tmp_path / "out") + "/batch=*").collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sorted((tuple(r)[:3] for r in spark.read.parquet(str(tmp_path / "late") + "/batch=*").collect()), key=key) == sorted(gone, key=key)
+    assert spark.read.schema(stores.CALLS).parquet(f"{tmp_path}/calls/waiting/batch={len(parts) - 1}").count() == 2
