@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import references
+from docweave.operators import references, scoring
 from docweave.plans.catalogue import QUERIES
 
 
@@ -31,6 +31,15 @@ def test_every_value_is_scored_whole(spark, sf):
     assert review == {1: (2, True), 2: (2, False), 3: (1, False)}
 
 
+def test_vocabulary_is_made_once(spark):
+    values = spark.createDataFrame([(1, "a b c"), (2, "a"), (3, None)], "value_id long, value string")
+    texts = spark.createDataFrame([(1, "B a c d"), (2, "a"), (3, ""), (4, None), (5, "x b-\na c")], "text_id long, text string")
+    out = scoring.pair_coverage(values, texts)
+    assert {(r.value_id, r.text_id, r.hits, r.pairs, r.score) for r in out.collect()} == {(1, 1, 1, 2, 0.5), (1, 5, 1, 2, 0.5)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Filter" in x and "regexp_extract_all" in x]
+
+
 def test_every_part_meets(spark, sf):
     size = {50 * i: 10 + i for i in range(1, 8)}
 
