@@ -40,6 +40,15 @@ def test_vocabulary_is_made_once(spark):
     assert not [x for x in plan.split("\n") if "Filter" in x and "regexp_extract_all" in x]
 
 
+def test_vocabulary_is_made_only_where_asked(spark):
+    values = spark.createDataFrame([(1, "a b c", True), (1, "c", False), (2, "b a", True), (3, "q", True), (4, "--", True), (4, None, True)], "job long, value string, short boolean")
+    layers = spark.createDataFrame([(1, "x a b c"), (1, "x a b c"), (1, "b a c"), (2, "a b"), (3, "."), (4, "z")], "job long, text string")
+    out = scoring.score_values(values, layers)
+    got = sorted(((r.job, r.value or "", r.score) for r in out.collect()), key=str)
+    assert got == sorted([(1, "a b c", 1.0), (1, "a b c", 1.0), (1, "a b c", 0.5), (1, "c", 1.0), (1, "c", 1.0), (1, "c", 1.0), (2, "b a", 1.0), (3, "q", None), (4, "--", None), (4, "", None)], key=str)
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_every_part_meets(spark, sf):
     size = {50 * i: 10 + i for i in range(1, 8)}
 
