@@ -330,3 +330,19 @@ def test_answers_are_saved_raw_and_replayed(spark, tmp_path):
     assert [r.n for r in spark.read.parquet(f"{tmp_path}/out/batch=3").collect()] == [1]
     resumed, late = jobs.respond(spark.createDataFrame([("x", None), ("y", "bad"), ("z", None), (None, None)], "token string, error string"), spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "token string"))
     assert {tuple(r) for r in resumed.collect()} == {("x", None, "resumed"), ("y", "bad", "failed")} and {r.token for r in late.collect()} == {"z", None}
+
+
+def test_a_grid_takes_one_exchange(spark):
+    from docweave.operators import grid
+
+    cells = spark.createDataFrame(
+        [("j", "a", 0, False, 1, 1, 1, 2, "h", True), ("j", "a", 1, True, 1, 2, 2, 1, "m", False), ("j", "a", 2, False, 3, 3, None, None, None, False), ("j", "a", 3, False, 0, 1, 1, 1, "out", True), ("j", "b", 0, False, 1, 2, 1, 1, "z", True)],
+        "job string, table_id string, place int, merged boolean, row int, col int, row_span int, col_span int, text string, header boolean",
+    )
+    g = grid.full_grid(cells)
+    got = {(r.table_id, r.r, r.c): (r.text, r.filled, r.is_header) for r in g.collect()}
+    assert got == {
+        ("a", 1, 1): ("h", True, True), ("a", 1, 2): ("m", True, True), ("a", 1, 3): ("m", False, True), ("a", 2, 1): ("", False, False), ("a", 2, 2): ("m", True, False), ("a", 2, 3): ("", False, False),
+        ("a", 3, 1): ("", False, False), ("a", 3, 2): ("", False, False), ("a", 3, 3): ("", True, False), ("b", 1, 1): ("", False, True), ("b", 1, 2): ("z", True, True),
+    }
+    assert g._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
