@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import references, scoring
+from docweave.operators import compare, references, scoring
+from docweave.plans import composites, finalize, layout_route
 from docweave.plans.catalogue import QUERIES
+from docweave.schemas import BLOCK_EDGES, BLOCKS
 
 
 @pytest.fixture(scope="module")
@@ -132,3 +134,35 @@ def test_chunks_and_chains_in_one_pass(spark):
     r = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("a", 3, "x"), ("b", 1, None), ("b", 2, "")], "job string, seq int, next_token string")
     assert exchanges(readers.paged(r)) == 1
     assert sorted(tuple(x) for x in readers.paged(r).collect()) == [("a", "repeated_token"), ("a", "token_on_last"), ("b", "token_missing")]
+
+
+def test_diff_reads_no_texts(spark, tmp_path, monkeypatch):
+    """Documents are compared without their texts being read or written, and alike."""
+    roles = ("user", "assistant", "system", None)
+    rows = [(c, t, roles[(c * t + t) % 4], None if (c + t) % 9 == 8 else f"Turn {t}\n of  {c % 3}.") for c in range(1, 9) for t in range(c + 4)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    whole = compare.diff(*composites._normal(spark, str(tmp_path))).collect()
+    monkeypatch.setattr(layout_route, "written", lambda df: pytest.fail("texts are written"))
+    merged = finalize.page_documents
+    seen = []
+    monkeypatch.setattr(finalize, "page_documents", lambda *a: seen.append(merged(*a)) or seen[-1])
+    got = {r.job_id: r for r in QUERIES["document_diff"](spark, str(tmp_path)).collect()}
+    assert len(whole) == 6 and set(got) == {r.job_id for r in whole}
+    for w in whole:
+        g = got[w.job_id]
+        assert (g.same_title, g.title, g.same_authors, g.same_abstract, g.same_headings) == (w.title.equal, w.title.textract, w.authors.equal, w.abstract.equal, w.headings.equal)
+        assert (g.same_references, g.figures, g.layout_figures, g.same_sections) == (w.counts.references.equal, w.counts.figures.bedrock, w.counts.figures.textract, w.counts.sections.equal)
+    assert {x.text for r in seen[0].collect() for x in r.sections} == {""}
+
+
+def test_outline_has_the_documents_of_the_whole_reading(spark):
+    """Lists of layout blocks, lines beside them, tables alone: the outline counts what the reading counts."""
+    kinds = {"a": ["LAYOUT_LIST", "LAYOUT_TEXT", "LAYOUT_FIGURE", "LAYOUT_FIGURE"], "b": ["TABLE", "TABLE"], "c": ["LINE"], "d": ["WORD"], "e": ["LAYOUT_LIST", "LAYOUT_LIST"], "f": ["LAYOUT_FIGURE", "LINE", "TABLE"]}
+    blocks = spark.createDataFrame([(j, f"b{i}", k, i) for j, ks in kinds.items() for i, k in enumerate(ks)], "job string, id string, block_type string, ord int")
+    edges = spark.createDataFrame([("a", "b0", "b1"), ("e", "b0", "b1"), ("e", "b1", "b0")], "job string, parent string, child string").withColumns({"rel_type": F.lit("CHILD"), "pos": F.lit(0)})
+    given = composites._cast(blocks, BLOCKS), composites._cast(edges, BLOCK_EDGES)
+    one = F.array(F.struct(F.lit(1).alias("level"), F.lit("h").alias("heading"), F.lit(0).alias("from"), F.lit(0).alias("to")))
+    answers = composites._cast(blocks.select("job").distinct().withColumn("sections", one), layout_route.ANSWERS)
+    of = lambda reading: sorted((r.job_id, r.sizes.sections, r.sizes.figures, r.sizes.tables, r.sizes.references, r.headings) for r in compare.parts(layout_route.documents(reading, answers)).collect())
+    got = of(layout_route.outline(*given))
+    assert got == of(layout_route.read(*given)) and [x[:4] for x in got] == [("a", 1, 2, 0), ("b", 1, 0, 2), ("c", 1, 0, 0), ("f", 1, 1, 1)]
