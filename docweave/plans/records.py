@@ -253,10 +253,9 @@ def value_matrix(spark, sf):
     records = F.transform(F.filter(F.split("sources", ","), lambda x: x != ""), lambda x: F.struct(x.alias("EventSource")))
     part = lambda a, b: F.struct(F.col(a).alias("text"), F.col(b).alias("tool_input"))
     response = scalars.model_response(F.array(part("text1", "tool1"), part("text2", "tool2")))
-    answer = scalars.decode_answer("stop", "tool", "said", "k INT")
-    info, body = checks.pdf_info("info"), F.col("body").cast("binary")
+    answer, info, body = F.col("answer"), F.col("pdf"), F.col("body").cast("binary")
     ref = scalars.clean_reference(F.struct(F.lit(" r ").alias("raw"), F.lit("").alias("title"), F.lit(None).cast("array<string>").alias("authors"), F.lit(None).cast("int").alias("year"), F.lit("").alias("venue"), F.col("doi")))
-    return _given(spark, sf, _VALUES).select(
+    return _given(spark, sf, _VALUES).withColumns({"answer": scalars.decode_answer("stop", "tool", "said", "k INT"), "pdf": checks.pdf_info("info")}).select(
         "event_id", scalars.round4(v / 3).alias("r4"), scalars.round6(v / 3).alias("r6"), scalars.confidence(i % 100).alias("confidence"), scalars.page_or_first((i - 20).cast("int")).alias("page"), scalars.mean_of(v / 2, F.col("list")).alias("mean"),
         scalars.elapsed_ms(start, start + F.make_dt_interval(secs=F.floor(v) / 1000)).alias("elapsed"), F.unix_millis(scalars.epoch_ms(F.unix_millis(start))).alias("ms"), F.size(scalars.or_empty(one, "array<double>")).alias("filled"), F.get(scalars.null_if_empty(F.filter(one, lambda x: x >= 50)), F.lit(0)).alias("there"),
         scalars.completion_notice("notice").getField("JobId").alias("notice"), scalars.is_notice_event(records).alias("records"), response.getField("text").alias("text"), response.getField("tool_input").alias("tool"), response.getField("problem").alias("problem"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docweave.functions import checks, scalars
 from docweave.functions import text as t
 from docweave.operators import scoring
+from docweave.plans import records
 
 
 def column(spark, fn, values, kind="string"):
@@ -106,3 +107,29 @@ def test_misc(spark):
     ).first()
     assert row.w == "2026-01-02T03:04:05.678901000Z" and row.m == 0.75 and row.e is None and row.b == 2000 and row.c == 20000 and row.f == "repeated" and row.s == ["unknown environment", "region missing"]
     assert row.md == "| a\\|b |  |\n| --- | --- |\n| 1 | 2 |\n" and row.d.problem == "truncated" and row.d2.value.a == 1 and row.n is None
+
+
+def test_values_are_made_once(spark, tmp_path):
+    """Answers, notices and file facts are read once a row, and texts that can be no JSON are not parsed."""
+    events = spark.createDataFrame([(1, 2, "view", 1.0, "p")], "event_id long, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.timestamp_seconds(F.lit(0))).write.parquet(f"{tmp_path}/events.parquet")
+    plan = records.value_matrix(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 and plan.count("regexp_extract_all") == 2
+
+    given = ["{\"k\": 1", "{\"k\": 1}", "{\"k\": 1} x", " [1] ", "[1", "so {\"k\": 2} it", "\"a", "\"a\"", "-1", "-", "+1", "1e", "nothing", "null", "nul", "true", "falsey", "", " ", "\ufeff1", "{'k': 1}", "\n{\"k\":\n3}\n", "\xa0{\"k\": 4}", "```json\n{\"k\": 5}\n```", None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, x string").select("i", "x", t.is_json("x").alias("quick"), F.try_parse_json("x").isNotNull().alias("whole"), t.extract_json("x").alias("cut"), scalars.decode_answer(F.lit("end"), "x", F.lit(""), "k INT").alias("a")).collect()
+    assert [r.x for r in rows if r.quick != r.whole] == []
+    cut = {r.x: r.cut for r in rows}
+    assert cut["so {\"k\": 2} it"] == "{\"k\": 2}" and cut["{\"k\": 1} x"] == "{\"k\": 1}" and cut["-1"] == "-1" and cut["nothing"] is None and cut["[1"] is None and cut["\xa0{\"k\": 4}"] == "{\"k\": 4}" and cut["```json\n{\"k\": 5}\n```"] == "{\"k\": 5}" and cut[None] is None
+    said = {r.x: (r.a.problem, r.a.value and r.a.value.k) for r in rows}
+    assert said["{\"k\": 1"] == said["{'k': 1}"] == ("invalid json", None) and said["{\"k\": 1}"] == said["{\"k\": 1} x"] == (None, 1) and said[""] == said[None] == ("no json", None)
+
+
+def test_file_facts_by_last_line(spark):
+    cases = {
+        "Pages: 3\nEncrypted: no": (3, False, None), "\xa0Pages\t:\u3000 7 \r\nEncrypted:Yes": (7, True, None), "Pages: 1\nPages: 2": (2, False, None), "Pages: many": (None, False, "MALFORMED"), "Pages:": (None, False, "MALFORMED"),
+        "Pages: x1": (None, False, "MALFORMED"), "Pages: 99999999999": (None, False, "MALFORMED"), "Page: 3": (None, False, "DAMAGED"), "a Pages: 3": (None, False, "DAMAGED"), "Pages\n: 3": (None, False, "DAMAGED"), "\n\n  Pages: 4": (4, False, None), "Pages: 5\rEncrypted: yes": (None, False, "MALFORMED"),
+        "Encrypted: NO\nx:Pages: 3": (None, False, "DAMAGED"), "Pages: 1:2": (None, False, "MALFORMED"), "Encrypted: \nPages: +6": (6, True, None), "": (None, False, "DAMAGED"), None: (None, False, "MALFORMED"),
+    }
+    rows = spark.createDataFrame([(x,) for x in cases], "x string").select("x", checks.pdf_info("x").alias("p")).collect()
+    assert {r.x: tuple(r.p) for r in rows} == cases
